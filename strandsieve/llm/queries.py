@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandsieve.llm import mixing, token_files, tokens, urlfilter
+from strandsieve.llm import chunks, mixing, neardup, pii, token_files, tokens, urlfilter
 from strandsieve.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +18,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.length_histogram(lengths)
 
 
+def op2_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -26,12 +30,29 @@ def op4_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op3_token_files, op4_link_trust, op10_entropy_mix)
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_chunk_fingerprints,
+        op3_token_files,
+        op4_link_trust,
+        op6_near_duplicates,
+        op9_personal_data,
+        op10_entropy_mix,
+    )
 }
 
 SQL: dict[str, str] = {}
