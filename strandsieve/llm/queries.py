@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandsieve.llm import chunks, mixing, neardup, pii, token_files, tokens, urlfilter
+from strandsieve.llm import chunks, mixing, neardup, pii, substrings, token_files, tokens, urlfilter
 from strandsieve.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,6 +34,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_token_files,
         op4_link_trust,
         op6_near_duplicates,
+        op7_repeated_passages,
         op9_personal_data,
         op10_entropy_mix,
     )
