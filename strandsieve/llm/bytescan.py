@@ -12,8 +12,10 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Every ASCII byte that is neither a letter nor a digit.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes taken together; a single longer text is taken alone.
@@ -107,9 +109,9 @@ def groups(offsets: np.ndarray, most: int = CHUNK) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of all rows, and for each row the index of its first word (one more at the end)."""
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.zeros(len(data) + 1, bool)
@@ -125,13 +127,13 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def hashed_words(column: pa.Array, hashers: list[WordHasher], lower: bool = False) -> Iterator[tuple[int, list[np.ndarray]]]:
+def hashed_words(column: pa.Array, hashers: list[WordHasher], lower: bool = False, between: np.ndarray = SPACE) -> Iterator[tuple[int, list[np.ndarray]]]:
     """For each row of a string column: its number in the column, and its words' hashes by each hasher."""
     data, offsets = utf8(column)
     for i, j in groups(offsets):
         part = data[offsets[i] : offsets[j]]
         part = lowered(part) if lower else part
-        starts, ends, first = words(part, offsets[i : j + 1] - offsets[i])
+        starts, ends, first = words(part, offsets[i : j + 1] - offsets[i], between)
         all_hashes = [h(part, starts, ends) for h in hashers]
         for k in range(j - i):
             yield i + k, [h[first[k] : first[k + 1]] for h in all_hashes]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandsieve.llm import chunks, mixing, neardup, pii, substrings, token_files, tokens, urlfilter
+from strandsieve.llm import chunks, decontaminate, mixing, neardup, pii, substrings, token_files, tokens, urlfilter
 from strandsieve.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +38,10 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_link_trust,
         op6_near_duplicates,
         op7_repeated_passages,
+        op8_benchmark_leaks,
         op9_personal_data,
         op10_entropy_mix,
     )
