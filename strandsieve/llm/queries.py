@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandsieve.llm import chunks, decontaminate, mixing, neardup, pii, substrings, token_files, tokens, urlfilter
+from strandsieve.llm import chunks, decontaminate, mixing, neardup, pii, quality, substrings, token_files, tokens, urlfilter
 from strandsieve.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,6 +30,11 @@ def op4_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_passage_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_chunk_fingerprints,
         op3_token_files,
         op4_link_trust,
+        op5_passage_attention,
         op6_near_duplicates,
         op7_repeated_passages,
         op8_benchmark_leaks,
