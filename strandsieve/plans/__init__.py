@@ -1,0 +1 @@
+"""Whole runs and registered queries."""

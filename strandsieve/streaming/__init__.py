@@ -1,0 +1 @@
+"""Incremental runs with Structured Streaming."""

@@ -1,0 +1,74 @@
+import pytest
+
+from strandsieve import contracts
+from strandsieve import schema as S
+from strandsieve.operators import candidates
+
+DESIGN = "design_id string"
+
+
+def made(spark, sequences, background, k=31, threshold=0.6, order=1):
+    src = spark.createDataFrame([("d", f"s{i}", "", s) for i, s in enumerate(sequences)][::order], "design_id string, source_sequence_id string, query_group string, sequence string")
+    back = spark.createDataFrame([("d", s) for s in background], "design_id string, sequence string")
+    occurrences = candidates.enumerate_kmers(src, k)
+    counts = candidates.kmer_counts(occurrences)
+    before = candidates.build_manifest(counts, candidates.background_counts(counts, back, k))
+    return occurrences, before, candidates.filter_complexity(before, threshold)
+
+
+KMERS = ["A" * 31, "ACGT" * 7 + "ACG", "ACGTTGCATGTCAGTACGATCGTAGCTAGCA", "CGTACGTACGTACGTACGTACGTACGTACGA"]
+
+
+def test_background_keeps_its_multiplicity(spark):
+    _, before, after = made(spark, KMERS, [KMERS[1]] * 3)
+    got = {r.kmer: r for r in after.collect()}
+    assert got[KMERS[1]].background_occurrences == 3
+    assert (got[KMERS[1]].status, got[KMERS[1]].rejection_reason, got[KMERS[1]].taxonomic_screening_status) == (S.REJECT_BACKGROUND, S.BACKGROUND_OCCURRENCE, S.NOT_APPLICABLE)
+    assert got[KMERS[0]].status == S.REJECT_COMPLEXITY
+    assert [(r.kmer, r.bait_id) for r in sorted(got.values(), key=lambda r: r.kmer) if r.bait_id] == [(KMERS[2], "bait_000001"), (KMERS[3], "bait_000002")]
+    assert [r.candidate_kmer_id for r in before.orderBy("kmer").collect()] == [f"candidate_kmer_{i:06d}" for i in range(1, 5)]
+
+
+def test_a_background_rejection_is_never_undone(spark):
+    _, before, _ = made(spark, KMERS, [KMERS[1]])
+    passing = spark.createDataFrame([("d", KMERS[1]), ("d", KMERS[2])], "design_id string, kmer string")
+    got = {r.kmer: (r.status, r.bait_id) for r in candidates.apply_passing(before, passing).collect()}
+    assert got[KMERS[1]] == (S.REJECT_BACKGROUND, "")
+    assert got[KMERS[2]] == (S.PASS, "bait_000001")
+    assert got[KMERS[3]][0] == S.REJECT_COMPLEXITY
+
+
+def test_order_of_rows_does_not_matter(spark, rows):
+    assert rows(made(spark, KMERS, [KMERS[1]])[2]) == rows(made(spark, KMERS, [KMERS[1]], order=-1)[2])
+
+
+@pytest.mark.parametrize(
+    ("sequences", "background", "stage"),
+    [(["ACGT"], ["A" * 31], S.STAGE_ENUMERATION), ([KMERS[2]], [KMERS[2]], S.STAGE_CANCELLED), (["A" * 31], ["ACGT"], S.STAGE_COMPLEXITY), ([KMERS[2]], ["ACGT"], "")],
+)
+def test_terminal_stages(spark, sequences, background, stage):
+    manifest = made(spark, sequences, background)[2]
+    status = candidates.filtering_status(manifest, spark.createDataFrame([("d",)], DESIGN)).orderBy("ordinal").collect()
+    assert [r.metric for r in status] == ["design_id", "candidate_kmer_count", "rejected_interference_background_count", "rejected_low_complexity_count", "locally_filtered_bait_count", "terminal_stage"]
+    assert status[-1].value == stage
+
+
+def test_occurrences_carry_candidate_ids(spark, rows):
+    occurrences, before, _ = made(spark, KMERS, [])
+    got = rows(candidates.occurrence_table(occurrences, before), "candidate_kmer_id", "source_sequence_id", "start")
+    assert got[0] == ("candidate_kmer_000001", "s0", 0)
+    assert len(got) == 4
+
+
+def test_counts_are_cross_checked(spark, rows):
+    ours = spark.createDataFrame([("d", "AAC", 2), ("d", "ACC", 1)], "design_id string, kmer string, source_copy_count long")
+    theirs = spark.createDataFrame([("d", "GTT", 2), ("d", "AAA", 1)], "design_id string, kmer string, count long")
+    assert rows(candidates.count_differences(ours, candidates.imported_counts(theirs, 3)), "kmer", "ours", "theirs") == [("AAA", None, 1), ("ACC", 1, None)]
+    for bad in ([("d", "GTT", 2), ("d", "AAC", 1)], [("d", "GT", 1)], [("d", "GTN", 1)], [("d", "GTT", 0)]):
+        with pytest.raises(contracts.ContractError):
+            candidates.imported_counts(spark.createDataFrame(bad, "design_id string, kmer string, count long"), 3)
+
+
+def test_window_is_one(spark):
+    with pytest.raises(ValueError, match="window"):
+        candidates.filter_complexity(made(spark, KMERS, [])[1], window=2)
