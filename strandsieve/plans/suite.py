@@ -1,10 +1,488 @@
-"""Queries of the engine over the driver's tables, each with SQL that says the same."""
+"""Queries of the engine over the driver's tables, each with SQL that says the same.
+
+The tables hold text, not DNA; one projection of letters onto the four bases serves both engines. Roles: `benchmark` gives
+source sequences, `conversations` the background, `documents` the reads and the shared reference; design, group and taxon
+keys are derived from ids. Every query reads its whole tables.
+"""
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from strandsieve import contracts
+from strandsieve import schema as S
+from strandsieve.functions.sequence import representative_id
+from strandsieve.operators import calibrate, candidates, discovery, panel, provenance, reads, screening
+
+K = 15
+LETTERS = string.ascii_lowercase + string.ascii_uppercase
+TO_BASES = ("ACGT" * 7)[:26] * 2
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def dna(text: Column) -> Column:
+    return F.regexp_replace(F.translate(text, LETTERS, TO_BASES), "[^ACGT]", "")
+
+
+def _design(number: str) -> Column:
+    return F.concat(F.lit("d"), (F.col(number) % 3).cast("string"))
+
+
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = table(spark, sf_dir, "benchmark")
+    return b.select(_design("item_id").alias("design_id"), F.concat(F.lit("src_"), F.col("item_id")).alias("source_sequence_id"), F.concat(F.lit("g"), F.col("item_id") % 4).alias("query_group"), dna(F.col("text")).alias("sequence"))
+
+
+def background(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select(_design("conv_id").alias("design_id"), dna(F.col("text")).alias("sequence"))
+
+
+def designs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "region").where("r_regionkey < 3").select(F.concat(F.lit("d"), F.col("r_regionkey").cast("string")).alias("design_id"), F.lit("1").alias("target_taxid"), F.lit(S.CURATED).alias("source_sequence_origin"))
+
+
+def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    taxids = F.when(F.col("doc_id") % 5 == 0, "1").when(F.col("doc_id") % 5 == 1, "1;2").when(F.col("doc_id") % 5 == 2, "N/A").otherwise(((F.col("doc_id") % 5) - 1).cast("string"))
+    return d.select(F.concat(F.lit("ref_"), F.col("doc_id")).alias("saccver"), taxids.alias("staxids"), F.col("lang").alias("sscinames"), F.col("source").alias("stitle"), dna(F.col("text")).alias("sequence"))
+
+
+def read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return d.select(_design("doc_id").alias("design_id"), F.concat(F.lit("m"), F.col("doc_id") % 2).alias("metagenome_id"), F.col("doc_id").alias("ordinal"), dna(F.col("text")).alias("sequence"))
+
+
+def _occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidates.enumerate_kmers(sources(spark, sf_dir), K)
+
+
+def _manifest(spark: SparkSession, sf_dir: str, complete: bool = True) -> DataFrame:
+    counts = candidates.kmer_counts(_occurrences(spark, sf_dir))
+    before = candidates.build_manifest(counts, candidates.background_counts(counts, background(spark, sf_dir), K))
+    return candidates.filter_complexity(before, 0.9) if complete else before
+
+
+def _screening(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    manifest = _manifest(spark, sf_dir)
+    local = candidates.baits(manifest)
+    hits = screening.exact_match_hits(local, reference(spark, sf_dir), K)
+    return manifest, hits, screening.screening_decisions(local, hits, designs(spark, sf_dir))
+
+
+# The SQL side: the same tables as common table expressions.
+_DNA = "regexp_replace(translate({0}, '" + LETTERS + "', '" + TO_BASES + "'), '[^ACGT]', '', 'g')"
+_RC = "reverse(translate({0}, 'ACGT', 'TGCA'))"
+_ENTROPY = "(" + " + ".join(f"CASE WHEN contains(kmer, '{b}') THEN -((length(kmer) - length(replace(kmer, '{b}', ''))) / {K}.0) * log2((length(kmer) - length(replace(kmer, '{b}', ''))) / {K}.0) ELSE 0 END" for b in "ACGT") + ") / 2"
+_WINDOWS = "unnest(range(0, greatest(length(sequence) - " + str(K) + " + 1, 0)))"
+
+
+def _kmers(name: str, of: str, columns: str) -> str:
+    return (
+        f"{name}_w AS (SELECT {columns}, i AS start, substr(sequence, i + 1, {K}) AS w FROM (SELECT *, {_WINDOWS} AS i FROM {of})), "
+        f"{name} AS (SELECT {columns}, start, w, least(w, {_RC.format('w')}) AS kmer FROM {name}_w)"
+    )
+
+
+_SRC = f"src AS (SELECT 'd' || (item_id % 3) AS design_id, 'src_' || item_id AS source_sequence_id, 'g' || (item_id % 4) AS query_group, {_DNA.format('text')} AS sequence FROM benchmark)"
+_BACK = f"back AS (SELECT 'd' || (conv_id % 3) AS design_id, {_DNA.format('text')} AS sequence FROM conversations)"
+_REF = (
+    "ref AS (SELECT 'ref_' || doc_id AS saccver, CASE doc_id % 5 WHEN 0 THEN '1' WHEN 1 THEN '1;2' WHEN 2 THEN 'N/A' ELSE CAST(doc_id % 5 - 1 AS VARCHAR) END AS staxids, "
+    f"lang AS sscinames, source AS stitle, {_DNA.format('text')} AS sequence FROM documents)"
+)
+_READS = f"reads AS (SELECT 'd' || (doc_id % 3) AS design_id, 'm' || (doc_id % 2) AS metagenome_id, doc_id AS ordinal, {_DNA.format('text')} AS sequence FROM documents)"
+_OCC = f"{_SRC}, " + _kmers("occ", "src", "design_id, source_sequence_id, query_group")
+_CNT = f"{_OCC}, cnt AS (SELECT design_id, kmer, count(*) AS source_copy_count FROM occ GROUP BY ALL)"
+_CANCEL = f"{_CNT}, {_BACK}, " + _kmers("bk", "back", "design_id") + ", bg AS (SELECT design_id, kmer, count(*) AS n FROM bk SEMI JOIN cnt USING (design_id, kmer) GROUP BY ALL)"
+_BEFORE = (
+    f"{_CANCEL}, man0 AS (SELECT design_id, 'candidate_kmer_' || lpad(CAST(row_number() OVER (PARTITION BY design_id ORDER BY kmer) AS VARCHAR), 6, '0') AS candidate_kmer_id, kmer, source_copy_count, "
+    "coalesce(n, 0) AS background_occurrences FROM cnt LEFT JOIN bg USING (design_id, kmer))"
+)
+_MANIFEST = (
+    f"{_BEFORE}, judged AS (SELECT *, CASE WHEN background_occurrences > 0 THEN '{S.REJECT_BACKGROUND}' WHEN {_ENTROPY} >= 0.9 THEN '{S.PASS}' ELSE '{S.REJECT_COMPLEXITY}' END AS status FROM man0), "
+    f"man AS (SELECT *, CASE WHEN status = '{S.PASS}' THEN 'bait_' || lpad(CAST(row_number() OVER (PARTITION BY design_id, status ORDER BY kmer) AS VARCHAR), 6, '0') ELSE '' END AS bait_id, "
+    f"CASE status WHEN '{S.PASS}' THEN '{S.NONE}' WHEN '{S.REJECT_BACKGROUND}' THEN '{S.BACKGROUND_OCCURRENCE}' ELSE '{S.LOW_COMPLEXITY}' END AS rejection_reason, "
+    f"CASE status WHEN '{S.PASS}' THEN '{S.NOT_RUN}' ELSE '{S.NOT_APPLICABLE}' END AS taxonomic_screening_status FROM judged)"
+)
+_HITS = (
+    f"{_MANIFEST}, {_REF}, " + _kmers("rk", "ref", "saccver, staxids, sscinames, stitle") + f", hits AS (SELECT man.design_id, bait_id AS qseqid, saccver, staxids, sscinames, stitle, "
+    f"CASE WHEN strand = 1 THEN start + 1 ELSE start + {K} END AS sstart, CASE WHEN strand = 1 THEN start + {K} ELSE start + 1 END AS send "
+    f"FROM rk JOIN man USING (kmer), (VALUES (1), (2)) AS s(strand) WHERE bait_id <> '' AND ((strand = 1 AND w = kmer) OR (strand = 2 AND {_RC.format('w')} = kmer)))"
+)
+_DECISIONS = (
+    f"{_HITS}, dec AS (SELECT design_id, bait_id, count(saccver) FILTER (staxids = '1') AS on_target_hits, count(saccver) FILTER (staxids <> '1') AS off_target_hits "
+    "FROM (SELECT design_id, bait_id FROM man WHERE bait_id <> '') LEFT JOIN (SELECT design_id, qseqid AS bait_id, saccver, staxids FROM hits) USING (design_id, bait_id) GROUP BY ALL)"
+)
+_COUNTED = (
+    f"{_MANIFEST}, {_READS}, " + _kmers("qk", "reads", "design_id, metagenome_id, ordinal") + ", counts AS (SELECT q.design_id, q.metagenome_id, q.ordinal, count(DISTINCT q.kmer) AS bait_count "
+    "FROM qk q SEMI JOIN (SELECT design_id, kmer FROM man WHERE bait_id <> '') b USING (design_id, kmer) GROUP BY ALL), "
+    "counted AS (SELECT design_id, metagenome_id, 'read_' || lpad(CAST(row_number() OVER (PARTITION BY design_id, metagenome_id ORDER BY ordinal) AS VARCHAR), 12, '0') AS read_id, length(sequence) AS read_length, bait_count, "
+    f"'sequence_' || sha256(least(sequence, {_RC.format('sequence')})) AS representative_id, sequence FROM reads JOIN counts USING (design_id, metagenome_id, ordinal))"
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def registered(sql: str) -> Callable[[Callable[[SparkSession, str], DataFrame]], Callable[[SparkSession, str], DataFrame]]:
+    def put(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__], SQL[f.__name__] = f, sql
+        return f
+
+    return put
+
+
+@registered(f"WITH {_MANIFEST} SELECT design_id, candidate_kmer_id, bait_id, kmer, source_copy_count, background_occurrences, status, rejection_reason, taxonomic_screening_status FROM man")
+def panel_manifest(spark, sf_dir):
+    return _manifest(spark, sf_dir).drop("on_target_hits", "off_target_hits")
+
+
+@registered(f"WITH {_OCC} SELECT design_id, source_sequence_id, query_group, start, kmer FROM occ")
+def kmer_occurrences(spark, sf_dir):
+    return _occurrences(spark, sf_dir)
+
+
+@registered(
+    f"WITH src AS (SELECT source AS design_id, {_DNA.format('text')} AS sequence FROM documents), " + _kmers("occ", "src", "design_id")
+    + " SELECT design_id, count(*) AS windows, count(DISTINCT kmer) AS kmers, min(kmer) AS first_kmer, max(kmer) AS last_kmer FROM occ GROUP BY ALL"
+)
+def corpus_kmer_profile(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("design_id"), dna(F.col("text")).alias("sequence"))
+    counts = candidates.kmer_counts(candidates.enumerate_kmers(d, K, ("design_id",)))
+    return counts.groupBy("design_id").agg(F.sum("source_copy_count").alias("windows"), F.count(F.lit(1)).alias("kmers"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer"))
+
+
+@registered(f"WITH {_CNT} SELECT * FROM cnt")
+def canonical_kmer_counts(spark, sf_dir):
+    return candidates.kmer_counts(_occurrences(spark, sf_dir))
+
+
+@registered(f"WITH {_CANCEL} SELECT design_id, kmer, n AS background_occurrences FROM bg")
+def background_cancel(spark, sf_dir):
+    return candidates.background_counts(candidates.kmer_counts(_occurrences(spark, sf_dir)), background(spark, sf_dir), K)
+
+
+@registered(f"WITH {_BEFORE} SELECT design_id, candidate_kmer_id, kmer FROM man0")
+def candidate_ids(spark, sf_dir):
+    return _manifest(spark, sf_dir, complete=False).select("design_id", "candidate_kmer_id", "kmer")
+
+
+@registered(f"WITH {_BEFORE} SELECT design_id, candidate_kmer_id, source_sequence_id, start, query_group FROM occ JOIN (SELECT design_id, kmer, candidate_kmer_id FROM man0) USING (design_id, kmer)")
+def source_occurrence_table(spark, sf_dir):
+    return candidates.occurrence_table(_occurrences(spark, sf_dir), _manifest(spark, sf_dir, complete=False))
+
+
+@registered(f"WITH {_BEFORE} SELECT design_id, kmer FROM man0 WHERE background_occurrences = 0 AND {_ENTROPY} >= 0.9")
+def entropy_filter(spark, sf_dir):
+    return candidates.passing_complexity(_manifest(spark, sf_dir, complete=False), 0.9)
+
+
+@registered(f"WITH {_MANIFEST} SELECT design_id, bait_id, kmer AS sequence FROM man WHERE bait_id <> ''")
+def bait_ids(spark, sf_dir):
+    return candidates.baits(_manifest(spark, sf_dir))
+
+
+@registered(
+    f"WITH {_MANIFEST}, n AS (SELECT design_id, count(*) AS c, count(*) FILTER (status = '{S.REJECT_BACKGROUND}') AS b, count(*) FILTER (status = '{S.REJECT_COMPLEXITY}') AS l, count(*) FILTER (status = '{S.PASS}') AS p FROM man GROUP BY ALL) "
+    "SELECT design_id, 0 AS ordinal, 'design_id' AS metric, design_id AS value FROM n UNION ALL SELECT design_id, 1, 'candidate_kmer_count', CAST(c AS VARCHAR) FROM n UNION ALL "
+    "SELECT design_id, 2, 'rejected_interference_background_count', CAST(b AS VARCHAR) FROM n UNION ALL SELECT design_id, 3, 'rejected_low_complexity_count', CAST(l AS VARCHAR) FROM n UNION ALL "
+    "SELECT design_id, 4, 'locally_filtered_bait_count', CAST(p AS VARCHAR) FROM n UNION ALL "
+    f"SELECT design_id, 5, 'terminal_stage', CASE WHEN c = 0 THEN '{S.STAGE_ENUMERATION}' WHEN b = c THEN '{S.STAGE_CANCELLED}' WHEN p = 0 THEN '{S.STAGE_COMPLEXITY}' ELSE '' END FROM n"
+)
+def filtering_status(spark, sf_dir):
+    return candidates.filtering_status(_manifest(spark, sf_dir), designs(spark, sf_dir))
+
+
+@registered(f"WITH {_HITS} SELECT design_id, qseqid, saccver, staxids, sstart, send, sscinames, stitle FROM hits")
+def exact_match_hits(spark, sf_dir):
+    _, hits, _ = _screening(spark, sf_dir)
+    return hits.select("design_id", "qseqid", "saccver", "staxids", "sstart", "send", "sscinames", "stitle")
+
+
+@registered(f"WITH {_REF} SELECT saccver, staxids, list_distinct(string_split(staxids, ';')) = ['1'] AS on_target FROM ref")
+def on_target_flag(spark, sf_dir):
+    from strandsieve.functions.taxonomy import only_target
+
+    return reference(spark, sf_dir).select("saccver", "staxids", only_target(F.col("staxids"), F.lit("1")).alias("on_target"))
+
+
+@registered(f"WITH {_DECISIONS} SELECT design_id, bait_id, CASE WHEN off_target_hits > 0 THEN '{S.REJECT_OFF_TARGET}' ELSE '{S.PASS}' END AS taxonomic_screening_status, on_target_hits, off_target_hits FROM dec")
+def screening_decisions(spark, sf_dir):
+    return _screening(spark, sf_dir)[2]
+
+
+@registered(
+    f"WITH {_DECISIONS} SELECT design_id, candidate_kmer_id, bait_id, kmer, source_copy_count, background_occurrences, "
+    f"CASE WHEN off_target_hits > 0 THEN '{S.REJECT_OFF_TARGET}' ELSE status END AS status, CASE WHEN off_target_hits > 0 THEN '{S.OFF_TARGET_MATCH}' ELSE rejection_reason END AS rejection_reason, "
+    f"CASE WHEN off_target_hits > 0 THEN '{S.REJECT_OFF_TARGET}' WHEN off_target_hits = 0 THEN '{S.PASS}' ELSE taxonomic_screening_status END AS taxonomic_screening_status, on_target_hits, off_target_hits FROM man LEFT JOIN dec USING (design_id, bait_id)"
+)
+def manifest_transition(spark, sf_dir):
+    manifest, _, decisions = _screening(spark, sf_dir)
+    return screening.apply_screening(manifest, decisions)
+
+
+_RULES = "rules AS (SELECT design_id, source_sequence_id AS query_id, query_group, 1 + CAST(substr(source_sequence_id, 5) AS BIGINT) % 5 AS query_start, CASE WHEN CAST(substr(source_sequence_id, 5) AS BIGINT) % 2 = 0 THEN 0 ELSE 40 END AS query_end, sequence FROM src)"
+
+
+def _rules(spark, sf_dir):
+    number = F.substring("source_sequence_id", 5, 20).cast("long")
+    return sources(spark, sf_dir).select(
+        "design_id", F.col("source_sequence_id").alias("query_id"), "query_group", (1 + number % 5).alias("query_start"), F.when(number % 2 == 0, 0).otherwise(40).cast("long").alias("query_end"),
+        F.lit(80.0).alias("min_identity"), F.lit(50.0).alias("min_query_coverage"),
+    )
+
+
+@registered(f"WITH {_SRC}, {_RULES} SELECT design_id, query_id, substr(sequence, query_start, CASE WHEN query_end = 0 THEN length(sequence) ELSE query_end END - query_start + 1) AS sequence FROM rules")
+def query_crop(spark, sf_dir):
+    records = sources(spark, sf_dir).select("design_id", F.col("source_sequence_id").alias("query_id"), "sequence")
+    return discovery.crop_queries(_rules(spark, sf_dir), records)
+
+
+_QUERY_LENGTH = "(CASE WHEN query_end = 0 THEN length(sequence) ELSE 40 END - query_start + 1)"
+_LOCI = (
+    f"{_SRC}, {_RULES}, doc AS (SELECT 'd' || (doc_id % 3) AS design_id, 'asm_' || doc_id AS assembly_sequence_id, doc_id, {_DNA.format('text')} AS assembly FROM documents), "
+    f"hit AS (SELECT rules.design_id, query_id, query_group, {_QUERY_LENGTH} AS qlen, assembly_sequence_id, assembly, doc_id, "
+    "CASE WHEN doc_id % 2 = 0 THEN 3 ELSE 22 END AS a, CASE WHEN doc_id % 2 = 0 THEN 22 ELSE 3 END AS z, 70.0 + doc_id % 30 AS percent_identity "
+    "FROM rules JOIN doc ON rules.design_id = doc.design_id AND query_group = 'g' || (doc_id % 4) WHERE length(assembly) >= 30), "
+    "loc AS (SELECT *, CASE WHEN a < z THEN '+' ELSE '-' END AS strand, 20.0 / qlen * 100 AS query_coverage, "
+    f"CASE WHEN a < z THEN substr(assembly, 3, 20) ELSE {_RC.format('substr(assembly, 3, 20)')} END AS sequence FROM hit WHERE percent_identity >= 80 AND 20.0 / qlen * 100 >= 50)"
+)
+
+
+def _loci(spark, sf_dir):
+    rules = _rules(spark, sf_dir)
+    records = sources(spark, sf_dir).select("design_id", F.col("source_sequence_id").alias("query_id"), "sequence")
+    queries = discovery.crop_queries(rules, records)
+    docs = table(spark, sf_dir, "documents").select(_design("doc_id").alias("design_id"), F.concat(F.lit("asm_"), F.col("doc_id")).alias("assembly_sequence_id"), "doc_id", dna(F.col("text")).alias("sequence"))
+    even = F.col("doc_id") % 2 == 0
+    placed = docs.where(F.length("sequence") >= 30).withColumn("query_group", F.concat(F.lit("g"), F.col("doc_id") % 4))
+    long = lambda c: c.cast("long")
+    hits = placed.join(rules.select("design_id", "query_id", "query_group"), ["design_id", "query_group"]).join(queries.select("design_id", "query_id", F.length("sequence").alias("_n")), ["design_id", "query_id"])
+    hits = hits.select(
+        "design_id", "query_id", long(F.col("_n")).alias("query_length"), long(F.lit(1)).alias("query_start"), long(F.lit(20)).alias("query_end"), "assembly_sequence_id",
+        long(F.when(even, 3).otherwise(22)).alias("assembly_start_raw"), long(F.when(even, 22).otherwise(3)).alias("assembly_end_raw"), long(F.lit(20)).alias("alignment_length"),
+        (70.0 + F.col("doc_id") % 30).alias("percent_identity"),
+    ).where(F.col("query_length") >= 20)
+    return rules, discovery.candidate_loci(hits, rules, queries, docs.drop("doc_id"))
+
+
+@registered(f"WITH {_LOCI} SELECT design_id, query_id, query_group, assembly_sequence_id, 3 AS assembly_start, 22 AS assembly_end, strand, percent_identity, sequence FROM loc WHERE qlen >= 20")
+def locus_extraction(spark, sf_dir):
+    return _loci(spark, sf_dir)[1].select("design_id", "query_id", "query_group", "assembly_sequence_id", "assembly_start", "assembly_end", "strand", "percent_identity", "sequence")
+
+
+@registered(f"WITH {_LOCI}, u AS (SELECT DISTINCT design_id, query_group, sequence FROM loc WHERE qlen >= 20) SELECT *, 'source_sequence_' || lpad(CAST(row_number() OVER (PARTITION BY design_id ORDER BY query_group, sequence) AS VARCHAR), 6, '0') AS source_sequence_id FROM u")
+def provisional_sources(spark, sf_dir):
+    return discovery.provisional_sources(_loci(spark, sf_dir)[1])
+
+
+@registered(
+    f"WITH {_LOCI}, u AS (SELECT design_id, query_group, count(DISTINCT sequence) AS n FROM loc WHERE qlen >= 20 GROUP BY ALL) "
+    f"SELECT design_id, query_group, CASE WHEN coalesce(n, 0) > 0 THEN '{S.PASS}' ELSE '{S.NO_CANDIDATE_LOCUS}' END AS status, coalesce(n, 0) AS provisional_source_sequence_count FROM (SELECT DISTINCT design_id, query_group FROM rules) LEFT JOIN u USING (design_id, query_group)"
+)
+def group_completeness(spark, sf_dir):
+    rules, loci = _loci(spark, sf_dir)
+    return discovery.group_completeness(rules, discovery.provisional_sources(loci))
+
+
+@registered(f"WITH {_COUNTED} SELECT design_id, metagenome_id, ordinal, bait_count FROM counts")
+def record_filter(spark, sf_dir):
+    return panel.matching_records(read_table(spark, sf_dir), candidates.baits(_manifest(spark, sf_dir)), K, ("metagenome_id", "ordinal"))
+
+
+@registered(
+    f"WITH {_MANIFEST}, p AS (SELECT design_id, bait_id, kmer FROM man WHERE bait_id <> ''), given AS (SELECT 'd0' AS design_id, kmer FROM (SELECT DISTINCT kmer FROM p)) "
+    "SELECT design_id, 'manifest_only' AS error, bait_id AS value FROM p ANTI JOIN given USING (design_id, kmer) UNION ALL "
+    "SELECT design_id, 'indexed_not_in_panel', kmer FROM given ANTI JOIN p USING (design_id, kmer) UNION ALL "
+    "SELECT given.design_id, 'background_match', kmer FROM given SEMI JOIN bk USING (design_id, kmer)"
+)
+def verify_antijoin(spark, sf_dir):
+    """A wrong index on purpose, all k-mers under one design: every disagreement is a row."""
+    manifest = _manifest(spark, sf_dir)
+    good = candidates.baits(manifest)
+    index = good.select(F.lit("d0").alias("design_id"), F.col("sequence").alias("kmer")).distinct()
+    given = good.join(index.withColumnRenamed("kmer", "sequence"), ["design_id", "sequence"], "left_semi").select("design_id", "bait_id", "sequence")
+    errors = panel.index_errors(manifest, given, index, background(spark, sf_dir), K)
+    return errors
+
+
+@registered(
+    "WITH n AS (SELECT 'd' || (p_partkey % 3) AS design_id, replace(p_type, ' ', '.') || (p_partkey % 7) || CASE p_partkey % 5 WHEN 0 THEN '.fastq' WHEN 1 THEN '.fq' WHEN 2 THEN '.fastq.gz' WHEN 3 THEN '.fq.gz' ELSE '.txt' END AS name FROM part), "
+    "u AS (SELECT DISTINCT design_id, name FROM n WHERE regexp_matches(name, '\\.(fastq|fq)(\\.gz)?$')), s AS (SELECT *, regexp_replace(name, '\\.(fastq|fq)(\\.gz)?$', '') AS stem FROM u), "
+    "f AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY design_id, stem) = 1 THEN stem ELSE name END AS first FROM s), "
+    "g AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY design_id, first) = 1 AND regexp_full_match(first, '[A-Za-z0-9][A-Za-z0-9._-]*') THEN first ELSE 'read_' || sha256(name) END AS metagenome_id FROM f) "
+    "SELECT design_id || '__' || metagenome_id AS id, design_id, metagenome_id, name AS read FROM g"
+)
+def read_source_ids(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    suffix = F.element_at(F.array(*[F.lit(x) for x in (".fastq", ".fq", ".fastq.gz", ".fq.gz", ".txt")]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    names = p.select(_design("p_partkey").alias("design_id"), F.concat(F.replace("p_type", F.lit(" "), F.lit(".")), F.col("p_partkey") % 7, suffix).alias("name")).distinct()
+    return reads.resolve_read_sources(names)
+
+
+@registered(f"WITH {_COUNTED} SELECT design_id, metagenome_id, read_id, read_length, bait_count, representative_id FROM counted")
+def read_bait_counts(spark, sf_dir):
+    return reads.count_read_baits(read_table(spark, sf_dir), candidates.baits(_manifest(spark, sf_dir)), K).select("design_id", *S.READ_COUNTS)
+
+
+@registered(f"WITH {_READS} SELECT design_id, metagenome_id, ordinal, 'sequence_' || sha256(least(sequence, {_RC.format('sequence')})) AS representative_id FROM reads")
+def read_identity(spark, sf_dir):
+    return read_table(spark, sf_dir).select("design_id", "metagenome_id", "ordinal", representative_id(F.col("sequence")).alias("representative_id"))
+
+
+@registered(f"WITH {_COUNTED} SELECT design_id, representative_id, min(least(sequence, {_RC.format('sequence')})) AS sequence FROM counted GROUP BY ALL")
+def query_dedup(spark, sf_dir):
+    return reads.read_queries(reads.count_read_baits(read_table(spark, sf_dir), candidates.baits(_manifest(spark, sf_dir)), K))
+
+
+@registered(
+    f"WITH {_COUNTED}, n AS (SELECT design_id, count(*) AS c, count(DISTINCT representative_id) AS q FROM counted GROUP BY ALL) SELECT 'd' || r_regionkey AS design_id, coalesce(c, 0) AS deacon_returned_read_count, coalesce(c, 0) AS candidate_read_count, "
+    "coalesce(c - q, 0) AS duplicate_sequence_count, coalesce(q, 0) AS read_blast_query_count FROM region LEFT JOIN n ON n.design_id = 'd' || r_regionkey WHERE r_regionkey < 3"
+)
+def preparation_summary(spark, sf_dir):
+    counted = reads.count_read_baits(read_table(spark, sf_dir), candidates.baits(_manifest(spark, sf_dir)), K)
+    returned = counted.groupBy("design_id").agg(F.count(F.lit(1)).alias("returned"))
+    return reads.preparation_summary(counted, returned, designs(spark, sf_dir))
+
+
+_TAX = "CASE l_linenumber % 6 WHEN 0 THEN '1' WHEN 1 THEN '2,3' WHEN 2 THEN '1; 9' WHEN 3 THEN 'N/A' WHEN 4 THEN '7' ELSE '1,3' END"
+_READ_HITS = f"rh AS (SELECT 'd' || (l_orderkey % 3) AS design_id, 'read_' || l_orderkey AS qseqid, {_TAX} AS staxids, CAST(CAST(l_extendedprice AS DECIMAL(18, 1)) AS VARCHAR) AS bitscore, l_linenumber FROM lineitem)"
+_SCOPED = f"{_READ_HITS}, sc AS (SELECT *, staxids <> 'N/A' AND list_has_any(list_transform(string_split(replace(staxids, ',', ';'), ';'), lambda x: trim(x)), ['1', '7']) AS target, staxids = 'N/A' OR len(list_filter(list_transform(string_split(replace(staxids, ',', ';'), ';'), lambda x: trim(x)), lambda x: x NOT IN ('1', '7'))) > 0 AS non_target FROM rh)"
+_SCORES = f"{_SCOPED}, scores AS (SELECT design_id, qseqid AS representative_id, max(CAST(bitscore AS DECIMAL(38, 10))) FILTER (target) AS best_target, max(CAST(bitscore AS DECIMAL(38, 10))) FILTER (non_target) AS best_non_target FROM sc GROUP BY ALL)"
+
+
+def _read_hits(spark, sf_dir):
+    texts = F.array(*[F.lit(x) for x in ("1", "2,3", "1; 9", "N/A", "7", "1,3")])
+    return table(spark, sf_dir, "lineitem").select(
+        _design("l_orderkey").alias("design_id"), F.concat(F.lit("read_"), F.col("l_orderkey")).alias("qseqid"), F.element_at(texts, (F.col("l_linenumber") % 6 + 1).cast("int")).alias("staxids"),
+        F.col("l_extendedprice").cast("decimal(18,1)").cast("string").alias("bitscore"), "l_linenumber",
+    )
+
+
+def _scoped(spark, sf_dir):
+    scope = designs(spark, sf_dir).select("design_id", F.explode(F.array(F.lit("1"), F.lit("7"))).alias("taxid"))
+    return calibrate.hit_scope(_read_hits(spark, sf_dir), calibrate.calibration_scope(designs(spark, sf_dir), scope))
+
+
+@registered(f"WITH {_SCOPED} SELECT * FROM sc")
+def hit_scope(spark, sf_dir):
+    return _scoped(spark, sf_dir)
+
+
+@registered(f"WITH {_SCORES} SELECT design_id, representative_id, CAST(best_target AS VARCHAR) AS best_target, CAST(best_non_target AS VARCHAR) AS best_non_target FROM scores")
+def representative_scores(spark, sf_dir):
+    return calibrate.representative_scores(_scoped(spark, sf_dir)).select("design_id", "representative_id", F.col("best_target").cast("string"), F.col("best_non_target").cast("string"))
+
+
+_CLASS = "CASE WHEN best_target IS NULL AND best_non_target IS NULL THEN 'NO_HIT' WHEN best_target IS NULL THEN 'NON_TARGET' WHEN best_non_target IS NULL THEN 'TARGET' WHEN abs(best_target - best_non_target) <= 500.5 THEN 'TIED' WHEN best_target > best_non_target THEN 'TARGET' ELSE 'NON_TARGET' END"
+_TEXT = "coalesce(regexp_replace(CAST({0} AS VARCHAR), '\\.?0+$', ''), '')"
+_CANDS = "cands AS (SELECT 'd' || (o_orderkey % 3) AS design_id, 'm' || (o_custkey % 2) AS metagenome_id, 'read_' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS read_id, 100 AS read_length, 1 + o_custkey % 9 AS bait_count, 'read_' || o_orderkey AS representative_id FROM orders)"
+_CLASSIFIED = f"{_SCORES}, {_CANDS}, cls AS (SELECT design_id, metagenome_id, read_id, read_length, bait_count, representative_id, {_CLASS} AS classification, {_TEXT.format('best_target')} AS best_target_bit_score, {_TEXT.format('best_non_target')} AS best_non_target_bit_score FROM cands LEFT JOIN scores USING (design_id, representative_id))"
+
+
+def _classified(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    counts = o.select(
+        _design("o_orderkey").alias("design_id"), F.concat(F.lit("m"), F.col("o_custkey") % 2).alias("metagenome_id"), F.format_string("read_%012d", F.col("o_orderkey")).alias("read_id"),
+        F.lit(100).cast("long").alias("read_length"), (1 + F.col("o_custkey") % 9).alias("bait_count"), F.concat(F.lit("read_"), F.col("o_orderkey")).alias("representative_id"),
+    )
+    return calibrate.classify_reads(counts, calibrate.representative_scores(_scoped(spark, sf_dir)), "500.5")
+
+
+@registered(f"WITH {_CLASSIFIED} SELECT * FROM cls")
+def read_classification(spark, sf_dir):
+    return _classified(spark, sf_dir)
+
+
+_CURVE = (
+    f"{_CLASSIFIED}, per AS (SELECT design_id, bait_count AS threshold, " + ", ".join(f"count(*) FILTER (classification = '{c}') AS n{i}" for i, c in enumerate(S.CLASSES)) + " FROM cls GROUP BY ALL), "
+    "axis AS (SELECT design_id, unnest(range(1, most + 2)) AS threshold FROM (SELECT design_id, max(threshold) AS most FROM per GROUP BY ALL)), "
+    "curve AS (SELECT design_id, threshold, " + ", ".join(f"CAST(sum(coalesce(n{i}, 0)) OVER w AS BIGINT) AS {c}" for i, c in enumerate(S.THRESHOLD_COUNTS[1:])) + " FROM axis LEFT JOIN per USING (design_id, threshold) WINDOW w AS (PARTITION BY design_id ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING))"
+)
+
+
+@registered(f"WITH {_CURVE} SELECT * FROM curve")
+def threshold_curve(spark, sf_dir):
+    return calibrate.threshold_curve(_classified(spark, sf_dir))
+
+
+@registered(
+    f"WITH {_CURVE}, r AS (SELECT design_id, min(threshold) FILTER (target_read_count > 0 AND non_target_read_count = 0 AND tied_read_count = 0 AND no_hit_read_count = 0) AS recommended_threshold FROM curve GROUP BY ALL) "
+    f"SELECT *, CASE WHEN recommended_threshold IS NOT NULL THEN '{S.RECOMMENDED}' ELSE '{S.UNSUPPORTED}' END AS calibration_status FROM r"
+)
+def recommended_threshold(spark, sf_dir):
+    return calibrate.recommended_threshold(calibrate.threshold_curve(_classified(spark, sf_dir)))
+
+
+@registered("SELECT DISTINCT 'table' AS input_role, 'supplier' AS input_id, 'nation_' || s_nationkey AS attribute, CAST(count(*) OVER (PARTITION BY s_nationkey) AS VARCHAR) AS value FROM supplier")
+def provenance_facts(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).cast("string").alias("value"))
+    facts = s.select(F.lit("table").alias("input_role"), F.lit("supplier").alias("input_id"), F.concat(F.lit("nation_"), F.col("s_nationkey")).alias("attribute"), "value")
+    parameters = spark.createDataFrame([("kmer_size", str(K))], "parameter string, value string")
+    versions = spark.createDataFrame([("engine", "1"), ("engine", "1")], "component string, version string")
+    return provenance.provenance(facts, parameters, versions)[0]
+
+
+@registered("SELECT kmer, ours, theirs, 'x' AS design_id FROM (SELECT o_orderpriority AS kmer, count(*) AS ours FROM orders GROUP BY ALL) FULL JOIN (SELECT c_mktsegment AS kmer, count(*) AS theirs FROM customer GROUP BY ALL) USING (kmer) WHERE ours IS DISTINCT FROM theirs")
+def full_outer_counts_check(spark, sf_dir):
+    ours = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("kmer")).agg(F.count(F.lit(1)).alias("source_copy_count")).withColumn("design_id", F.lit("x"))
+    theirs = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("kmer")).agg(F.count(F.lit(1)).alias("count")).withColumn("design_id", F.lit("x"))
+    return candidates.count_differences(ours, theirs)
+
+
+@registered("SELECT DISTINCT c_custkey FROM customer ANTI JOIN (SELECT o_custkey AS c_custkey FROM orders) USING (c_custkey)")
+def left_anti_missing(spark, sf_dir):
+    return contracts.missing(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+
+
+@registered("SELECT l_partkey, l_suppkey, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_keys(spark, sf_dir):
+    return contracts.duplicate_keys(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey"), ["l_partkey", "l_suppkey"])
+
+
+@registered("SELECT doc_id, count(*) OVER (PARTITION BY text) AS copies FROM documents")
+def window_dup_count(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.count(F.lit(1)).over(Window.partitionBy("text")).alias("copies"))
+
+
+@registered("SELECT * FROM (SELECT user_id, event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) WHERE value < before")
+def lag_sortedness(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    bad = contracts.unsorted_rows(e, ["user_id"], "event_id", "value")
+    before = e.withColumn("before", F.lag("value").over(Window.partitionBy("user_id").orderBy("event_id")))
+    return before.join(bad.select("event_id"), "event_id", "left_semi").select("user_id", "event_id", "value", "before")
+
+
+@registered("SELECT 'customer' AS side, c_nationkey AS nationkey FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'supplier', s_nationkey FROM supplier WHERE s_acctbal < 0")
+def union_all_errors(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.lit("customer").alias("side"), F.col("c_nationkey").alias("nationkey"))
+    return c.unionByName(table(spark, sf_dir, "supplier").where("s_acctbal < 0").select(F.lit("supplier").alias("side"), F.col("s_nationkey").alias("nationkey")))
+
+
+@registered("SELECT n_name, parameter, value FROM nation, (VALUES ('kmer_size', '31'), ('shards', '4')) AS p(parameter, value)")
+def cross_params(spark, sf_dir):
+    """Run-level parameters given to every key: an inner join on a constant key, the few parameters broadcast."""
+    parameters = spark.createDataFrame([("kmer_size", "31"), ("shards", "4")], "parameter string, value string")
+    pairs = F.array(*[F.struct(F.lit(r.parameter).alias("parameter"), F.lit(r.value).alias("value")) for r in parameters.collect()])
+    return table(spark, sf_dir, "nation").select("n_name", F.explode(pairs).alias("p")).select("n_name", "p.*")
+
+
+@registered("SELECT n_nationkey, n_name, customers FROM nation JOIN (SELECT c_nationkey AS n_nationkey, count(*) AS customers FROM customer GROUP BY ALL) USING (n_nationkey)")
+def strict_join(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("customers"))
+    return contracts.strict_join(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), c, ["n_nationkey"], "nations")
+
+
+@registered("SELECT taxid, row_number() OVER (ORDER BY length(taxid), taxid) AS place FROM (SELECT DISTINCT CAST(p_partkey * 7919 AS VARCHAR) AS taxid FROM part)")
+def taxid_order(spark, sf_dir):
+    from strandsieve.functions.taxonomy import canonical_order
+
+    t = table(spark, sf_dir, "part").select((F.col("p_partkey") * 7919).cast("string").alias("taxid")).distinct()
+    return t.withColumn("place", F.row_number().over(Window.orderBy(*canonical_order(F.col("taxid")))))
