@@ -72,7 +72,7 @@ def check_hits(hits: DataFrame, baits: DataFrame, k: int) -> DataFrame:
 def screening_decisions(baits: DataFrame, hits: DataFrame, targets: DataFrame) -> DataFrame:
     """Per bait the hit rows on and off target; any off-target row rejects, no hits pass with 0 and 0."""
     judged = hits.join(F.broadcast(targets.select("design_id", "target_taxid")), "design_id").withColumn("_on", only_target(F.col("staxids"), F.col("target_taxid")))
-    counts = judged.groupBy("design_id", F.col("qseqid").alias("bait_id")).agg(F.count_if("_on").alias("on_target_hits"), F.count_if(~F.col("_on")).alias("off_target_hits"))
+    counts = judged.groupBy("design_id", F.col("qseqid").alias("bait_id")).agg(F.count_if(F.col("_on")).alias("on_target_hits"), F.count_if(~F.col("_on")).alias("off_target_hits"))
     joined = baits.select("design_id", "bait_id").join(counts, ["design_id", "bait_id"], "left").fillna(0, ["on_target_hits", "off_target_hits"])
     status = F.when(F.col("off_target_hits") > 0, S.REJECT_OFF_TARGET).otherwise(S.PASS)
     return joined.withColumn("taxonomic_screening_status", status).select("design_id", *S.SCREENING_DECISIONS)
@@ -107,7 +107,7 @@ def screening_status(manifest: DataFrame, decisions: DataFrame, designs: DataFra
 def bait_set_status(manifest: DataFrame, designs: DataFrame, screened: bool) -> DataFrame:
     """Eight ordered metrics of each design's panel; `designs` has design_id and source_sequence_origin."""
     n = manifest.groupBy("design_id").agg(
-        F.count(F.lit(1)).alias("candidates"), F.count_if("bait_id <> ''").alias("local"), F.count_if((F.col("status") == S.PASS) & (F.col("bait_id") != "")).alias("kept"),
+        F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("bait_id") != "").alias("local"), F.count_if((F.col("status") == S.PASS) & (F.col("bait_id") != "")).alias("kept"),
         F.count_if(F.col("status") == S.REJECT_BACKGROUND).alias("background"), F.count_if(F.col("status") == S.REJECT_COMPLEXITY).alias("low"),
     )
     n = designs.select("design_id", "source_sequence_origin").join(n, "design_id", "left").fillna(0, ["candidates", "local", "kept", "background", "low"])

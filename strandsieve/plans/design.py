@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandsieve import schema as S
 from strandsieve.operators import align, calibrate, candidates, discovery, panel, reads, screening
+from strandsieve.session import settled
 from strandsieve.sources.sinks import write_if_any, write_table
 
 
@@ -78,9 +79,9 @@ def find_sources(inputs: Inputs, run: Run) -> DataFrame:
     if inputs.rules is not None:
         run.steps.append("discovered_sources")
         discovery.check_rules(inputs.rules)
-        queries = discovery.crop_queries(inputs.rules, inputs.records).persist()
+        queries = settled(discovery.crop_queries(inputs.rules, inputs.records))
         hits = inputs.locus_hits if inputs.locus_hits is not None else align.locus_hits(queries, inputs.assembly)
-        loci = run.keep("loci", discovery.candidate_loci(hits, inputs.rules, queries, inputs.assembly).persist())
+        loci = run.keep("loci", settled(discovery.candidate_loci(hits, inputs.rules, queries, inputs.assembly)))
         found = discovery.provisional_sources(loci)
         status = run.keep("discovery_status", discovery.group_completeness(inputs.rules, found))
         parts.append(found.join(discovery.complete_designs(status), "design_id", "left_semi").select("design_id", "source_sequence_id", "query_group", "sequence"))
@@ -93,11 +94,11 @@ def find_sources(inputs: Inputs, run: Run) -> DataFrame:
 def run_designs(inputs: Inputs, parameters: Parameters | None = None) -> Run:
     p, run = parameters or Parameters(), Run()
     k = p.kmer_size
-    sources = find_sources(inputs, run).persist()
+    sources = settled(find_sources(inputs, run))
     occurrences = candidates.enumerate_kmers(sources, k)
-    counts = candidates.kmer_counts(occurrences).persist()
+    counts = settled(candidates.kmer_counts(occurrences))
     cancelled = candidates.background_counts(counts, inputs.background, k)
-    manifest = candidates.filter_complexity(candidates.build_manifest(counts, cancelled), p.entropy_threshold).persist()
+    manifest = settled(candidates.filter_complexity(candidates.build_manifest(counts, cancelled), p.entropy_threshold))
     run.steps += ["candidate_kmers", "complexity_filter"]
     run.keep("manifest", manifest)
     run.keep("occurrences", candidates.occurrence_table(occurrences, manifest))
@@ -107,17 +108,17 @@ def run_designs(inputs: Inputs, parameters: Parameters | None = None) -> Run:
         run.steps.append("taxonomic_screening")
         local = candidates.baits(manifest)
         hits = inputs.exact_hits if inputs.exact_hits is not None else screening.exact_match_hits(local, inputs.reference, k)
-        hits = run.keep("exact_hits", hits.persist())
-        decisions = run.keep("decisions", screening.screening_decisions(local, hits, inputs.designs).persist())
+        hits = run.keep("exact_hits", settled(hits))
+        decisions = run.keep("decisions", settled(screening.screening_decisions(local, hits, inputs.designs)))
         run.keep("screening_status", screening.screening_status(manifest, decisions, inputs.designs))
-        deepest = run.keep("screened_manifest", screening.apply_screening(manifest, decisions).persist())
+        deepest = run.keep("screened_manifest", settled(screening.apply_screening(manifest, decisions)))
     found = inputs.designs.select("design_id").limit(0) if inputs.rules is None else inputs.rules.select("design_id").distinct()
     marked = inputs.designs.select("design_id").join(found.withColumn("_found", F.lit(True)), "design_id", "left")
     origins = marked.select("design_id", F.when(F.col("_found"), S.DISCOVERED).otherwise(S.CURATED).alias("source_sequence_origin"))
     run.keep("bait_set_status", screening.bait_set_status(deepest, origins, screened=deepest is not manifest))
-    baits = run.keep("baits", candidates.baits(deepest).persist())
+    baits = run.keep("baits", settled(candidates.baits(deepest)))
     index = baits.select("design_id", F.col("sequence").alias("kmer"))
-    errors = run.keep("index_errors", panel.index_errors(deepest, baits, index, inputs.background, k).persist())
+    errors = run.keep("index_errors", settled(panel.index_errors(deepest, baits, index, inputs.background, k)))
     panel.verify(errors)
     run.keep("verification", panel.verification_summary(deepest, baits, index, errors, inputs.designs))
     run.steps.append("verified_index")
@@ -128,15 +129,15 @@ def run_designs(inputs: Inputs, parameters: Parameters | None = None) -> Run:
 
 def calibrate_panel(inputs: Inputs, baits: DataFrame, p: Parameters, run: Run) -> None:
     run.steps.append("calibration")
-    counted = reads.count_read_baits(inputs.reads, baits, p.kmer_size).persist()
+    counted = settled(reads.count_read_baits(inputs.reads, baits, p.kmer_size))
     run.keep("read_counts", counted.select("design_id", *S.READ_COUNTS))
     returned = counted.groupBy("design_id").agg(F.count(F.lit(1)).alias("returned"))
     designs = inputs.designs.join(inputs.reads.select("design_id").distinct(), "design_id", "left_semi")
-    preparation = run.keep("preparation", reads.preparation_summary(counted, returned, designs).persist())
+    preparation = run.keep("preparation", settled(reads.preparation_summary(counted, returned, designs)))
     queries = reads.read_queries(counted)
     hits = align.keep_best_subjects(inputs.read_hits, p.max_subjects) if inputs.read_hits is not None else align.read_hits(queries, inputs.reference, p.max_subjects)
     scoped = calibrate.hit_scope(hits, calibrate.calibration_scope(inputs.designs, inputs.scope))
-    classified = run.keep("classified_reads", calibrate.classify_reads(counted, calibrate.representative_scores(scoped), p.tie_tolerance).persist())
-    curve = run.keep("threshold_counts", calibrate.threshold_curve(classified, designs).persist())
+    classified = run.keep("classified_reads", settled(calibrate.classify_reads(counted, calibrate.representative_scores(scoped), p.tie_tolerance)))
+    curve = run.keep("threshold_counts", settled(calibrate.threshold_curve(classified, designs)))
     calibrate.check_agreement(curve, preparation)
     run.keep("threshold_summary", calibrate.threshold_summary(curve, preparation))

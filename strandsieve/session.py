@@ -1,21 +1,28 @@
-"""Makes this package importable where Python workers run."""
+"""What a session needs for this package: its code on the workers, batches of bounded size, and a shared folder for cut lineage."""
 
 from __future__ import annotations
 
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = str(Path(__file__).resolve().parent.parent)
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Puts the package on the workers' path: by PYTHONPATH on one machine, by a shipped archive on a cluster."""
+    """Puts the package on the workers' path: by PYTHONPATH on one machine, by a shipped archive on a cluster.
+
+    Rows here hold whole texts, so a batch of rows that goes to Python is made smaller where the default stands.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "2000")
     if _ROOT in os.environ.get("PYTHONPATH", "").split(os.pathsep) or sc.applicationId in _shipped:
         return spark
     if sc.master.startswith("local[") or sc.master == "local":
@@ -26,3 +33,20 @@ def ready(spark: SparkSession) -> SparkSession:
         sc.addPyFile(archive)
     _shipped.add(sc.applicationId)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which all executors see; only on one machine, and only where it is unset, a local folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.gettempdir() + "/strandsieve-shared"
+    return root
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows from a Parquet table in the shared folder: plans stay short, and a lost executor loses nothing of it."""
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,0 +1,84 @@
+import pytest
+
+from strandsieve import contracts
+from strandsieve import schema as S
+from strandsieve.operators import panel, screening
+
+HITS = "design_id string, qseqid string, saccver string, staxids string, sscinames string, pident double, length long, mismatch long, gapopen long, qstart long, qend long, sstart long, send long, stitle string"
+MANIFEST = "design_id string, candidate_kmer_id string, bait_id string, kmer string, source_copy_count long, background_occurrences long, status string, rejection_reason string, taxonomic_screening_status string, on_target_hits long, off_target_hits long"
+
+
+def hit(bait, taxids, **change):
+    row = {"design_id": "d", "qseqid": bait, "saccver": "x", "staxids": taxids, "sscinames": "n", "pident": 100.0, "length": 5, "mismatch": 0, "gapopen": 0, "qstart": 1, "qend": 5, "sstart": 9, "send": 13, "stitle": "t"} | change
+    return tuple(row.values())
+
+
+def panel_rows(spark, n):
+    return spark.createDataFrame([("d", f"bait_{i:06d}", "ACGTA") for i in range(1, n + 1)], "design_id string, bait_id string, sequence string")
+
+
+def test_decisions_count_rows_on_and_off_target(spark, rows):
+    hits = spark.createDataFrame(
+        [hit("bait_000001", "88456"), hit("bait_000001", "88456;88456"), hit("bait_000003", "N/A"), hit("bait_000004", "88456"), hit("bait_000004", "9"), hit("bait_000005", "88456;9")], HITS
+    )
+    targets = spark.createDataFrame([("d", "88456")], "design_id string, target_taxid string")
+    got = screening.screening_decisions(panel_rows(spark, 5), screening.check_hits(hits, panel_rows(spark, 5), 5), targets)
+    assert rows(got, "taxonomic_screening_status", "on_target_hits", "off_target_hits", "bait_id") == sorted(
+        [(S.PASS, 2, 0, "bait_000001"), (S.PASS, 0, 0, "bait_000002"), (S.REJECT_OFF_TARGET, 0, 1, "bait_000003"), (S.REJECT_OFF_TARGET, 1, 1, "bait_000004"), (S.REJECT_OFF_TARGET, 0, 1, "bait_000005")], key=repr
+    )
+
+
+@pytest.mark.parametrize("bad", [hit("bait_000009", "1"), hit("bait_000001", ""), hit("bait_000001", "01"), hit("bait_000001", "1", pident=99.0), hit("bait_000001", "1", qend=4), hit("bait_000001", "1", send=12), hit("bait_000001", None)])
+def test_hits_are_checked(spark, bad):
+    with pytest.raises(contracts.ContractError):
+        screening.check_hits(spark.createDataFrame([bad], HITS), panel_rows(spark, 1), 5)
+
+
+def test_native_search_finds_both_strands_and_palindromes(spark, rows):
+    baits = spark.createDataFrame([("d", "b1", "AACCC"), ("d", "b2", "ACGT")], "design_id string, bait_id string, sequence string")
+    ref = spark.createDataFrame([("r1", "1", "n", "t", "TTAACCCGG"), ("r2", "1", "n", "t", "cuGGGTTAA"), ("r3", "2", "n", "t", "NACGTN")], "saccver string, staxids string, sscinames string, stitle string, sequence string")
+    assert rows(screening.exact_match_hits(baits.where("bait_id = 'b1'"), ref, 5), "saccver", "sstart", "send") == [("r1", 3, 7), ("r2", 7, 3)]
+    assert rows(screening.exact_match_hits(baits.where("bait_id = 'b2'"), ref, 4), "saccver", "sstart", "send") == [("r3", 2, 5), ("r3", 5, 2)]
+
+
+def manifest(spark):
+    return spark.createDataFrame(
+        [("d", "c1", "bait_000001", "AAACC", 1, 0, S.PASS, S.NONE, S.NOT_RUN, None, None), ("d", "c2", "bait_000002", "AACCC", 1, 0, S.PASS, S.NONE, S.NOT_RUN, None, None), ("d", "c3", "", "AAAAA", 1, 2, S.REJECT_BACKGROUND, S.BACKGROUND_OCCURRENCE, S.NOT_APPLICABLE, None, None)], MANIFEST
+    )
+
+
+def test_decisions_move_the_manifest(spark):
+    decided = spark.createDataFrame([("d", "bait_000001", S.PASS, 3, 0), ("d", "bait_000002", S.REJECT_OFF_TARGET, 0, 1)], "design_id string, bait_id string, taxonomic_screening_status string, on_target_hits long, off_target_hits long")
+    got = {r.candidate_kmer_id: r for r in screening.apply_screening(manifest(spark), decided).collect()}
+    assert (got["c1"].status, got["c1"].taxonomic_screening_status, got["c1"].on_target_hits) == (S.PASS, S.PASS, 3)
+    assert (got["c2"].status, got["c2"].rejection_reason, got["c2"].bait_id) == (S.REJECT_OFF_TARGET, S.OFF_TARGET_MATCH, "bait_000002")
+    assert (got["c3"].status, got["c3"].off_target_hits) == (S.REJECT_BACKGROUND, None)
+    designs = spark.createDataFrame([("d", S.CURATED)], "design_id string, source_sequence_origin string")
+    status = {r.metric: r.value for r in screening.bait_set_status(screening.apply_screening(manifest(spark), decided), designs, True).collect()}
+    assert len(status) == 8
+    assert (status["bait_set"], status["taxonomically_screened_bait_count"], status["terminal_stage"]) == ("taxonomically_screened", "1", "")
+
+
+def test_index_is_verified(spark, tmp_path, rows):
+    good = panel.panel_of(manifest(spark))
+    path = str(tmp_path / "index")
+    panel.build_index(good, path, 5)
+    index = panel.read_index(spark, path)
+    assert rows(index, "kmer") == [("AAACC",), ("AACCC",)]
+    clean = spark.createDataFrame([("d", "TTTTTTT")], "design_id string, sequence string")
+    errors = panel.index_errors(manifest(spark), good, index, clean, 5)
+    panel.verify(errors)
+    designs = spark.createDataFrame([("d",)], "design_id string")
+    summary = panel.verification_summary(manifest(spark), good, index, errors, designs)
+    assert summary.count() == 12
+    assert "| verification_status | PASS |" in panel.report(summary)
+    dirty = spark.createDataFrame([("d", "GGGTT")], "design_id string, sequence string")
+    wrong = panel.index_errors(manifest(spark), good.limit(1), index, dirty, 5)
+    assert {r.error for r in wrong.collect()} >= {"manifest_only", "indexed_not_in_panel", "background_match"}
+    with pytest.raises(panel.VerificationError):
+        panel.verify(wrong)
+
+
+def test_records_with_a_match_are_kept(spark, rows):
+    records = spark.createDataFrame([("d", "x", "TTAAACCT"), ("d", "y", "GGTTTA"), ("d", "z", "CCCCCCC")], "design_id string, id string, sequence string")
+    assert rows(panel.filter_records(records, panel.panel_of(manifest(spark)), 5, ("id",)), "id") == [("x",), ("y",)]
