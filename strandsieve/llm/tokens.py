@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, islice
 from struct import pack
 
 import pyarrow as pa
@@ -20,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: Pieces that a worker remembers in each of two generations.
-REMEMBERED = 300_000
+#: Pieces, and parts of pieces, that a worker remembers in each of two generations.
+PIECES, PARTS = 400_000, 600_000
 _UNEVEN = re.compile(r" (?:\s|\Z)")
 _GAP = re.compile(r" (?=\S)")
+_MARKS = frozenset(".,;:!?")
 
 
 class _Memo(dict):
@@ -37,6 +39,8 @@ class _Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+            if len(key) > 4 and "\n" in key:  # the ends of two lines seldom meet again
+                return value
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -66,8 +70,8 @@ class PieceEncoder:
         odd = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(odd)}
         self.space = self.letters[32]
-        self.of_part = _Memo(self._part, REMEMBERED)
-        self.of_piece = _Memo(self._piece, REMEMBERED)
+        self.of_part = _Memo(self._part, PARTS)
+        self.after_space = _Memo(self._piece, PIECES)
 
     def _part(self, part: str) -> bytes:
         if part[0] == " " and part.isascii() and part[1:].isalpha():
@@ -77,15 +81,12 @@ class PieceEncoder:
         tokens = self.merge(shown)
         return pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
-    def _piece(self, piece: str) -> bytes:
-        if piece[1:].isalpha() and piece[0] == " ":
-            return self._part(piece)
-        return b"".join(map(self.of_part.__getitem__, self.parts(piece)))
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        parts = _GAP.split(text) if _UNEVEN.search(text) else text.split(" ")
-        return [parts[0], *[" " + p for p in parts[1:]]]
+    def _piece(self, rest: str) -> bytes:
+        if rest.isalpha():
+            return self.of_part[" " + rest]
+        if rest[-1:] in _MARKS and rest[:-1].isalpha():
+            return self.of_part[" " + rest[:-1]] + self.of_part[rest[-1]]
+        return b"".join(map(self.of_part.__getitem__, self.parts(" " + rest)))
 
     def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -94,9 +95,10 @@ class PieceEncoder:
                 ids = self.tokenizer.encode(t, add_special_tokens=False).ids
                 yield pack(f"<{len(ids)}I", *ids)
             return
-        get = self.of_piece.__getitem__
+        get, part = self.after_space.__getitem__, self.of_part.__getitem__
         for t in texts:
-            yield b"".join(map(get, self.pieces(t)))
+            pieces = _GAP.split(t) if _UNEVEN.search(t) else t.split(" ")
+            yield b"".join(chain(map(part, self.parts(pieces[0])), map(get, islice(pieces, 1, None))))
 
 
 _encoders: dict[str, PieceEncoder] = {}
