@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from strandsieve.llm.common import written
+
 #: Pieces, and parts of pieces, that a worker remembers in each of two generations.
 PIECES, PARTS = 400_000, 600_000
 _UNEVEN = re.compile(r" (?:\s|\Z)")
@@ -124,7 +126,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", into: str
 
 def length_histogram(lengths: DataFrame, column: str = "n_tokens", block: int = 1024) -> DataFrame:
     """One row for each distinct length, with counts and sums at it, at or over it, and truncated to it."""
-    per = lengths.groupBy(F.col(column).cast("long").alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
+    # Written, as it is read twice below and every text would else be encoded twice.
+    per, _ = written(lengths.groupBy(F.col(column).cast("long").alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
     per = per.withColumn("_block", F.floor(F.col("n_tokens") / block)).withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     blocks = per.groupBy("_block").agg(F.sum("n_docs").alias("_d"), F.sum("tokens").alias("_t"))
     after = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
