@@ -2,8 +2,9 @@
 
 One scan finds the base spans of each text and, beside them, loosely shaped candidates that no base pattern accepts. Each
 mention of either sort carries lexical patterns: its kind with the two words before it, and with the word on each side.
-Patterns and instances (distinct values) form a graph, which Spark scores in turns: a pattern is as good as the mean of
-its instances, an instance as good as the best evidence of its patterns together, seeds being certain. Patterns induced
+Patterns and instances (distinct values) form a graph, which Spark scores in turns: a pattern is as good as the share of
+its instances that are accepted, an instance as good as its patterns together; seeds are accepted, others once they are
+good enough. Patterns induced
 by enough distinct seeds and of high confidence then discover the candidates they stand beside. Scores use every document;
 the graph is aggregated before it is joined, and nothing of it goes to the driver.
 
@@ -166,10 +167,8 @@ def score_patterns(edges: DataFrame, turns: int = TURNS) -> DataFrame:
     known = edges.groupBy("instance").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(0.0)).alias("belief"))
     path = None
     for _ in range(turns):
-        # A turn: beliefs of instances to patterns (mean), and back (one minus the product of doubts).
-        per = edges.join(known, "instance").groupBy("pattern").agg(
-            F.avg("belief").alias("confidence"), F.sum(F.when(F.col("seed"), 1).otherwise(0)).alias("seeds")
-        )
+        # A turn: accepted instances to patterns (their share), and back (one minus the product of doubts).
+        per = _confidence(edges, known)
         trusted = F.when(F.col("seeds") >= SUPPORT, F.least(F.col("confidence"), F.lit(0.999))).otherwise(0.0)
         doubts = edges.join(per, "pattern").groupBy("instance").agg(
             F.max("seed").alias("seed"), F.exp(F.sum(F.log(1 - trusted))).alias("doubt")
@@ -178,9 +177,12 @@ def score_patterns(edges: DataFrame, turns: int = TURNS) -> DataFrame:
         if path:
             discard(spark, path)
         known, path = new, new_path
-    return edges.join(known, "instance").groupBy("pattern").agg(
-        F.avg("belief").alias("confidence"), F.sum(F.when(F.col("seed"), 1).otherwise(0)).alias("seeds")
-    )
+    return _confidence(edges, known)
+
+
+def _confidence(edges: DataFrame, known: DataFrame) -> DataFrame:
+    accepted = F.when(F.col("belief") >= CONFIDENCE, 1.0).otherwise(0.0)
+    return edges.join(known, "instance").groupBy("pattern").agg(F.avg(accepted).alias("confidence"), F.sum(F.when(F.col("seed"), 1).otherwise(0)).alias("seeds"))
 
 
 def find_personal_data(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:

@@ -73,16 +73,18 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         return out, bag
     within = np.arange(len(starts)) - np.repeat(first[:-1], n_words)
     of_word = np.repeat(bag[:-1], n_words) + within // PASSAGE
-    # A passage's bytes run from its first word to the next passage's or the text's end.
-    begin = offsets[row].copy()
+    # A passage's bytes run from its first word to the next passage of its text, or to the text's end.
+    begin, end = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
     lead = np.flatnonzero(within % PASSAGE == 0)
     begin[of_word[lead]] = starts[lead]
-    end = np.append(begin[1:], offsets[-1])
-    size = np.maximum(end - begin, 1)
-    of_byte = np.repeat(np.arange(len(begin)), np.maximum(np.append(begin[1:], offsets[-1]) - begin, 0))
-    inside = data[begin[0] : begin[0] + len(of_byte)]
-    kinds = np.bincount(of_byte * _KINDS + _KIND[inside], minlength=len(begin) * _KINDS).reshape(-1, _KINDS)
-    out[:, :_KINDS] = kinds / size[:, None]
+    end[of_word[lead]] = offsets[row[of_word[lead]] + 1]
+    more = np.flatnonzero(row[1:] == row[:-1])
+    end[more] = begin[more + 1]
+    size = end - begin
+    at = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+    of_byte = np.repeat(np.arange(len(begin)), size)
+    kinds = np.bincount(of_byte * _KINDS + _KIND[data[at]], minlength=len(begin) * _KINDS).reshape(-1, _KINDS)
+    out[:, :_KINDS] = kinds / np.maximum(size, 1)[:, None]
 
     length = (ends - starts).astype(float)
     count = np.bincount(of_word, minlength=len(begin))
@@ -118,6 +120,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _times(rows: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A product whose rows do not depend, even in the last bit, on what other rows are in the batch."""
+    return np.einsum("ij,jk->ik" if w.ndim == 2 else "ij,j->i", rows, w, optimize=False)
+
+
 @dataclass
 class Model:
     """Weights, or a constant score if there was nothing to learn from."""
@@ -129,13 +136,13 @@ class Model:
         w = self.weights
         x = (x - w["mean"]) / w["scale"]
         of = np.repeat(np.arange(len(bag) - 1), np.diff(bag))
-        h = np.tanh(x @ w["encode"] + w["encode0"])
-        t, g = np.tanh(h @ w["tanh"]), _sigmoid(h @ w["gate"])
-        e = (t * g) @ w["attend"]
+        h = np.tanh(_times(x, w["encode"]) + w["encode0"])
+        t, g = np.tanh(_times(h, w["tanh"])), _sigmoid(_times(h, w["gate"]))
+        e = _times(t * g, w["attend"])
         a = np.exp(e - np.maximum.reduceat(e, bag[:-1])[of])
         a /= np.add.reduceat(a, bag[:-1])[of]
         z = np.add.reduceat(a[:, None] * h, bag[:-1])
-        return {"x": x, "of": of, "h": h, "t": t, "g": g, "a": a, "z": z, "p": _sigmoid(z @ w["out"] + w["out0"])}
+        return {"x": x, "of": of, "h": h, "t": t, "g": g, "a": a, "z": z, "p": _sigmoid(_times(z, w["out"]) + w["out0"])}
 
     def scores(self, x: np.ndarray, bag: np.ndarray) -> np.ndarray:
         if len(bag) < 2:
