@@ -2,15 +2,16 @@
 
 The reference is everything that starts earlier: smaller doc_ids, or the same document before. Its index is sharded by
 hash into blocks. Each document is factored greedily: a factor is the longest run of words that continues at one place of
-the reference, found as 20-word windows whose earliest places advance in step. Factors of at least 20 words are duplicate
+the reference, found as 20-word windows whose earlier places advance in step. Factors of at least 20 words are duplicate
 spans. At factor boundaries, where a window straddles two factors, the window is looked up on its own, so a span ends only
 where no 20-word window occurs earlier.
 
 How the index stays small: of each window only its anchor is shared first, the least hash among its 8-word sequences
 (about one anchor for seven words). Equal windows have equal anchors, so a window whose anchor occurs once in the whole
 collection is new, and its hash is never shuffled. Only windows with a repeated anchor are looked up, by 96 bits of hash.
-The earliest place of a window is a ranked first within its key; keys under anchors that occur more than `HOT` times are
-instead summed on the map side first and joined, so that no passage, however common, is gathered in one task.
+The first place of a window is the first of its key in order of place; keys under anchors that occur more than `HOT` times
+are dealt out, by document, into as many parts as the root of their number, and the firsts of the parts are compared next,
+so that no passage, however common, is gathered in one task.
 
 Edge cases: null text has no words; windows are judged on the input; rows that repeat a doc_id count as the same place;
 a null doc_id sorts before all others; texts under 20 words lose nothing; an empty table gives an empty result; extra
@@ -28,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandsieve.llm.bytescan import U64, NgramHasher, WordHasher, hashed_words
+from strandsieve.llm.bytescan import U64, NgramHasher, WordHasher, hashed_words, mix
 from strandsieve.llm.common import bounded, discard, partitions, tidy_documents, written
 
 WINDOW, ANCHOR = 20, 8
-#: Occurrences of an anchor beyond which its windows are pre-aggregated.
+#: Occurrences of an anchor beyond which its windows are dealt out in parts.
 HOT = 2000
 #: Index entries that may be broadcast at once, with their documents.
 BROADCAST_ENTRIES = 8_000_000
@@ -84,62 +85,76 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """For each document with repeated anchors: doc, those anchors, those of them that are hot. A written table."""
+    """For each document with repeated anchors: doc, its cold and hot ones, and the parts of the hot. A written table."""
     spark = docs.sparkSession
     all_anchors, path = written(anchors(docs), "anchors")
     counted = all_anchors.groupBy("anchor").agg(F.sum("times").alias("times")).where("times > 1")
-    counted, counted_path = written(counted.select("anchor", (F.col("times") > HOT).alias("hot")), "repeated")
+    parts = F.when(F.col("times") > HOT, F.ceil(F.sqrt("times"))).otherwise(0).cast("int")
+    counted, counted_path = written(counted.select("anchor", parts.alias("parts")), "repeated")
     hits = all_anchors.select("anchor", "doc").join(bounded(counted, 200_000), "anchor")
-    per = hits.groupBy("doc").agg(F.collect_set("anchor").alias("repeated"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot"))
-    per, _ = written(per, "hits")
+    cold = F.collect_list(F.when(F.col("parts") == 0, F.col("anchor"))).alias("cold")
+    hot = F.collect_list(F.when(F.col("parts") > 0, F.struct("anchor", "parts"))).alias("_hot")
+    per, _ = written(hits.groupBy("doc").agg(cold, hot).select("doc", "cold", F.col("_hot.anchor").alias("hot"), F.col("_hot.parts").alias("parts")), "hits")
     discard(spark, path)
     discard(spark, counted_path)
     return per
 
 
-def _windows(docs: DataFrame, hits: DataFrame, hot: bool) -> DataFrame:
-    """k1, k2, doc, start of each window whose anchor is repeated: those under hot anchors, or the others."""
+def _windows(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """k1, k2, part, doc, start of each window whose anchor is among the document's in `hits`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["k1", "k2", "part", "doc", "start"]
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
-            wanted = b.column(2)
+            spread = mix(ids.astype(np.int64).view(U64)) >> U64(1)
+            cold, hot, parts_of_hot = b.column(2), b.column(3), b.column(4)
             out: list[tuple[np.ndarray, ...]] = []
             size = 0
             for i, (first, second) in hashed_words(b.column(1), [_FIRST, _SECOND]):
                 if len(first) < WINDOW:
                     continue
                 least, _ = window_anchors(first)
-                chosen = np.flatnonzero(np.isin(least, np.asarray(wanted[i].values, np.int64).view(U64)))
+                few = np.asarray(hot[i].values, np.int64)
+                anchor = np.concatenate([np.asarray(cold[i].values, np.int64), few]).view(U64)
+                part_of = np.concatenate([np.zeros(len(anchor) - len(few), np.int64), np.asarray(parts_of_hot[i].values, np.int64)])
+                order = np.argsort(anchor)
+                at = order[np.minimum(np.searchsorted(anchor, least, sorter=order), len(anchor) - 1)]
+                chosen = np.flatnonzero(anchor[at] == least)
                 if len(chosen):
+                    parts = part_of[at[chosen]]
                     k1 = _WINDOW_A(first)[chosen].view(np.int64)
                     k2 = (_WINDOW_B(second)[chosen] >> U64(32)).astype(np.uint32).view(np.int32)
-                    out.append((k1, k2, np.full(len(chosen), ids[i]), chosen.astype(np.int32)))
+                    part = np.where(parts > 0, np.int64(spread[i]) % np.maximum(parts, 1), -1).astype(np.int32)
+                    out.append((k1, k2, part, np.full(len(chosen), ids[i]), chosen.astype(np.int32)))
                     size += len(chosen)
                 if size > 200_000:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["k1", "k2", "doc", "start"])
+                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
                     out, size = [], 0
             if out:
-                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["k1", "k2", "doc", "start"])
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
 
-    listed = F.col("hot") if hot else F.array_except("repeated", "hot")
-    asked = hits.select("doc", listed.alias("wanted")).where(F.size("wanted") > 0)
-    n, entries = hits.agg(F.count(F.lit(1)), F.sum(F.size("repeated"))).first()
-    asked = F.broadcast(asked) if n and n + entries <= BROADCAST_ENTRIES else asked
-    return _keyed(docs).join(asked, "doc").select("doc", "text", "wanted").mapInArrow(run, "k1 long, k2 int, doc long, start int")
+    n, entries = hits.agg(F.count(F.lit(1)), F.sum(F.size("cold") + F.size("hot"))).first()
+    asked = F.broadcast(hits) if n and n + entries <= BROADCAST_ENTRIES else hits
+    return _keyed(docs).join(asked, "doc").select("doc", "text", "cold", "hot", "parts").mapInArrow(run, "k1 long, k2 int, part int, doc long, start int")
 
 
 def earlier_windows(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """doc, start, ref_doc, ref_start of each window that starts earlier too, with the earliest place it starts at."""
+    """doc, start, ref_doc, ref_start of each window that starts earlier too, with an earlier place that it starts at.
+
+    The first of a window's places within each part is found first, then the first of those.
+    """
     place = F.struct("doc", "start")
-    key = Window.partitionBy("k1", "k2").orderBy("doc", "start")
-    cold = _windows(docs, hits, hot=False).withColumn("first", F.first(place).over(key))
-    found = cold.where((F.col("first.doc") != F.col("doc")) | (F.col("first.start") != F.col("start")))
-    if not hits.where(F.size("hot") > 0).isEmpty():
-        common, _ = written(_windows(docs, hits, hot=True), "common")
-        firsts, _ = written(common.groupBy("k1", "k2").agg(F.min(place).alias("first")), "firsts")
-        late = common.join(bounded(firsts, 2_000_000), ["k1", "k2"])
-        found = found.unionByName(late.where((F.col("first.doc") != F.col("doc")) | (F.col("first.start") != F.col("start"))))
+    late = (F.col("first.doc") != F.col("doc")) | (F.col("first.start") != F.col("start"))
+
+    def with_first(windows: DataFrame, *keys: str) -> DataFrame:
+        return windows.withColumn("first", F.first(place).over(Window.partitionBy(*keys).orderBy("doc", "start")))
+
+    found = with_first(_windows(docs, hits), "k1", "k2", "part").where(late)
+    hot = hits.where(F.size("hot") > 0).withColumn("cold", F.array().cast("array<bigint>"))
+    if not hot.isEmpty():
+        leaders = with_first(_windows(docs, hot), "k1", "k2", "part").where(~late).drop("first")
+        found = found.unionByName(with_first(leaders, "k1", "k2").where(late))
     return found.select("doc", "start", F.col("first.doc").alias("ref_doc"), F.col("first.start").alias("ref_start"))
 
 
