@@ -11,7 +11,7 @@ def numbered(df: DataFrame, keys: list[str], order: str, into: str, tie: list[Co
     """Adds `into`: 1, 2, ... within `keys` by the string column `order` (then `tie`).
 
     Rows are grouped by the first characters of `order`; a small table of group sizes gives each group its offset, and
-    each group is numbered by itself. With bases and five characters there are up to 1,024 groups for each key.
+    each group is numbered by itself. `df` is read twice, so it should be cheap to read again. With bases and five characters there are up to 1,024 groups for each key.
     """
     bucketed = df.withColumn("_bucket", F.substring(F.col(order), 1, prefix))
     sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))

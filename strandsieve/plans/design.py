@@ -97,8 +97,8 @@ def run_designs(inputs: Inputs, parameters: Parameters | None = None) -> Run:
     sources = settled(find_sources(inputs, run))
     occurrences = candidates.enumerate_kmers(sources, k)
     counts = settled(candidates.kmer_counts(occurrences))
-    cancelled = candidates.background_counts(counts, inputs.background, k)
-    manifest = settled(candidates.filter_complexity(candidates.build_manifest(counts, cancelled), p.entropy_threshold))
+    cancelled = settled(candidates.background_counts(counts, inputs.background, k))
+    manifest = settled(candidates.filter_complexity(settled(candidates.build_manifest(counts, cancelled)), p.entropy_threshold))
     run.steps += ["candidate_kmers", "complexity_filter"]
     run.keep("manifest", manifest)
     run.keep("occurrences", candidates.occurrence_table(occurrences, manifest))

@@ -18,6 +18,7 @@ from strandsieve import contracts
 from strandsieve import schema as S
 from strandsieve.functions.sequence import representative_id
 from strandsieve.operators import calibrate, candidates, discovery, panel, provenance, reads, screening
+from strandsieve.session import settled
 
 K = 15
 LETTERS = string.ascii_lowercase + string.ascii_uppercase
@@ -65,15 +66,15 @@ def _occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _manifest(spark: SparkSession, sf_dir: str, complete: bool = True) -> DataFrame:
-    counts = candidates.kmer_counts(_occurrences(spark, sf_dir))
-    before = candidates.build_manifest(counts, candidates.background_counts(counts, background(spark, sf_dir), K))
-    return candidates.filter_complexity(before, 0.9) if complete else before
+    counts = settled(candidates.kmer_counts(_occurrences(spark, sf_dir)))
+    before = settled(candidates.build_manifest(counts, settled(candidates.background_counts(counts, background(spark, sf_dir), K))))
+    return settled(candidates.filter_complexity(before, 0.9)) if complete else before
 
 
 def _screening(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     manifest = _manifest(spark, sf_dir)
     local = candidates.baits(manifest)
-    hits = screening.exact_match_hits(local, reference(spark, sf_dir), K)
+    hits = settled(screening.exact_match_hits(local, reference(spark, sf_dir), K))
     return manifest, hits, screening.screening_decisions(local, hits, designs(spark, sf_dir))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 _ROOT = str(Path(__file__).resolve().parent.parent)
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
+_made: list[tuple[SparkSession, str]] = []
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -48,5 +50,22 @@ def shared_folder(spark: SparkSession) -> str:
 def settled(df: DataFrame) -> DataFrame:
     """The same rows from a Parquet table in the shared folder: plans stay short, and a lost executor loses nothing of it."""
     path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    _made.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table wherever it is; a local one even when the session has ended."""
+    try:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone
+        if path.startswith("file://"):
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+
+
+@atexit.register
+def _sweep() -> None:
+    for spark, path in _made:
+        remove(spark, path)
