@@ -40,7 +40,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return substrings.without_repeats(table(spark, sf_dir, "documents")).drop("n_factors")
 
 
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,4 +71,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+SQL: dict[str, str] = {
+    "op6_near_duplicates": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS shingle FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_ways AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), link AS (
+            SELECT x, y FROM both_ways JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)
+        ), reach AS (
+            SELECT x, y FROM link UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x
+        ), least AS (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x)
+        SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(y, w.doc_id)) AS component_id, w.doc_id = least(w.doc_id, coalesce(y, w.doc_id)) AS kept
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
+    "op7_repeated_passages": f"""
+        WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+        windows AS (SELECT doc_id, i AS start, array_to_string(ws[i:i + 19], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 18, 1))) AS i FROM w)),
+        again AS (SELECT doc_id, start FROM (SELECT doc_id, start, row_number() OVER (PARTITION BY k ORDER BY doc_id, start) AS r FROM windows) WHERE r > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS pos FROM again),
+        word AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+        SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)""",
+}
