@@ -6,6 +6,7 @@ so the byte view and the code-point view of words are the same.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes taken together; a single longer text is taken alone.
-CHUNK = 1 << 20
+CHUNK = (1 << 18) - 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,6 +87,15 @@ class NgramHasher:
         return mix(done[: len(words) - self.n + 1])
 
 
+def release_memory() -> None:
+    """Gives back what earlier work in this Python worker has freed; workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        return
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):

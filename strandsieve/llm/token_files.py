@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandsieve.llm.bytescan import release_memory
 from strandsieve.llm.common import partitions, scratch, tidy_documents
 from strandsieve.llm.seekable import Reader, Writer
 from strandsieve.llm.tokens import encoder
@@ -44,6 +45,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     """Writes `docs` below `folder` and returns the files in order; `start` counts the ids of all files before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         encode, writer, sink = encoder(tokenizer), None, None
         context = TaskContext.get()
         store, root = _store(folder)

@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 from strandsieve.llm.common import written
 
 #: Pieces, and parts of pieces, that a worker remembers in each of two generations.
-PIECES, PARTS = 400_000, 600_000
+PIECES, PARTS = 350_000, 50_000
 _UNEVEN = re.compile(r" (?:\s|\Z)")
 _GAP = re.compile(r" (?=\S)")
 _MARKS = frozenset(".,;:!?")
@@ -41,8 +41,8 @@ class _Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-            if len(key) > 4 and "\n" in key:  # the ends of two lines seldom meet again
-                return value
+            if key[-1:] in _MARKS and len(key) > 1 or len(key) > 4 and "\n" in key:
+                return value  # soon put together again from its word; the ends of two lines seldom meet again
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -85,9 +85,9 @@ class PieceEncoder:
 
     def _piece(self, rest: str) -> bytes:
         if rest.isalpha():
-            return self.of_part[" " + rest]
+            return self._part(" " + rest)
         if rest[-1:] in _MARKS and rest[:-1].isalpha():
-            return self.of_part[" " + rest[:-1]] + self.of_part[rest[-1]]
+            return self.after_space[rest[:-1]] + self.of_part[rest[-1]]
         return b"".join(map(self.of_part.__getitem__, self.parts(" " + rest)))
 
     def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
