@@ -14,6 +14,8 @@ from strandsieve.llm.common import table, written
 from strandsieve.session import ready
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Pieces and parts that a worker's encoder remembers: fewer than alone, as the earlier stages' workers still hold memory.
+MEMORY = (150_000, 200_000)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the documents; a row for each document as read back from them."""
     ready(spark)
-    return token_files.token_file_digests(docs, public_tokenizers.path(TOKENIZER))
+    return token_files.token_file_digests(docs, public_tokenizers.path(TOKENIZER), memory=MEMORY)
 
 
 STAGES = [

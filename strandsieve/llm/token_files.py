@@ -41,12 +41,12 @@ def _store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, width: int = 2, files: int | None = None) -> list[TokenFile]:
+def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, width: int = 2, files: int | None = None, memory: tuple[int, int] | None = None) -> list[TokenFile]:
     """Writes `docs` below `folder` and returns the files in order; `start` counts the ids of all files before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
-        encode, writer, sink = encoder(tokenizer), None, None
+        encode, writer, sink = encoder(tokenizer, memory), None, None
         context = TaskContext.get()
         store, root = _store(folder)
         name = f"{root}/part-{context.partitionId():06d}.ids.zst"
@@ -105,8 +105,8 @@ def read_token_files(spark: SparkSession, listed: list[TokenFile]) -> DataFrame:
     return ids.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_file_digests(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
+def token_file_digests(docs: DataFrame, tokenizer: str, folder: str | None = None, memory: tuple[int, int] | None = None) -> DataFrame:
     """Writes the documents and returns the digest of what the files then hold."""
     spark = docs.sparkSession
-    listed = write_token_files(docs, tokenizer, folder or scratch(spark, "ids"))
+    listed = write_token_files(docs, tokenizer, folder or scratch(spark, "ids"), memory=memory)
     return read_token_files(spark, listed)

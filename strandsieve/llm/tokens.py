@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 from strandsieve.llm.common import written
 
 #: Pieces, and parts of pieces, that a worker remembers in each of two generations.
-PIECES, PARTS = 350_000, 50_000
+PIECES, PARTS = 400_000, 600_000
 _UNEVEN = re.compile(r" (?:\s|\Z)")
 _GAP = re.compile(r" (?=\S)")
 _MARKS = frozenset(".,;:!?")
@@ -41,8 +41,8 @@ class _Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-            if key[-1:] in _MARKS and len(key) > 1 or len(key) > 4 and "\n" in key:
-                return value  # soon put together again from its word; the ends of two lines seldom meet again
+            if len(key) > 4 and "\n" in key:  # the ends of two lines seldom meet again
+                return value
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -59,7 +59,7 @@ class PieceEncoder:
     the ids that the library gives for the whole text; a tokenizer of another kind is called on whole texts.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, pieces: int | None = None, parts: int | None = None) -> None:
         from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
 
@@ -72,8 +72,8 @@ class PieceEncoder:
         odd = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(odd)}
         self.space = self.letters[32]
-        self.of_part = _Memo(self._part, PARTS)
-        self.after_space = _Memo(self._piece, PIECES)
+        self.of_part = _Memo(self._part, parts or PARTS)
+        self.after_space = _Memo(self._piece, pieces or PIECES)
 
     def _part(self, part: str) -> bytes:
         if part[0] == " " and part.isascii() and part[1:].isalpha():
@@ -85,9 +85,9 @@ class PieceEncoder:
 
     def _piece(self, rest: str) -> bytes:
         if rest.isalpha():
-            return self._part(" " + rest)
+            return self.of_part[" " + rest]
         if rest[-1:] in _MARKS and rest[:-1].isalpha():
-            return self.after_space[rest[:-1]] + self.of_part[rest[-1]]
+            return self.of_part[" " + rest[:-1]] + self.of_part[rest[-1]]
         return b"".join(map(self.of_part.__getitem__, self.parts(" " + rest)))
 
     def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
@@ -103,13 +103,15 @@ class PieceEncoder:
             yield b"".join(chain(map(part, self.parts(pieces[0])), map(get, islice(pieces, 1, None))))
 
 
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[tuple, PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+def encoder(path: str, memory: tuple[int, int] | None = None) -> PieceEncoder:
+    """This worker's encoder; `memory`: how many pieces and parts it remembers, where other stages need room too."""
+    key = (path, memory)
+    if key not in _encoders:
+        _encoders[key] = PieceEncoder(path, *(memory or ()))
+    return _encoders[key]
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", into: str = "n_tokens") -> DataFrame:
