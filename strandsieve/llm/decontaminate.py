@@ -1,11 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word seeds, then Smith-Waterman alignment.
 
-Words are runs of letters, digits and characters beyond ASCII, lower-cased. Every 3-word sequence of every test item is
-counted over the whole corpus in one scan; each item keeps as seeds the rarer half of its own sequences (at least eight),
-so an item has seeds however often it was leaked. A second scan finds the seeds in the documents. Where enough seeds of an
-item lie near one diagonal, the surrounding passage is aligned with the item, word by word: 4 for a match, -1 for a
-mismatch or a gap. The score is the best local alignment over that of the whole item with itself; 0.75 and more is a leak,
-so about a fifth of an item's words may be replaced, dropped or added.
+Words are runs of letters, digits and characters beyond ASCII, lower-cased. Where enough seeds of an item lie near each
+other in a document, the passage around them is aligned with the item, word by word: 4 for a match, -1 for a mismatch or a
+gap. The score is the best local alignment over that of the whole item with itself; 0.75 and more is a leak, so about a
+fifth of an item's words may be replaced or dropped, or about as many added as it has.
+
+The seeds lose no such alignment. Seeds are n-grams of one word: a word added after every second one leaves no longer
+sequence whole, and still scores 0.87. An alignment of 0.75 matches three quarters of the item's n words at least, and
+spans at most 2n words of the document, as 4 * matches - others must be 3n. Every word of the items is counted over the
+whole corpus in one scan. Words that the corpus lacks are missed in any case; of the others each item keeps the rarest, so
+many that beyond all the misses still allowed an eighth of its words (at least two) must be met within 2n words. A second
+scan looks for that. Two further bounds on the score, without regard to the words' order, come before the alignment.
 
 The test items are the stated query set: they are taken in blocks of bounded bytes, each block a pass of its own, so that
 what is sent to the tasks has a bound whatever the benchmark's size. Documents are never shuffled.
@@ -26,18 +31,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandsieve.llm.bytescan import MARKS, U64, NgramHasher, WordHasher, hashed_words
+from strandsieve.llm.bytescan import MARKS, U64, WordHasher, hashed_words
 from strandsieve.llm.common import tidy_documents
 
-GRAM = 3
+#: Words of the shortest item that is evidence.
+LEAST_WORDS = 3
 THRESHOLD = 0.75
 MATCH, OTHER = 4, 1
-#: Seeds of an item: this share of its distinct sequences, the rarest, and at least so many.
-SHARE, LEAST_SEEDS = 0.5, 8
-#: Seeds near one diagonal that call for an alignment, if the item has twice as many.
-NEAR = 2
+#: Seeds that every alignment of the threshold meets: this share of an item's words, and at least so many.
+SHARE, NEAR = 0.125, 2
 BLOCK_BYTES = 16 << 20
-_WORD, _GRAM = WordHasher(81), NgramHasher(GRAM, 82)
+_WORD = WordHasher(81)
 
 
 def _words_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -47,83 +51,89 @@ def _words_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
 
 @dataclass
 class Items:
-    """A block of test items: ids, words, and their distinct sequences with one bit a leading 16 bits for quick refusal."""
+    """A block of test items: ids, words, and their distinct words with one bit a leading 16 bits for quick refusal."""
 
     ids: list[int]
     words: list[np.ndarray]
-    grams: np.ndarray
+    distinct: np.ndarray
     bits: np.ndarray
 
     @classmethod
     def of(cls, ids: list[int], texts: list[str]) -> Items:
         words = [w for _, w in _words_of(pa.array(texts, pa.string()))]
-        keep = [k for k, w in enumerate(words) if len(w) >= GRAM]
+        keep = [k for k, w in enumerate(words) if len(w) >= LEAST_WORDS]
         ids, words = [ids[k] for k in keep], [words[k] for k in keep]
-        grams = np.unique(np.concatenate([np.zeros(0, U64), *[_GRAM(w) for w in words]]))
-        return cls(ids, words, grams, _bits(grams))
+        distinct = np.unique(np.concatenate([np.zeros(0, U64), *words]))
+        return cls(ids, words, distinct, _bits(distinct))
 
 
-def _bits(grams: np.ndarray) -> np.ndarray:
+def _bits(hashes: np.ndarray) -> np.ndarray:
     bits = np.zeros(1 << 16, bool)
-    bits[(grams >> U64(48)).astype(np.int64)] = True
+    bits[(hashes >> U64(48)).astype(np.int64)] = True
     return bits
 
 
-def _lookup(hashes: np.ndarray, grams: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the hashes that are among `grams`, and their places there."""
+def _lookup(hashes: np.ndarray, known: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the hashes that are among `known`, and their places there."""
     some = np.flatnonzero(bits[(hashes >> U64(48)).astype(np.int64)])
-    at = np.minimum(np.searchsorted(grams, hashes[some]), len(grams) - 1)
-    hit = grams[at] == hashes[some]
+    if not len(known):
+        return some, some
+    at = np.minimum(np.searchsorted(known, hashes[some]), len(known) - 1)
+    hit = known[at] == hashes[some]
     return some[hit], at[hit]
 
 
 def corpus_counts(docs: DataFrame, items: Items) -> np.ndarray:
-    """Occurrences of each of the items' sequences in the whole corpus; as many numbers as the block has sequences."""
-    shared = docs.sparkSession.sparkContext.broadcast((items.grams, items.bits))
+    """Occurrences of each of the items' words in the whole corpus; as many numbers as the block has distinct words."""
+    shared = docs.sparkSession.sparkContext.broadcast((items.distinct, items.bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, bits = shared.value
-        counts = np.zeros(len(grams), np.int64)
+        distinct, bits = shared.value
+        counts = np.zeros(len(distinct), np.int64)
         for b in batches:
             for _, w in _words_of(b.column(0)):
-                if len(w) >= GRAM:
-                    np.add.at(counts, _lookup(_GRAM(w), grams, bits)[1], 1)
+                np.add.at(counts, _lookup(w, distinct, bits)[1], 1)
         some = np.flatnonzero(counts)
-        yield pa.record_batch({"gram": pa.array(some, pa.int64()), "n": pa.array(counts[some])})
+        yield pa.record_batch({"word": pa.array(some, pa.int64()), "n": pa.array(counts[some])})
 
-    total = np.zeros(len(items.grams), np.int64)
-    for r in docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        total[r.gram] = r.n
+    total = np.zeros(len(items.distinct), np.int64)
+    for r in docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+        total[r.word] = r.n
     return total
 
 
 @dataclass
 class Seeds:
-    """Seed sequences, and for each the (item, position in the item) pairs it stands for."""
+    """Seed words, the items that each stands for, and how many of an item's seeds an alignment must meet."""
 
-    grams: np.ndarray
+    words: np.ndarray
     bits: np.ndarray
     first: np.ndarray
     item: np.ndarray
-    at: np.ndarray
-    per_item: np.ndarray
+    least: np.ndarray
+    span: np.ndarray
 
     @classmethod
     def of(cls, items: Items, counts: np.ndarray) -> Seeds:
-        grams, item, at = [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        per_item = np.zeros(len(items.ids), np.int64)
-        for k, w in enumerate(items.words):
-            g, where = np.unique(_GRAM(w), return_index=True)
-            n = counts[np.searchsorted(items.grams, g)]
-            rare = np.lexsort((g, n))[: max(LEAST_SEEDS, int(np.ceil(len(g) * SHARE)))]
-            grams.append(g[rare])
-            item.append(np.full(len(rare), k))
-            at.append(where[rare])
-            per_item[k] = len(rare)
-        all_grams, all_items, all_at = (np.concatenate(x) for x in (grams, item, at))
-        order = np.argsort(all_grams, kind="stable")
-        own, first = np.unique(all_grams[order], return_index=True)
-        return cls(own, _bits(own), np.append(first, len(order)), all_items[order], all_at[order], per_item)
+        words, item = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        least = np.zeros(len(items.ids), np.int64)
+        for k, own in enumerate(items.words):
+            w, times = np.unique(own, return_counts=True)
+            n = counts[np.searchsorted(items.distinct, w)]
+            spare = len(own) - int(np.ceil(THRESHOLD * len(own))) - int(times[n == 0].sum())
+            if spare < 0:
+                continue  # the corpus lacks too many of its words
+            w, times, n = w[n > 0], times[n > 0], n[n > 0]
+            rare = np.lexsort((w, n))
+            total = np.cumsum(times[rare])
+            take = min(len(rare), 1 + int(np.searchsorted(total, spare + max(NEAR, int(np.ceil(len(own) * SHARE))))))
+            words.append(w[rare[:take]])
+            item.append(np.full(take, k))
+            least[k] = total[take - 1] - spare
+        all_words, all_items = np.concatenate(words), np.concatenate(item)
+        order = np.argsort(all_words, kind="stable")
+        own, first = np.unique(all_words[order], return_index=True)
+        return cls(own, _bits(own), np.append(first, len(order)), all_items[order], least, np.array([2 * len(w) for w in items.words]))
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -142,36 +152,48 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def _bounded_below(own: np.ndarray, passage: np.ndarray) -> bool:
+    """Whether no alignment can reach the threshold, whatever the order of the words."""
+    if np.isin(own, passage).mean() < THRESHOLD:
+        return True
+    gain = np.concatenate([[0], np.cumsum(np.where(np.isin(passage, own), MATCH, -OTHER))])
+    return bool((gain - np.minimum.accumulate(gain)).max() < THRESHOLD * MATCH * len(own))
+
+
 def _found(words: np.ndarray, items: Items, seeds: Seeds) -> Iterator[tuple[int, float, int, int, int]]:
     """(item, score, first word, end word, seeds) of the best passage for each item that this document leaks."""
-    position, place = _lookup(_GRAM(words), seeds.grams, seeds.bits)
+    position, place = _lookup(words, seeds.words, seeds.bits)
     if not len(position):
         return
     n = seeds.first[place + 1] - seeds.first[place]
     entry = np.repeat(seeds.first[place] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-    item, diagonal = seeds.item[entry], np.repeat(position, n) - seeds.at[entry]
-    order = np.lexsort((diagonal, item))
-    item, diagonal = item[order], diagonal[order]
-    slack = np.array([len(w) // 4 + 2 for w in items.words])[item]
-    new = np.ones(len(item), bool)
-    new[1:] = (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[1:])
+    item, position = seeds.item[entry], np.repeat(position, n)
+    order = np.lexsort((position, item))
+    item, position = item[order], position[order]
+    last = np.arange(len(item)) + seeds.least[item] - 1
+    within = np.minimum(last, len(item) - 1)
+    met = np.flatnonzero((last < len(item)) & (item[within] == item) & (position[within] - position < seeds.span[item]))
+    if not len(met):
+        return
+    whose, span = item[met], seeds.span[item[met]]
+    low, high = np.maximum(position[met] - span, 0), position[last[met]] + span
+    new = np.ones(len(met), bool)
+    new[1:] = (whose[1:] != whose[:-1]) | (low[1:] > high[:-1])
     first = np.flatnonzero(new)
     best: dict[int, tuple[float, int, int, int]] = {}
-    for a, z in zip(first.tolist(), [*first[1:].tolist(), len(item)], strict=True):
-        k = int(item[a])
-        own = items.words[k]
-        if z - a < NEAR and seeds.per_item[k] >= 2 * NEAR:
-            continue
-        low = max(0, int(diagonal[a]) - int(slack[a]))
-        passage = words[low : int(diagonal[z - 1]) + len(own) + int(slack[a])]
-        if np.isin(own, passage).mean() < THRESHOLD:  # bounds the score
+    for a, z in zip(first.tolist(), [*first[1:].tolist(), len(met)], strict=True):
+        k, start = int(whose[a]), int(low[a])
+        own, passage = items.words[k], words[start : int(high[z - 1])]
+        if _bounded_below(own, passage):
             continue
         score, end = align(own, passage)
         if score >= THRESHOLD * MATCH * len(own) and score / (MATCH * len(own)) > best.get(k, (0.0,))[0]:
             back = align(own[::-1], passage[:end][::-1])[1]
-            best[k] = (score / (MATCH * len(own)), low + end - back, low + end, z - a)
-    for k, found in sorted(best.items()):
-        yield k, *found
+            found = slice(*np.searchsorted(item, [k, k + 1]))
+            n_seeds = int(((position[found] >= start + end - back) & (position[found] < start + end)).sum())
+            best[k] = (score / (MATCH * len(own)), start + end - back, start + end, n_seeds)
+    for k, rest in sorted(best.items()):
+        yield k, *rest
 
 
 def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[Items]:
@@ -202,7 +224,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             items, seeds = get()
             for b in batches:
                 ids = b.column(0).to_pylist()
-                rows = [(ids[i], items.ids[k], *rest) for i, w in _words_of(b.column(1)) if len(w) >= GRAM for k, *rest in _found(w, items, seeds)]
+                rows = [(ids[i], items.ids[k], *rest) for i, w in _words_of(b.column(1)) if len(w) >= LEAST_WORDS for k, *rest in _found(w, items, seeds)]
                 columns = list(zip(*rows, strict=True)) or [[]] * 6
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "score", "first_word", "end_word", "n_seeds"])
@@ -220,7 +242,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], get=get) -> Iterator[pa.RecordBatch]:
             items, seeds = get()
             for b in batches:
-                clean = [len(w) < GRAM or next(_found(w, items, seeds), None) is None for _, w in _words_of(b.column(at).cast(pa.string()))]
+                clean = [len(w) < LEAST_WORDS or next(_found(w, items, seeds), None) is None for _, w in _words_of(b.column(at).cast(pa.string()))]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)

@@ -85,3 +85,22 @@ def test_short_items_match_whole(spark, make, n):
     rng = random.Random(n)
     text = sentence(rng, n)
     assert decontaminate.leaks(make((1, sentence(rng, 30) + " " + text), (2, sentence(rng, 30))), items(spark, (5, text))).count() == 1
+
+
+def inserted(words, every):
+    return [x for i, w in enumerate(words) for x in ([w, f"more{i}"] if i % every == every - 1 else [w])]
+
+
+@pytest.mark.parametrize("exact_copies", [0, 3])
+@pytest.mark.parametrize("n", [15, 40, 50])
+def test_edited_copies_are_those_of_all_alignments(spark, make, n, exact_copies):
+    rng = random.Random(n)
+    texts = [sentence(rng, n).split(" ") for _ in range(8)]
+    edits = [lambda w: edited(w, 4), lambda w: edited(w, 5), lambda w: edited(w, 6), lambda w: w[: n // 3] + w[n // 3 + n // 6 :]] + [lambda w, e=e: inserted(w, e) for e in (1, 2, 3, 4)]
+    around = lambda words: " ".join([sentence(rng, 70), *words, sentence(rng, 70)])
+    rows = [(i, around(edit(w))) for i, (edit, w) in enumerate(zip(edits, texts, strict=True))]
+    rows += [(100 + i, " ".join(w)) for i, w in enumerate(texts) for _ in range(exact_copies)]
+    got = sorted((r.doc_id, r.item_id, r.score) for r in decontaminate.leaks(make(*rows), items(spark, *((k, " ".join(w)) for k, w in enumerate(texts)))).collect())
+    scores = [(i, k, smith_waterman(w, text.split(" ")) / (4 * n)) for i, text in rows for k, w in enumerate(texts)]
+    assert got == sorted(s for s in scores if s[2] >= 0.75)
+    assert sum(i < 100 for i, *_ in got) >= 6
