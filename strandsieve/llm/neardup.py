@@ -5,11 +5,13 @@ once. Each class gets a signature of 128 minimum hashes. A tree of the forest is
 starting at another place; classes that share a prefix of that order are a region of the tree, so neighbours by longest
 common prefix share the deepest regions. Depth adapts: a region that holds more than `CROWD` classes is split by twice as
 long a prefix, again and again, and only those. In every region the members are candidates of its first member (a sum,
-whatever the region's size); small regions are later searched for pairs between different components as well.
+whatever the region's size); small regions are later searched for pairs between different components as well. What is left
+are the crowded regions of the first depth: if one holds different components, its members are joined exactly, by their
+rarest shingles (`crowded_pairs`), so that no pair that shares a region is lost because the region is crowded.
 
 A link is 100 * |A n B| >= 75 * |A u B| on the full sets, which are built again from the texts of the documents that need
 it. Each round verifies what still joins different components: first each class's most frequent neighbour, then its other
-neighbours, then the remaining pairs in small regions. With 32 trees and prefix length 4 a pair at similarity 0.75 shares
+neighbours, then the remaining pairs in small regions, then those of crowded regions. With 32 trees and prefix length 4 a pair at similarity 0.75 shares
 no region with probability (1 - 0.75^4)^32, 5 in a million; at 0.8, 5 in ten million.
 
 Shuffled rows grow with documents and candidate pairs; a first member with very many candidates is dealt out in parts.
@@ -35,7 +37,7 @@ from strandsieve.llm.components import components
 
 SHINGLE = 5
 VALUES, TREES, DEPTH = 128, 32, 4
-#: Classes in a region beyond which its prefix is doubled; also the bound on partners searched in one region.
+#: Classes in a region beyond which its prefix is doubled, and its pairs are found by shingles instead of all tried.
 CROWD = 64
 #: Candidates of one first member that are verified in one group.
 PART = 128
@@ -106,12 +108,13 @@ def _prefix(depth: int) -> F.Column:
     return F.xxhash64(F.col("tree"), F.lit(depth), F.slice(twice, F.col("tree") * DEPTH + 1, F.lit(depth)))
 
 
-def regions(kinds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Written tables: (node, hub) candidates with votes and sizes, and members (key, node, n) of uncrowded regions."""
+def regions(kinds: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables: (node, hub) candidates with votes and sizes, and members (key, node, n) of uncrowded regions and of
+    the crowded ones of the first depth, which hold all others."""
     spark = kinds.sparkSession
     light = kinds.select("node", "n", "signature")
     rows = light.select("node", "n", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    depth, stars, leaves, old = DEPTH, [], [], None
+    depth, stars, leaves, crowds, old = DEPTH, [], [], None, None
     while True:
         keyed = rows.select("node", "n", "tree", _prefix(depth).alias("key"))
         groups = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("hub")).where("size > 1")
@@ -119,6 +122,8 @@ def regions(kinds: DataFrame) -> tuple[DataFrame, DataFrame]:
         stars.append(members.where("node <> hub").select("node", "hub", "n", "hub_n"))
         leaves.append(members.where(F.col("size") <= CROWD).select("key", "node", "n"))
         crowded = members.where(F.col("size") > CROWD).select("node", "tree")
+        if crowds is None:
+            crowds = members.where(F.col("size") > CROWD).select("key", "node", "n")
         if old:
             discard(spark, old)
         depth *= 2
@@ -127,7 +132,7 @@ def regions(kinds: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows, old = written(crowded.join(light, "node").select("node", "n", "signature", "tree"), "crowded")
     stars = _union(stars).where(_fit("n", "hub_n"))
     votes, _ = written(stars.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("votes")), "votes")
-    return votes, _union(leaves)
+    return votes, _union(leaves), crowds
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -213,6 +218,67 @@ def verify(docs: DataFrame, kinds: DataFrame, pairs: DataFrame) -> DataFrame:
     return links
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (key, node, n) of the regions that hold different components, with node_in."""
+    placed = _labelled(members, labels, "node")
+    mixed = placed.groupBy("key").agg(F.min("node_in").alias("a"), F.max("node_in").alias("b")).where("a <> b").select("key")
+    return placed.join(bounded(mixed), "key", "left_semi")
+
+
+def crowded_pairs(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> DataFrame:
+    """All pairs (node, hub) of the members (node, node_in) in different components that may link.
+
+    With one order of all shingles, the rarest among the members first, sets x and y that link, |y| <= |x|, have in common
+    one of the first |x| / 4 + 1 shingles of x and the first |y| / 7 + 1 of y: fewer than that many may be missing from the
+    other set. Members of one component are never paired, however many share a shingle.
+    """
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            nodes, inside, d1, d2 = (b.column(i).to_pylist() for i in range(1, 5))
+            out: list[tuple] = []
+            size = 0
+            for i, (words,) in hashed_words(b.column(0), [_WORD], lower=True):
+                s = shingle_set(words)
+                if digest(s) == (d1[i], d2[i]):  # else another row with the same doc_id
+                    out.append((nodes[i], inside[i], len(s), s.view(np.int64)))
+                    size += len(s)
+                if size > 1_000_000:
+                    yield _rows(out)
+                    out, size = [], 0
+            if out:
+                yield _rows(out)
+
+    def _rows(rows: list[tuple]) -> pa.RecordBatch:
+        node, inside, n, sets = zip(*rows, strict=True)
+        lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), np.concatenate(sets))
+        return pa.record_batch([pa.array(node, pa.int64()), pa.array(inside, pa.int64()), pa.array(n, pa.int64()), lists], names=["node", "node_in", "n", "shingles"])
+
+    needs, needs_path = written(members.join(kinds.select("node", F.col("at").alias("_at"), "d1", "d2"), "node"), "needs")
+    texts = tidy_documents(docs).withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    chosen = texts.join(bounded(needs), "_at").select("text", "node", "node_in", "d1", "d2")
+    sets, sets_path = written(chosen.mapInArrow(build, "node long, node_in long, n long, shingles array<long>"), "sets")
+    each = sets.select("node", "node_in", "n", F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    shingle = F.struct(F.coalesce("c", F.lit(1)).alias("c"), "shingle")
+    ranked = each.join(common, "shingle", "left").groupBy("node", "node_in", "n").agg(F.sort_array(F.collect_set(shingle)).alias("all"))
+    first = ranked.select("node", "node_in", "n", F.posexplode(F.slice("all", F.lit(1), F.expr("int(n div 4 + 1)"))).alias("pos", "s")).where("s.c > 1")
+    first, first_path = written(first.select("s.shingle", "node", "node_in", "n", "pos"), "first")
+    discard(docs.sparkSession, needs_path)
+    discard(docs.sparkSession, sets_path)
+
+    inside = first.select("shingle", "node_in").distinct()
+    met = inside.join(inside.withColumnRenamed("node_in", "hub_in"), "shingle").where("node_in <> hub_in")
+    larger = met.join(first, ["shingle", "node_in"])
+    smaller = first.where("pos <= n div 7").select("shingle", F.col("node").alias("hub"), F.col("node_in").alias("hub_in"), F.col("n").alias("hub_n"), F.col("pos").alias("hub_pos"))
+    ordered = (F.col("hub_n") < F.col("n")) | ((F.col("hub_n") == F.col("n")) & (F.col("hub") < F.col("node")))
+    most = F.least(F.col("n") - F.col("pos"), F.col("hub_n") - F.col("hub_pos"))  # in common, if this shingle is their first
+    pairs = larger.join(smaller, ["shingle", "hub_in"]).where(ordered & _fit("n", "hub_n") & (175 * most >= 75 * (F.col("n") + F.col("hub_n"))))
+    out, _ = written(pairs.select("node", "hub").distinct(), "crowded-pairs")
+    discard(docs.sparkSession, first_path)
+    return out
+
+
 def _crowds(pairs: DataFrame) -> DataFrame:
     """Adds `_of`, the number of candidates of each hub."""
     return pairs.join(pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("_of")), "hub")
@@ -230,7 +296,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of `docs`."""
     signed, _ = written(signatures(docs).withColumn("_row", F.monotonically_increasing_id()), "signatures")
     kinds, _ = written(classes(signed), "classes")
-    votes, leaves = regions(kinds)
+    votes, leaves, crowds = regions(kinds)
 
     best = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("hub")).alias("less"))).alias("b")).select("node", (-F.col("b.less")).alias("hub"))
     tried, _ = written(best, "tried")
@@ -243,9 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = links.unionByName(verify(docs, kinds, _crowds(more)))
         labels = components(links)
 
-    placed = _labelled(leaves, labels, "node")
-    mixed = placed.groupBy("key").agg(F.min("node_in").alias("a"), F.max("node_in").alias("b")).where("a <> b").select("key")
-    placed, _ = written(placed.join(bounded(mixed), "key", "left_semi"), "placed")
+    placed, _ = written(_mixed(leaves, labels), "placed")
     other = placed.select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("node_in").alias("hub_in"))
     across = placed.join(other, "key").where((F.col("node") > F.col("hub")) & (F.col("node_in") != F.col("hub_in")) & _fit("n", "hub_n")).select("node", "hub").distinct()
     last, _ = written(across.join(votes, ["node", "hub"], "left_anti"), "tried")
@@ -253,6 +317,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = links.unionByName(verify(docs, kinds, _crowds(last)))
         labels = components(links)
 
+    crowded, _ = written(_mixed(crowds, labels).select("node", "node_in").distinct(), "crowded")
+    if not crowded.isEmpty():
+        exact, _ = written(crowded_pairs(docs, kinds, crowded).join(votes, ["node", "hub"], "left_anti").join(last, ["node", "hub"], "left_anti"), "tried")
+        if not exact.isEmpty():
+            links = links.unionByName(verify(docs, kinds, _crowds(exact)))
+            labels = components(links)
+
     homes = _labelled(kinds.select("node", "d1", "d2", "least"), labels, "node")
     names = homes.groupBy("node_in").agg(F.min("least").alias("component_id"))
     homes, _ = written(homes.join(names, "node_in").select("d1", "d2", "component_id"), "homes")

@@ -2,6 +2,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from strandsieve.llm import neardup
 from strandsieve.llm.components import components
@@ -74,6 +75,33 @@ def test_crowded_regions_are_split_and_still_joined(make, rng, rows, monkeypatch
     assert rows(neardup.near_duplicates(make(*given))) == brute(given)
 
 
+@pytest.mark.parametrize("crowd", [4, 64])
+def test_pairs_at_the_threshold_in_a_crowd_of_one_template(make, rng, rows, monkeypatch, crowd):
+    monkeypatch.setattr(neardup, "CROWD", crowd)
+    template, given = sentence(rng, 84), []
+    for i in range(150):
+        shared = sentence(rng, 6)  # 86 of 114 shingles with the partner, 80 of 120 with all others
+        given += [(2 * i + k, f"{template} {shared} {sentence(rng, 14)}") for k in range(2)]
+    got = rows(neardup.near_duplicates(make(*given)))
+    assert got == brute(given)
+    assert sum(r[3] for r in got) == 150
+
+
+def test_crowded_pairs_are_all_that_link(make, rng, spark):
+    given = varied(rng, 25)
+    docs = make(*given)
+    signed = neardup.signatures(docs).withColumn("_row", F.monotonically_increasing_id()).cache()
+    kinds = neardup.classes(signed).cache()
+    sets = {shingles(t) for _, t in given} - {frozenset()}
+    name = {r.d1: r.node for r in kinds.collect()}
+    linked = {(a, b) for a in sets for b in sets if a != b and 100 * len(a & b) >= 75 * len(a | b)}
+    got = {frozenset((r.node, r.hub)) for r in neardup.crowded_pairs(docs, kinds, kinds.select("node", F.col("node").alias("node_in"))).collect()}
+    pairs = spark.createDataFrame([tuple(p) for p in got], "node long, hub long")
+    links = {frozenset((r.u, r.v)) for r in neardup.verify(docs, kinds, neardup._crowds(pairs)).collect()}
+    assert len(name) == len(sets)
+    assert len(links) == len(linked) / 2
+
+
 def test_edge_cases(nasty, rows):
     given = [(r.doc_id, r.text) for r in nasty.collect()]
     assert rows(neardup.near_duplicates(nasty)) == brute(given)
