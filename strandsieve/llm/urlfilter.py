@@ -7,7 +7,10 @@ pages rules block (who links to blocked hosts is suspect). A host is blocked if
 over its trust. All of it is DataFrame operations; an iteration is one join and one sum over the edges.
 
 Scores are not normalised over the graph: rank = (1 - d) * seed + d * sum of the shares that flow in, a seed being the
-share of a host's pages that rules allow (block). So the threshold means the same at every size of the graph.
+share of a host's pages that rules allow (block). Trust is divided among the links of the host that gives it. Distrust is
+weighed by the links of the host that takes it: a link counts as its share of the linking host's links, however many others
+link to the same place. So the threshold means the same at every size of the graph and for every number of linkers: a host
+all of whose links go to a wholly blocked one has d * (1 - d) = 0.1275, and 0.05 is about two links in five.
 
 Edge cases: null urls and urls without `://` have empty host and path and are judged by the empty host's score (no seeds,
 so they are allowed); null html has no links; relative and same-host links are no edges; repeated pages count as often;
@@ -67,13 +70,14 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING, among: str = "src") -> DataFrame:
     """host, rank: personalised PageRank of `seeds` (host, seed) over `edges` (src, dst, weight), until it stands still.
 
+    An edge's share is its weight over that of all edges of its `src`, or of its `dst` if `among` says so.
     Both are written tables. Each step's ranks are written to the shared folder, so lineage stays one step long.
     """
-    out = edges.groupBy("src").agg(F.sum("weight").alias("_all"))
-    flows, flow_path = written(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("_all")).alias("share")), "flows")
+    out = edges.groupBy(among).agg(F.sum("weight").alias("_all"))
+    flows, flow_path = written(edges.join(out, among).select("src", "dst", (F.col("weight") / F.col("_all")).alias("share")), "flows")
     start = seeds.select("host", ((1 - damping) * F.col("seed")).alias("rank"))
     rank, path = written(start, "rank")
     if flows.isEmpty():
@@ -108,7 +112,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, threshold: float
     seeds, seed_path = written(seeds, "seeds")
     edges, edge_path = written(host_edges(pages), "edges")
     trust = propagate(edges, seeds.where("allowed > 0").select("host", F.col("allowed").alias("seed")))
-    distrust = propagate(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"), seeds.where("blocked > 0").select("host", F.col("blocked").alias("seed")))
+    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    distrust = propagate(back, seeds.where("blocked > 0").select("host", F.col("blocked").alias("seed")), among="dst")
     hosts, _ = written(
         trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host", "full").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")),
         "hosts",

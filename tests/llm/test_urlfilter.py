@@ -66,6 +66,14 @@ def test_who_links_to_blocked_hosts_is_blocked(spark):
     assert got["liked.io"].verdict == "allow"
 
 
+@pytest.mark.parametrize("linkers", [1, 3, 100, 10_000])
+def test_verdicts_do_not_depend_on_how_many_link_to_a_blocked_host(spark, linkers):
+    bad, other = '<a href="http://bad.net/x">', '<a href="http://other.io/">'
+    rows = [("http://bad.net/1", None), *((f"http://spam{i}.io/", bad) for i in range(linkers)), *((f"http://mild{i}.io/", bad + other * 3) for i in range(linkers))]
+    got = urlfilter.judge_urls(pages(spark, *rows)).where("host <> 'bad.net'").selectExpr("substr(host, 1, 4)", "verdict", "round(distrust, 6)").distinct().collect()
+    assert sorted(tuple(r) for r in got) == [("mild", "allow", 0.031875), ("spam", "block", 0.1275)]
+
+
 def test_no_python_in_the_plan(spark):
     plan = urlfilter.judge_urls(pages(spark, *URLS))._jdf.queryExecution().toString()
     assert "Python" not in plan
