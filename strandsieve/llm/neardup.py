@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandsieve.llm.bytescan import U64, NgramHasher, WordHasher, hashed_words, mix, seeded
-from strandsieve.llm.common import bounded, discard, partitions, tidy_documents, written
+from strandsieve.llm.common import bounded, discard, packed, partitions, tidy_documents, written
 from strandsieve.llm.components import components
 
 SHINGLE = 5
@@ -292,8 +292,8 @@ def _labelled(frame: DataFrame, labels: DataFrame, *sides: str) -> DataFrame:
     return frame
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of `docs`."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, d1, d2, component_id and node_in (its component; both null for an empty set) of each row of `docs`."""
     signed, _ = written(signatures(docs).withColumn("_row", F.monotonically_increasing_id()), "signatures")
     kinds, _ = written(classes(signed), "classes")
     votes, leaves, crowds = regions(kinds)
@@ -326,8 +326,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     homes = _labelled(kinds.select("node", "d1", "d2", "least"), labels, "node")
     names = homes.groupBy("node_in").agg(F.min("least").alias("component_id"))
-    homes, _ = written(homes.join(names, "node_in").select("d1", "d2", "component_id"), "homes")
-    out = signed.select("doc_id", "n_shingles", "d1", "d2").join(bounded(homes), ["d1", "d2"], "left")
+    homes, _ = written(homes.join(names, "node_in").select("d1", "d2", "component_id", "node_in"), "homes")
+    return signed.select("doc_id", "n_shingles", "d1", "d2").join(bounded(homes), ["d1", "d2"], "left")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row of `docs`."""
+    out = _placed(docs)
     single = F.col("n_shingles") == 0
     return out.select(
         "doc_id",
@@ -338,7 +343,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that are kept: of each group of near duplicates the one with the smallest doc_id."""
-    kept, _ = written(near_duplicates(docs).where("kept").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_kept")).distinct(), "kept")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    return docs.join(bounded(kept, 4_000_000), key == F.col("_kept"), "left_semi")
+    """The rows of `docs` that are kept: of each group of near duplicates one with the smallest doc_id.
+
+    Where a doc_id names one row it decides; rows that share one (or have none) are looked at one by one.
+    """
+    none = F.lit(-(1 << 63))
+    placed, _ = written(_placed(docs).withColumn("_kept", F.coalesce("doc_id", none)), "placed")
+    best = (F.col("n_shingles") == 0) | (F.col("_kept") == F.coalesce("component_id", none))
+    ids, _ = written(placed.groupBy("_kept").agg(F.count(F.lit(1)).alias("rows"), F.max(best).alias("best")).where("best"), "kept")
+    key = F.coalesce(F.col("doc_id").cast("long"), none)
+    named, shared = ids.where("rows = 1").select("_kept"), ids.where("rows > 1").select("_kept")
+    out = docs.join(bounded(named, 4_000_000), key == F.col("_kept"), "left_semi")
+    if shared.isEmpty():
+        return out
+    again, _ = written(packed(docs.join(bounded(shared), key == F.col("_kept"), "left_semi")).withColumn("_n", F.monotonically_increasing_id()), "shared")
+    signed = signatures(again.select(F.col("_n").alias("doc_id"), F.col("_row.text").alias("text"))).select(F.col("doc_id").alias("_n"), "n_shingles", "d1", "d2")
+    homes = placed.where("n_shingles > 0").join(bounded(shared), "_kept", "left_semi").select("d1", "d2", "node_in", "component_id").distinct()
+    own = again.select("_n", F.coalesce(F.col("_row.doc_id").cast("long"), none).alias("_kept"))
+    at = signed.join(own, "_n").join(homes, ["d1", "d2"], "left").where(best)
+    chosen, _ = written(at.groupBy(F.coalesce("node_in", F.lit(-1)), F.when(F.col("n_shingles") == 0, F.col("_n"))).agg(F.min("_n").alias("_n")).select("_n"), "chosen")
+    return out.unionAll(again.join(bounded(chosen), "_n", "left_semi").select("_row.*"))

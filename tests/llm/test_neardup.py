@@ -110,6 +110,15 @@ def test_edge_cases(nasty, rows):
     assert {r.doc_id for r in kept.collect()} == {1, 3, 4, 5, 6, 7, 10, None, 11, 12}
 
 
+def test_one_row_of_each_group_is_kept(make, nasty, rng):
+    ids = sorted((r.doc_id for r in neardup.keep_one(nasty).collect()), key=repr)
+    assert ids == sorted([1, 3, 4, 5, 6, 7, 10, 10, None, None, 11, 12], key=repr)
+    a, b, c, d = (sentence(rng, 30) for _ in range(4))
+    given = [(1, a), (2, b), (3, b), (3, c), (None, a), (None, d), (None, d), (4, ""), (4, "")]
+    got = [(r.doc_id, r.text) for r in neardup.keep_one(make(*given, *given)).collect()]
+    assert sorted(got, key=repr) == sorted([(1, a), (2, b), (3, c), (None, d), *[(4, "")] * 4], key=repr)
+
+
 def test_empty_table(empty):
     assert neardup.near_duplicates(empty).count() == 0
     assert neardup.keep_one(empty).count() == 0
