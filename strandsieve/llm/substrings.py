@@ -1,10 +1,9 @@
-"""Duplicate passages by relative Lempel-Ziv parsing against an index of the whole collection.
+"""Duplicate passages by an exact join of 20-word windows to the first place where each occurs.
 
-The reference is everything that starts earlier: smaller doc_ids, or the same document before. Its index is sharded by
-hash into blocks. Each document is factored greedily: a factor is the longest run of words that continues at one place of
-the reference, found as 20-word windows whose earlier places advance in step. Factors of at least 20 words are duplicate
-spans. At factor boundaries, where a window straddles two factors, the window is looked up on its own, so a span ends only
-where no 20-word window occurs earlier.
+The reference is everything that starts earlier: smaller doc_ids, or the same document before. Every window that occurs
+earlier makes its 20 words a duplicate span; overlapping and touching spans are joined. This took the place of relative
+Lempel-Ziv parsing, whose greedy factors miss the windows that straddle two of them, so that all windows must be looked up
+in any case. Runs of windows whose first places advance in step are counted as factors; they decide nothing.
 
 How the index stays small: of each window only its anchor is shared first, the least hash among its 8-word sequences
 (about one anchor for seven words). Equal windows have equal anchors, so a window whose anchor occurs once in the whole
