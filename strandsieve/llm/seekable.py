@@ -39,6 +39,8 @@ class Writer:
         self.tokens = 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) >> (8 * self.width):
+            raise ValueError(f"an id does not fit into {self.width} bytes")
         raw = ids.astype(f"<u{self.width}").tobytes()
         frame = self.compress(raw)
         if max(len(frame), len(raw)) >= 1 << 32:

@@ -41,24 +41,26 @@ def _store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, width: int = 2, files: int | None = None, memory: tuple[int, int] | None = None) -> list[TokenFile]:
-    """Writes `docs` below `folder` and returns the files in order; `start` counts the ids of all files before."""
+def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, width: int | None = None, files: int | None = None) -> list[TokenFile]:
+    """Writes `docs` below `folder` and returns the files in order; `start` counts the ids of all files before.
+
+    `width`: bytes of an id; unset, two if all of the tokenizer's ids fit, else four.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
-        encode, writer, sink = encoder(tokenizer, memory), None, None
+        encode, writer, sink = encoder(tokenizer), None, None
         context = TaskContext.get()
         store, root = _store(folder)
         name = f"{root}/part-{context.partitionId():06d}.ids.zst"
         own = f"{name}.{context.taskAttemptId()}"
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for doc_id, ids in zip(b.column(0).to_pylist(), encode(texts), strict=True):
+            for doc_id, ids in zip(b.column(0).to_pylist(), encode.ids(b.column(1)), strict=True):
                 if writer is None:
                     store.create_dir(root, recursive=True)
                     sink = store.open_output_stream(own)
-                    writer = Writer(sink, width)
-                writer.add(doc_id, np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)))
+                    writer = Writer(sink, width or (2 if max(encode.most, end_id) < 1 << 16 else 4))
+                writer.add(doc_id, np.append(ids, np.uint32(end_id)))
         if writer is not None:
             writer.finish()
             sink.close()
@@ -105,8 +107,8 @@ def read_token_files(spark: SparkSession, listed: list[TokenFile]) -> DataFrame:
     return ids.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_file_digests(docs: DataFrame, tokenizer: str, folder: str | None = None, memory: tuple[int, int] | None = None) -> DataFrame:
+def token_file_digests(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
     """Writes the documents and returns the digest of what the files then hold."""
     spark = docs.sparkSession
-    listed = write_token_files(docs, tokenizer, folder or scratch(spark, "ids"), memory=memory)
+    listed = write_token_files(docs, tokenizer, folder or scratch(spark, "ids"))
     return read_token_files(spark, listed)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -14,32 +15,54 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def plain(texts):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
-ODD = ["", " ", "  a  b", "a b ", "\n\n x \t y\n", "don't  '  s he'll I'd x's 's", "x  y  z", "日本 語 ñ", "a\x1c b \x1cc \x85 x  y 　z \xa0q", "<|endoftext|> hi<|endoftext|>", " ªº x² ½ ⅷ 3rd _a_ a_b", "\n", "\n\n\nabc", "tail. ", "A." * 50]
+def by_parts(texts, path=PATH):
+    encode = tokens.PieceEncoder(path)
+    column = pa.array(texts, pa.string())
+    ids = [x.tolist() for x in encode.ids(column)]
+    assert encode.counts(column) == [len(x) for x in ids]
+    return ids
 
 
-def test_pieces_give_the_ids_of_the_whole_text():
+ODD = ["", " ", "  a  b", "a b ", "\n\n x \t y\n", "don't  '  s he'll I'd x's 's", "x  y  z", "日本 語 ñ", "a\x1c b \x1cc \x85 x  y 　z \xa0q", "<|endoftext|> hi<|endoftext|>", " ªº x² ½ ⅷ 3rd _a_ a_b", "\n", "\n\n\nabc", "tail. ", "A." * 50, "'s's 'tis ''s 're'x 'll", "a <|endoftext|> b", "\U0001f600 a\0b \ud7ff", None]
+
+
+def mixed(n):
     rng = random.Random(1)
-    texts = ODD + ["".join(rng.choice("ab'. \n\t\xa0é日1_") for _ in range(rng.randint(0, 60))) for _ in range(400)]
-    got = [np.frombuffer(x, "<u4").tolist() for x in tokens.PieceEncoder(PATH)(texts)]
-    assert got == plain(texts)
+    return ODD + ["".join(rng.choice("abstdmlrev'. \n\t\xa0\u00e9\u65e51_\u2019\u201c") for _ in range(rng.randint(0, 60))) for _ in range(n)]
+
+
+def test_parts_give_the_ids_of_the_whole_text():
+    texts = mixed(2000)
+    assert by_parts(texts) == plain(texts)
+
 
+def test_every_character_in_every_neighbourhood():
+    points = [c for c in range(0x10000) if tokens._classes()[c] != tokens._ODD]
+    assert len(points) > 50_000
+    texts = ["".join(f"a{chr(c)}1{chr(c)} {chr(c)}.{chr(c)}\n{chr(c)}'s" for c in points[i : i + 200]) for i in range(0, len(points), 200)]
+    assert by_parts(texts) == plain(texts)
 
-def test_a_full_memory_changes_nothing(monkeypatch):
-    monkeypatch.setattr(tokens, "PIECES", 3)
-    monkeypatch.setattr(tokens, "PARTS", 2)
-    texts = ["one two three four one two. five, one six two"] * 3
-    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.PieceEncoder(PATH)(texts)] == plain(texts)
+
+@pytest.mark.parametrize(("name", "value"), [("REMEMBERED", 3), ("GROUP", 50), ("JOINED", 1)])
+def test_sizes_change_nothing(monkeypatch, name, value):
+    monkeypatch.setattr(tokens, name, value)
+    texts = [*mixed(100), "one two three four one two. five, one six two " * 30, "x" * 200 + " y", " ".join(x or "" for x in mixed(50))]
+    assert by_parts(texts) == plain(texts)
+
+
+def test_added_tokens_are_found_as_the_library_finds_them():
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "no token", "<|endof", "text|>", "x<|endoftext|><|endoftext|>"]
+    assert by_parts(texts) == plain(texts)
+    assert 50256 in by_parts(texts)[0]
 
 
 def test_other_tokenizers_are_called_on_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.PieceEncoder(path)(ODD)] == [t.encode(x, add_special_tokens=False).ids for x in ODD]
+    assert by_parts(ODD, path) == [t.encode(x or "", add_special_tokens=False).ids for x in ODD]
 
 
 def test_histogram_answers_every_limit(nasty, spark):
@@ -93,6 +116,12 @@ def test_file_format_round_trip_and_single_reads():
         assert [d for d, _ in r.wanted([1, 4])] == [1, 4]
 
 
+def test_ids_that_do_not_fit_are_refused():
+    w = seekable.Writer(Source(), 2)
+    with pytest.raises(ValueError, match="does not fit"):
+        w.add(1, np.array([70_000], np.uint32))
+
+
 def test_damage_is_found():
     s = Source()
     w = seekable.Writer(s)
