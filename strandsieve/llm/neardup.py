@@ -2,17 +2,19 @@
 
 A document's set is its distinct 5-word shingles (lower-cased A-Z); documents with equal sets are one class, represented
 once. Each class gets a signature of 128 minimum hashes. A tree of the forest is one order of the signatures' values,
-starting at another place; classes that share a prefix of that order are a region of the tree, so neighbours by longest
-common prefix share the deepest regions. Depth adapts: a region that holds more than `CROWD` classes is split by twice as
-long a prefix, again and again, and only those. In every region the members are candidates of its first member (a sum,
-whatever the region's size); small regions are later searched for pairs between different components as well. What is left
-are the crowded regions of the first depth: if one holds different components, its members are joined exactly, by their
-rarest shingles (`crowded_pairs`), so that no pair that shares a region is lost because the region is crowded.
+starting at another place; classes that share a prefix of that order are a region of the tree. Depth adapts: a region that
+holds more than `CROWD` classes is split by twice as long a prefix, again and again, and only those. The members of every
+other region are sorted by the rest of their order, and each is a candidate of its neighbour, weighed by the length of
+their common prefix (`neighbours`). In every region the members are candidates of its first member as well (a sum, whatever
+the region's size), and small regions are later searched for pairs between different components. What is left are the
+crowded regions of the first depth: if one holds different components, its members are joined exactly (`crowd_links`), so
+that no pair that shares a region is lost because the region is crowded.
 
 A link is 100 * |A n B| >= 75 * |A u B| on the full sets, which are built again from the texts of the documents that need
-it. Each round verifies what still joins different components: first each class's most frequent neighbour, then its other
-neighbours, then the remaining pairs in small regions, then those of crowded regions. With 32 trees and prefix length 4 a pair at similarity 0.75 shares
-no region with probability (1 - 0.75^4)^32, 5 in a million; at 0.8, 5 in ten million.
+it. Each round verifies what still joins different components: first each class's candidate of the longest prefixes, then
+its other candidates, then the remaining pairs in small regions, then those of crowded regions. With 32 trees and prefix
+length 4 a pair at similarity 0.75 shares no region with probability (1 - 0.75^4)^32, 5 in a million; at 0.8, 5 in ten
+million.
 
 Shuffled rows grow with documents and candidate pairs; a first member with very many candidates is dealt out in parts.
 Nothing of size with the corpus reaches the driver.
@@ -30,17 +32,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandsieve.llm.bytescan import U64, NgramHasher, WordHasher, hashed_words, mix, seeded
-from strandsieve.llm.common import bounded, discard, packed, partitions, tidy_documents, written
+from strandsieve.llm.common import BROADCAST_ROWS, bounded, discard, packed, partitions, tidy_documents, written
 from strandsieve.llm.components import components
 
 SHINGLE = 5
 VALUES, TREES, DEPTH = 128, 32, 4
 #: Classes in a region beyond which its prefix is doubled, and its pairs are found by shingles instead of all tried.
 CROWD = 64
-#: Candidates of one first member that are verified in one group.
-PART = 128
+#: Candidates of one first member that are verified in one group, and such groups that one row asks for.
+PART, ASKED = 128, 64
+#: Sets that may share a shingle which joins them; more common ones wait for the next level, where so many times more may.
+COMMON, GROWTH = 32, 16
+#: Rows of what to verify, with lists of up to `ASKED` groups, that may be broadcast.
+NEEDS = 100_000
+#: Values of an order, after the region's prefix of at most half of them, by which its members are sorted.
+SORTED = 28
 _WORD = WordHasher(61)
 _GRAMS = {n: NgramHasher(n, 62) for n in range(1, SHINGLE + 1)}
 _XOR = (seeded(63, VALUES) >> U64(32)).astype(np.uint32)[:, None]
@@ -109,8 +118,8 @@ def _prefix(depth: int) -> F.Column:
 
 
 def regions(kinds: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Written tables: (node, hub) candidates with votes and sizes, and members (key, node, n) of uncrowded regions and of
-    the crowded ones of the first depth, which hold all others."""
+    """Written tables: candidates (node, hub) with weights, and members (key, node, n) of uncrowded regions and of the
+    crowded ones of the first depth, which hold all others."""
     spark = kinds.sparkSession
     light = kinds.select("node", "n", "signature")
     rows = light.select("node", "n", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
@@ -118,21 +127,58 @@ def regions(kinds: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     while True:
         keyed = rows.select("node", "n", "tree", _prefix(depth).alias("key"))
         groups = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("hub")).where("size > 1")
-        members, _ = written(keyed.join(groups, "key").select("key", "node", "n", "tree", "size", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "members")
-        stars.append(members.where("node <> hub").select("node", "hub", "n", "hub_n"))
-        leaves.append(members.where(F.col("size") <= CROWD).select("key", "node", "n"))
-        crowded = members.where(F.col("size") > CROWD).select("node", "tree")
+        groups, groups_path = written(groups, "groups")  # on its own, so that a hot key's rows can be split in the join
+        members, _ = written(keyed.join(bounded(groups), "key").select("key", "node", "n", "tree", "size", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "members")
+        discard(spark, groups_path)
+        small, large = F.col("size") <= CROWD, F.col("size") > CROWD
+        stars.append(members.where("node <> hub").select("node", "hub", "n", "hub_n", F.lit(1).alias("weight")))
+        leaves.append(members.where(small).select("key", "node", "n", "tree", F.lit(depth).alias("depth")))
+        crowded = members.where(large).select("node", "tree")
         if crowds is None:
-            crowds = members.where(F.col("size") > CROWD).select("key", "node", "n")
+            crowds = members.where(large).select("key", "node", "n")
         if old:
             discard(spark, old)
         depth *= 2
         if depth > VALUES // 2 or crowded.isEmpty():
             break
         rows, old = written(crowded.join(light, "node").select("node", "n", "signature", "tree"), "crowded")
-    stars = _union(stars).where(_fit("n", "hub_n"))
-    votes, _ = written(stars.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("votes")), "votes")
-    return votes, _union(leaves), crowds
+    leaves = _union(leaves)
+    stars = _union([*stars, neighbours(leaves.select("key", "node", "tree", "depth"), light)]).where(_fit("n", "hub_n"))
+    votes, _ = written(stars.groupBy("node", "hub").agg(F.sum("weight").alias("weight")), "votes")
+    return votes, leaves.select("key", "node", "n"), crowds
+
+
+def neighbours(members: DataFrame, light: DataFrame) -> DataFrame:
+    """node, hub, n, hub_n and weight: neighbours in the sorted order of each region (key), by the values after the region's
+    prefix (depth), weighed by their longest common prefix; `hub` is the smaller node."""
+    twice = F.concat("signature", "signature")
+    rest = F.slice(twice, F.col("tree") * DEPTH + 1 + F.col("depth"), F.lit(SORTED))
+    ordered = members.join(light, "node").select("key", "node", "n", "depth", rest.alias("rest"))
+    ordered = ordered.repartition(partitions(members.sparkSession), "key").sortWithinPartitions("key", "rest", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple | None = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key, node, n, depth = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            lists = b.column(4)
+            rest = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(key), -1)
+            if last is not None:
+                key, node, n, depth, rest = (np.concatenate([x, y]) for x, y in zip(last, (key, node, n, depth, rest), strict=True))
+            last = key[-1:], node[-1:], n[-1:], depth[-1:], rest[-1:]
+            same = np.flatnonzero(key[1:] == key[:-1])
+            differ = rest[same] != rest[same + 1]
+            common = np.where(differ.any(axis=1), differ.argmax(axis=1), rest.shape[1]) + depth[same]
+            u, v = node[same], node[same + 1]
+            swap = u < v
+            yield pa.record_batch({
+                "node": pa.array(np.where(swap, v, u)), "hub": pa.array(np.where(swap, u, v)),
+                "n": pa.array(np.where(swap, n[same + 1], n[same])), "hub_n": pa.array(np.where(swap, n[same], n[same + 1])),
+                "weight": pa.array(common.astype(np.int32)),
+            })
+
+    return ordered.mapInArrow(run, "node long, hub long, n long, hub_n long, weight int")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -160,16 +206,16 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 def verify(docs: DataFrame, kinds: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of the pairs (node, hub), those that link. A written table.
 
-    Every set is sent once for each pair in which its class is `node`, and once for each part of a hub's candidates.
+    Every set is sent once for each pair in which its class is `node`, and once for each part of a hub's candidates, by
+    as many rows as there are `ASKED` of those.
     """
     n = partitions(docs.sparkSession)
     dealt = pairs.select("node", "hub", F.pmod(F.xxhash64("node"), F.ceil(F.col("_of") / PART)).alias("part")) if "_of" in pairs.columns else pairs
     dealt, dealt_path = written(dealt, "pairs")
-    asked = dealt.select("node", F.struct("hub", "part", F.lit(False).alias("own")).alias("to"))
-    owned = dealt.select("hub", "part").distinct().select(F.col("hub").alias("node"), F.struct("hub", "part", F.lit(True).alias("own")).alias("to"))
-    needs, needs_path = written(
-        asked.unionByName(owned).groupBy("node").agg(F.collect_list("to").alias("to")).join(kinds.select("node", "at", "d1", "d2"), "node"), "needs"
-    )
+    asked = dealt.select("node", F.lit(0).cast("long").alias("chunk"), F.struct("hub", "part", F.lit(False).alias("own")).alias("to"))
+    owned = dealt.select("hub", "part").distinct().select(F.col("hub").alias("node"), F.expr(f"part div {ASKED}").alias("chunk"), F.struct("hub", "part", F.lit(True).alias("own")).alias("to"))
+    needs = asked.unionByName(owned).groupBy("node", "chunk").agg(F.collect_list("to").alias("to")).drop("chunk")
+    needs, needs_path = written(needs.join(kinds.select("node", "at", "d1", "d2"), "node").select("node", "to", "at", "d1", "d2"), "needs")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -209,7 +255,7 @@ def verify(docs: DataFrame, kinds: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     texts = tidy_documents(docs).withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    chosen = texts.join(bounded(needs.withColumnRenamed("at", "_at")), "_at").select("text", "node", "d1", "d2", "to")
+    chosen = texts.join(bounded(needs.withColumnRenamed("at", "_at"), NEEDS), "_at").select("text", "node", "d1", "d2", "to")
     sets = chosen.mapInArrow(build, "hub long, part long, own boolean, node long, set binary")
     met = sets.repartition(n, "hub", "part").sortWithinPartitions("hub", "part", F.desc("own"))
     links, _ = written(met.mapInArrow(compare, "u long, v long").distinct(), "links")
@@ -225,23 +271,18 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(bounded(mixed), "key", "left_semi")
 
 
-def crowded_pairs(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> DataFrame:
-    """All pairs (node, hub) of the members (node, node_in) in different components that may link.
-
-    With one order of all shingles, the rarest among the members first, sets x and y that link, |y| <= |x|, have in common
-    one of the first |x| / 4 + 1 shingles of x and the first |y| / 7 + 1 of y: fewer than that many may be missing from the
-    other set. Members of one component are never paired, however many share a shingle.
-    """
+def _full_sets(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> DataFrame:
+    """node and shingles of the classes in `members` (node), from the texts. A written table."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, inside, d1, d2 = (b.column(i).to_pylist() for i in range(1, 5))
+            nodes, d1, d2 = (b.column(i).to_pylist() for i in range(1, 4))
             out: list[tuple] = []
             size = 0
             for i, (words,) in hashed_words(b.column(0), [_WORD], lower=True):
                 s = shingle_set(words)
                 if digest(s) == (d1[i], d2[i]):  # else another row with the same doc_id
-                    out.append((nodes[i], inside[i], len(s), s.view(np.int64)))
+                    out.append((nodes[i], s.view(np.int64)))
                     size += len(s)
                 if size > 1_000_000:
                     yield _rows(out)
@@ -250,38 +291,106 @@ def crowded_pairs(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> Data
                 yield _rows(out)
 
     def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        node, inside, n, sets = zip(*rows, strict=True)
-        lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), np.concatenate(sets))
-        return pa.record_batch([pa.array(node, pa.int64()), pa.array(inside, pa.int64()), pa.array(n, pa.int64()), lists], names=["node", "node_in", "n", "shingles"])
+        node, sets = zip(*rows, strict=True)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+        return pa.record_batch([pa.array(node, pa.int64()), pa.ListArray.from_arrays(ends, np.concatenate(sets))], names=["node", "shingles"])
 
-    needs, needs_path = written(members.join(kinds.select("node", F.col("at").alias("_at"), "d1", "d2"), "node"), "needs")
+    needs, needs_path = written(members.select("node").join(kinds.select("node", F.col("at").alias("_at"), "d1", "d2"), "node"), "needs")
     texts = tidy_documents(docs).withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    chosen = texts.join(bounded(needs), "_at").select("text", "node", "node_in", "d1", "d2")
-    sets, sets_path = written(chosen.mapInArrow(build, "node long, node_in long, n long, shingles array<long>"), "sets")
-    each = sets.select("node", "node_in", "n", F.explode("shingles").alias("shingle"))
-    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    shingle = F.struct(F.coalesce("c", F.lit(1)).alias("c"), "shingle")
-    ranked = each.join(common, "shingle", "left").groupBy("node", "node_in", "n").agg(F.sort_array(F.collect_set(shingle)).alias("all"))
-    first = ranked.select("node", "node_in", "n", F.posexplode(F.slice("all", F.lit(1), F.expr("int(n div 4 + 1)"))).alias("pos", "s")).where("s.c > 1")
-    first, first_path = written(first.select("s.shingle", "node", "node_in", "n", "pos"), "first")
+    chosen = texts.join(bounded(needs), "_at").select("text", "node", "d1", "d2")
+    sets, _ = written(chosen.mapInArrow(build, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
     discard(docs.sparkSession, needs_path)
-    discard(docs.sparkSession, sets_path)
-
-    inside = first.select("shingle", "node_in").distinct()
-    met = inside.join(inside.withColumnRenamed("node_in", "hub_in"), "shingle").where("node_in <> hub_in")
-    larger = met.join(first, ["shingle", "node_in"])
-    smaller = first.where("pos <= n div 7").select("shingle", F.col("node").alias("hub"), F.col("node_in").alias("hub_in"), F.col("n").alias("hub_n"), F.col("pos").alias("hub_pos"))
-    ordered = (F.col("hub_n") < F.col("n")) | ((F.col("hub_n") == F.col("n")) & (F.col("hub") < F.col("node")))
-    most = F.least(F.col("n") - F.col("pos"), F.col("hub_n") - F.col("hub_pos"))  # in common, if this shingle is their first
-    pairs = larger.join(smaller, ["shingle", "hub_in"]).where(ordered & _fit("n", "hub_n") & (175 * most >= 75 * (F.col("n") + F.col("hub_n"))))
-    out, _ = written(pairs.select("node", "hub").distinct(), "crowded-pairs")
-    discard(docs.sparkSession, first_path)
+    return sets
+
+
+def crowd_links(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (u, v) that join all members (node, node_in) which link, directly or through others of them. A written table.
+
+    Sets of sizes a and b link if 7 * |A n B| >= 3 * (a + b). Level by level, the shingles that at most so many sets hold
+    join those sets pair by pair, and the pairs are checked on the whole sets (`_met`). Whatever is not found so has only
+    commoner shingles in common, so for the next level every set is cut down to those, without what is then too small for
+    any link, and sets that have become equal are one. Of one such set the members of sizes a and b link if 7 * |set| is
+    3 * (a + b); they are then joined through the smallest, of each size the smallest node (`_equal`). So a template that
+    thousands of texts share costs one set, not pairs of texts. Levels end when no shingle is held by more sets than may
+    join, which grows sixteenfold each time.
+    """
+    spark = docs.sparkSession
+    sets = _full_sets(docs, kinds, members)
+    now = sets.select(F.col("node").alias("set"), "shingles", F.size("shingles").cast("long").alias("least"))
+    homes = now.join(members.withColumnRenamed("node", "set"), "set").select("set", F.col("set").alias("node"), F.col("least").alias("n"), "node_in")
+    homes, _ = written(homes, "homes")
+    common, found = COMMON, [spark.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))]
+    while True:
+        each = now.select("set", "least", F.explode("shingles").alias("shingle"))
+        held, held_path = written(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "held")
+        shared, shared_path = written(each.join(held, "shingle"), "shared")
+        met = _met(now, shared, homes, common)
+        found += [met] if met is not None else []
+        left = shared.where(F.col("c") > common).groupBy("set", "least").agg(F.sort_array(F.collect_list("shingle")).alias("shingles"))
+        left = left.where("4 * size(shingles) >= 3 * least").select("set", "least", "shingles", F.xxhash64("shingles", F.lit(1)).alias("k1"), F.xxhash64(F.lit(2), "shingles").alias("k2"))
+        now, _ = written(left, "left")
+        for path in (held_path, shared_path):
+            discard(spark, path)
+        if now.limit(2).count() < 2:
+            break
+        first, first_path = written(now.groupBy("k1", "k2").agg(F.min("set").alias("first")), "first")
+        if first.count() < now.count():
+            renamed, renamed_path = written(now.select("set", "k1", "k2").join(bounded(first), ["k1", "k2"]).select("set", "first"), "renamed")
+            homes, _ = written(homes.join(bounded(renamed), "set").select(F.col("first").alias("set"), "node", "n", "node_in"), "homes")
+            sized = homes.groupBy("set").agg(F.min("n").alias("least"))
+            now, _ = written(now.select("set", "shingles").join(sized, "set"), "rest")
+            found.append(_equal(now, homes))
+            discard(spark, renamed_path)
+        discard(spark, first_path)
+        common *= GROWTH
+    return written(_union(found).where("u <> v").distinct(), "crowd-links")[0]
+
+
+def _met(now: DataFrame, shared: DataFrame, homes: DataFrame, common: int) -> DataFrame | None:
+    """u, v: members of two sets that share a shingle held by at most `common` sets, and enough others to link; None if none.
+
+    With one order of all shingles, the rarest first, sets that link have in common one that stands so early in both that
+    what follows it can still be enough. Sets whose members are all in one component are not paired. A written table.
+    """
+    spark = now.sparkSession
+    size = F.count(F.lit(1)).over(Window.partitionBy("set"))
+    place = F.row_number().over(Window.partitionBy("set").orderBy("c", "shingle"))
+    after = size - place + 1  # shingles from this one on that others hold too
+    inside = homes.groupBy("set").agg(F.when(F.min("node_in") == F.max("node_in"), F.min("node_in")).otherwise(-1 - F.col("set")).alias("inside"))
+    early = shared.select("set", "least", "shingle", "c", after.alias("after")).where((F.col("c") <= common) & (4 * F.col("after") >= 3 * F.col("least")))
+    early, early_path = written(early.join(inside, "set"), "early")
+    one, two = (early.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("set", "least", "after", "inside")]) for k in (1, 2))
+    fits = 7 * F.least("after_1", "after_2") >= 3 * (F.col("least_1") + F.col("least_2"))
+    pairs = one.join(two, "shingle").where((F.col("set_1") > F.col("set_2")) & (F.col("inside_1") != F.col("inside_2")) & fits)
+    pairs, pairs_path = written(pairs.select("set_1", "set_2", "least_1", "least_2").distinct(), "met")
+    if pairs.isEmpty():
+        return None
+    whole = now.select("set", "shingles")
+    both = pairs.join(whole.toDF("set_1", "all_1"), "set_1").join(whole.toDF("set_2", "all_2"), "set_2")
+    both = both.withColumn("both", F.size(F.array_intersect("all_1", "all_2"))).where("7 * both >= 3 * (least_1 + least_2)")
+    both, both_path = written(both.select("set_1", "set_2", "least_1", "least_2", "both"), "both")
+    # Every member of one set that links with the smallest of the other.
+    smallest = homes.groupBy("set").agg(F.min(F.struct("n", "node")).alias("s")).select(F.col("set").alias("to"), F.col("s.node").alias("v"))
+    ways = both.select(F.col("set_1").alias("set"), F.col("set_2").alias("to"), F.col("least_2").alias("other"), "both")
+    ways = ways.unionByName(both.select(F.col("set_2").alias("set"), F.col("set_1").alias("to"), F.col("least_1").alias("other"), "both"))
+    out, _ = written(ways.join(homes, "set").where("7 * both >= 3 * (n + other)").join(smallest, "to").select(F.col("node").alias("u"), "v").distinct(), "joined")
+    for path in (early_path, pairs_path, both_path):
+        discard(spark, path)
     return out
 
 
+def _equal(now: DataFrame, homes: DataFrame) -> DataFrame:
+    """u, v: members of one set that link by it alone, each with the smallest. A written table."""
+    smallest = homes.groupBy("set").agg(F.min(F.struct("n", "node")).alias("s")).select("set", F.col("s.node").alias("v"), F.col("s.n").alias("v_n"))
+    sized = now.select("set", F.size("shingles").alias("k")).join(smallest, "set")
+    return written(homes.join(sized, "set").where("7 * k >= 3 * (n + v_n) and node <> v").select(F.col("node").alias("u"), "v"), "equal")[0]
+
+
 def _crowds(pairs: DataFrame) -> DataFrame:
-    """Adds `_of`, the number of candidates of each hub."""
-    return pairs.join(pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("_of")), "hub")
+    """Adds `_of`, the number of candidates of each hub that has more than `PART` of them (else 1)."""
+    many = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("_of")).where(F.col("_of") > PART)
+    many = F.broadcast(many) if pairs.count() // PART <= BROADCAST_ROWS else written(many, "many")[0]
+    return pairs.join(many, "hub", "left").withColumn("_of", F.coalesce("_of", F.lit(1)))
 
 
 def _labelled(frame: DataFrame, labels: DataFrame, *sides: str) -> DataFrame:
@@ -298,7 +407,7 @@ def _placed(docs: DataFrame) -> DataFrame:
     kinds, _ = written(classes(signed), "classes")
     votes, leaves, crowds = regions(kinds)
 
-    best = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("hub")).alias("less"))).alias("b")).select("node", (-F.col("b.less")).alias("hub"))
+    best = votes.groupBy("node").agg(F.max(F.struct("weight", (-F.col("hub")).alias("less"))).alias("b")).select("node", (-F.col("b.less")).alias("hub"))
     tried, _ = written(best, "tried")
     links = verify(docs, kinds, _crowds(tried))
     labels = components(links)
@@ -319,14 +428,14 @@ def _placed(docs: DataFrame) -> DataFrame:
 
     crowded, _ = written(_mixed(crowds, labels).select("node", "node_in").distinct(), "crowded")
     if not crowded.isEmpty():
-        exact, _ = written(crowded_pairs(docs, kinds, crowded).join(votes, ["node", "hub"], "left_anti").join(last, ["node", "hub"], "left_anti"), "tried")
+        exact = crowd_links(docs, kinds, crowded)
         if not exact.isEmpty():
-            links = links.unionByName(verify(docs, kinds, _crowds(exact)))
+            links = links.unionByName(exact)
             labels = components(links)
 
     homes = _labelled(kinds.select("node", "d1", "d2", "least"), labels, "node")
-    names = homes.groupBy("node_in").agg(F.min("least").alias("component_id"))
-    homes, _ = written(homes.join(names, "node_in").select("d1", "d2", "component_id", "node_in"), "homes")
+    names, _ = written(homes.groupBy("node_in").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_all")).where("_all > 1").drop("_all"), "names")
+    homes, _ = written(homes.join(bounded(names), "node_in", "left").withColumn("component_id", F.coalesce("component_id", "least")).select("d1", "d2", "component_id", "node_in"), "homes")
     return signed.select("doc_id", "n_shingles", "d1", "d2").join(bounded(homes), ["d1", "d2"], "left")
 
 

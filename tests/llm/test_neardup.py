@@ -87,19 +87,59 @@ def test_pairs_at_the_threshold_in_a_crowd_of_one_template(make, rng, rows, monk
     assert sum(r[3] for r in got) == 150
 
 
-def test_crowded_pairs_are_all_that_link(make, rng, spark):
-    given = varied(rng, 25)
+@pytest.mark.parametrize("most", [2, 32])
+def test_crowd_links_join_all_that_link(make, rng, rows, monkeypatch, most):
+    monkeypatch.setattr(neardup, "COMMON", most)
+    monkeypatch.setattr(neardup, "GROWTH", 6)
+    given = varied(rng, 20)
+    lines = [sentence(rng, 12) for _ in range(12)]
+    for i in range(60):  # texts of one template's lines, cut down differently and of different lengths
+        own = [x for x in lines if rng.random() < 0.85]
+        given.append((1001 + 2 * i, " ".join([*own, sentence(rng, rng.choice((0, 3, 20, 45)))])))
     docs = make(*given)
     signed = neardup.signatures(docs).withColumn("_row", F.monotonically_increasing_id()).cache()
     kinds = neardup.classes(signed).cache()
-    sets = {shingles(t) for _, t in given} - {frozenset()}
-    name = {r.d1: r.node for r in kinds.collect()}
-    linked = {(a, b) for a in sets for b in sets if a != b and 100 * len(a & b) >= 75 * len(a | b)}
-    got = {frozenset((r.node, r.hub)) for r in neardup.crowded_pairs(docs, kinds, kinds.select("node", F.col("node").alias("node_in"))).collect()}
-    pairs = spark.createDataFrame([tuple(p) for p in got], "node long, hub long")
-    links = {frozenset((r.u, r.v)) for r in neardup.verify(docs, kinds, neardup._crowds(pairs)).collect()}
-    assert len(name) == len(sets)
-    assert len(links) == len(linked) / 2
+    links = neardup.crowd_links(docs, kinds, kinds.select("node", F.col("node").alias("node_in")))
+    name = {r.node: r.least for r in kinds.collect()}
+    parent = {i: i for i in name.values()}
+    for r in links.collect():
+        a, b = (parent[name[x]] for x in (r.u, r.v))
+        parent = {k: min(a, b) if v in (a, b) else v for k, v in parent.items()}
+    want = {i: c for i, n, c, _ in brute(given) if i in parent}
+    assert parent == want
+
+
+def test_every_planted_pair_among_very_many_of_one_template(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    word = lambda n: " ".join(f"{x:x}" for x in rng.integers(0, 1 << 40, n))
+    template, texts = word(304), []
+    for _ in range(10_000):
+        shared = word(10)  # 310 of 410 shingles with the partner (0.756), 300 of 420 with all others (0.714)
+        texts += [f"{template} {shared} {word(50)}" for _ in range(2)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(16)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(20_000)}
+
+
+def test_neighbours_are_those_of_the_sorted_order(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    signs = rng.integers(0, 2, (30, neardup.VALUES))
+    light = spark.createDataFrame([(i, 10 + i, [int(x) for x in s]) for i, s in enumerate(signs)], "node long, n long, signature array<int>")
+    members = spark.createDataFrame([(i % 3, i, 31, 4) for i in range(30)], "key long, node long, tree int, depth int")
+    got = {(r.node, r.hub): (r.n, r.hub_n, r.weight) for r in neardup.neighbours(members, light).collect()}
+    want = {}
+    for key in range(3):
+        rest = {i: [*signs[i], *signs[i]][31 * neardup.DEPTH + 4 :][: neardup.SORTED] for i in range(key, 30, 3)}
+        order = sorted(rest, key=lambda i: rest[i])
+        for a, b in zip(order, order[1:], strict=False):
+            common = next((k for k, (x, y) in enumerate(zip(rest[a], rest[b], strict=True)) if x != y), neardup.SORTED)
+            u, v = max(a, b), min(a, b)
+            want[u, v] = (10 + u, 10 + v, 4 + common)
+    assert got == want
 
 
 def test_edge_cases(nasty, rows):
