@@ -35,7 +35,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_AT = re.compile(r"[\[(]\s?at\s?[\])]|\sat\s", re.I)
+_AT = re.compile(r"[\[(]\s?at\s?[\])]", re.I)
 
 # Loose shapes of candidates, by kind.
 _LOOSE = (
@@ -114,12 +114,37 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
-def _words(text: str) -> list[str]:
-    return [w.strip(".,;:!?\"'|()[]{}").lower() for w in text.split()]
+def _named(value: str) -> str:
+    """A name of bounded length that no other value has."""
+    return value if len(value) <= 64 else f"{value[:32]}#{hashlib.blake2b(value.encode(), digest_size=16).hexdigest()}"
+
+
+def _tidy(words: list[str]) -> list[str]:
+    return [_named(w.strip(".,;:!?\"'|()[]{}").lower()) for w in words]
+
+
+def _before(text: str, start: int) -> list[str]:
+    """The two words before a place, whole, or as many as there are."""
+    step = 128
+    while True:
+        got = text[max(0, start - step) : start].split()
+        if step >= start or len(got) > 2:  # the first one may be cut
+            return _tidy(got[-2:])
+        step *= 2
+
+
+def _after(text: str, end: int) -> list[str]:
+    """The word after a place, whole, if there is one."""
+    step = 64
+    while True:
+        got = text[end : end + step].split(None, 2)
+        if end + step >= len(text) or len(got) > 1:
+            return _tidy(got[:1])
+        step *= 2
 
 
 def patterns(text: str, start: int, kind: int, end: int) -> list[str]:
-    before, after = _words(text[max(0, start - 120) : start])[-2:], _words(text[end : end + 60])[:1]
+    before, after = _before(text, start), _after(text, end)
     before = ["^"] * (2 - len(before)) + before
     return [f"{KINDS[kind]}|{before[0]} {before[1]} _", f"{KINDS[kind]}|{before[1]} _ {(after or ['$'])[0]}"]
 
@@ -149,7 +174,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 base.append(shown(spans))
                 sha.append(hashlib.sha256(base[-1].encode()).hexdigest())
                 mentions.append([
-                    {"start": s, "kind": k, "end": e, "value": re.sub(r"[^0-9a-z@.]", "", text[s:e].lower())[:80], "seed": seed, "patterns": patterns(text, s, k, e)}
+                    {"start": s, "kind": k, "end": e, "value": _named(re.sub(r"[^0-9a-z@.]", "", text[s:e].lower())), "seed": seed, "patterns": patterns(text, s, k, e)}
                     for seed, some in ((True, spans), (False, candidates(text, spans)))
                     for s, k, e in some
                 ])

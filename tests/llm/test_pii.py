@@ -68,6 +68,16 @@ def test_contexts_that_are_no_evidence_discover_nothing(make):
     assert all(r.n_found == 0 for r in found(make, *rows).values())
 
 
+def test_long_values_and_words_are_told_apart_by_their_ends(make):
+    same, gap = "x" * 100, " " * 300
+    rows = [(i, f"{same}{i} mail {gap} me{i % 2}{same}@y.org {gap} {same}0 end") for i in range(4)]
+    got = {tuple(p) for _, t in rows for s, k, e in pii.base_spans(t) for p in [pii.patterns(t, s, k, e)]}
+    assert len(got) == 4
+    assert len({p[1] for p in got}) == 1
+    scanned = pii.scan(make(*rows)).collect()
+    assert len({m.value for r in scanned for m in r.mentions}) == 2
+
+
 def test_edge_cases(nasty, empty):
     got = pii.find_personal_data(nasty).collect()
     assert len(got) == nasty.count()
