@@ -32,7 +32,7 @@ CAP = 2.0
 #: Documents of one (source, size) group whose hashes one task orders.
 BUCKET = 256
 TOLERANCE = 1e-7
-MOST_STEPS = 60
+MOST_STEPS = 200
 
 def with_size(docs: DataFrame) -> DataFrame:
     """Adds `_size`, the number of words, and `_key`, a source key that is never null."""
@@ -120,6 +120,8 @@ def solve_dual(groups: DataFrame, targets: DataFrame, cap: float = CAP) -> DataF
         state, path = new, new_path
         if state.where(~F.col("_done")).isEmpty():
             break
+    else:
+        raise RuntimeError("the dual was not solved")
     return state.select("_key", "source_size", "target", "_mean", "_lambda")
 
 
