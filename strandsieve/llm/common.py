@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: A side of a join is broadcast only if a count has shown that it has at most this many rows.
-BROADCAST_ROWS = 400_000
+#: A side of a join is broadcast only if its rows have been shown to take at most so many bytes.
+BROADCAST_BYTES = 32_000_000
 #: The six characters that separate words: space, tab, newline, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -69,12 +69,26 @@ def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks `df` for broadcast if it is shown to have at most `rows` rows; else Spark shuffles it.
-
-    `df` must be cheap to count: a written table, whose row count is in the file footers.
-    """
-    return F.broadcast(df) if df.count() <= rows else df
+def bytes_of(df: DataFrame) -> int:
+    """What the rows of a written table take: eight bytes a number, 16 a row, and strings and arrays by their lengths."""
+    fixed, wide = 16, []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.ArrayType):
+            element = f.dataType.elementType
+            each = 16 + 8 * len(element.fields) if isinstance(element, T.StructType) else 8
+            wide.append(F.greatest(F.size(f.name), F.lit(0)) * F.lit(each))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            wide.append(F.octet_length(f.name))
+        fixed += 8 * (2 + len(f.dataType.fields) if isinstance(f.dataType, T.StructType) else 1)
+    if not wide:
+        return fixed * df.count()  # from the file footers
+    n, more = df.agg(F.count(F.lit(1)), sum((F.coalesce(F.sum(w.cast("long")), F.lit(0)) for w in wide), F.lit(0))).first()
+    return fixed * n + more
+
+
+def bounded(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Marks `df`, a written table, for broadcast if its rows take at most `most` bytes; else Spark shuffles it."""
+    return F.broadcast(df) if bytes_of(df) <= most else df
 
 
 def tidy_documents(docs: DataFrame, *more: str) -> DataFrame:

@@ -32,10 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandsieve.llm.bytescan import U64, NgramHasher, WordHasher, hashed_words, mix, seeded
-from strandsieve.llm.common import BROADCAST_ROWS, bounded, discard, packed, partitions, tidy_documents, written
+from strandsieve.llm.common import BROADCAST_BYTES, bounded, bytes_of, discard, packed, partitions, tidy_documents, written
 from strandsieve.llm.components import components
 
 SHINGLE = 5
@@ -46,8 +45,6 @@ CROWD = 64
 PART, ASKED = 128, 64
 #: Sets that may share a shingle which joins them; more common ones wait for the next level, where so many times more may.
 COMMON, GROWTH = 32, 16
-#: Rows of what to verify, with lists of up to `ASKED` groups, that may be broadcast.
-NEEDS = 100_000
 #: Values of an order, after the region's prefix of at most half of them, by which its members are sorted.
 SORTED = 28
 _WORD = WordHasher(61)
@@ -255,7 +252,7 @@ def verify(docs: DataFrame, kinds: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     texts = tidy_documents(docs).withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    chosen = texts.join(bounded(needs.withColumnRenamed("at", "_at"), NEEDS), "_at").select("text", "node", "d1", "d2", "to")
+    chosen = texts.join(bounded(needs.withColumnRenamed("at", "_at")), "_at").select("text", "node", "d1", "d2", "to")
     sets = chosen.mapInArrow(build, "hub long, part long, own boolean, node long, set binary")
     met = sets.repartition(n, "hub", "part").sortWithinPartitions("hub", "part", F.desc("own"))
     links, _ = written(met.mapInArrow(compare, "u long, v long").distinct(), "links")
@@ -321,12 +318,12 @@ def crowd_links(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> DataFr
     homes, _ = written(homes, "homes")
     common, found = COMMON, [spark.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))]
     while True:
-        each = now.select("set", "least", F.explode("shingles").alias("shingle"))
-        held, held_path = written(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "held")
-        shared, shared_path = written(each.join(held, "shingle"), "shared")
+        held = now.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        held, held_path = written(held, "held")
+        shared, shared_path = written(_shared(now, held), "shared")
         met = _met(now, shared, homes, common)
         found += [met] if met is not None else []
-        left = shared.where(F.col("c") > common).groupBy("set", "least").agg(F.sort_array(F.collect_list("shingle")).alias("shingles"))
+        left = shared.select("set", "least", F.array_sort(F.transform(F.filter("shared", lambda x: x["c"] > common), lambda x: x["shingle"])).alias("shingles"))
         left = left.where("4 * size(shingles) >= 3 * least").select("set", "least", "shingles", F.xxhash64("shingles", F.lit(1)).alias("k1"), F.xxhash64(F.lit(2), "shingles").alias("k2"))
         now, _ = written(left, "left")
         for path in (held_path, shared_path):
@@ -346,6 +343,34 @@ def crowd_links(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> DataFr
     return written(_union(found).where("u <> v").distinct(), "crowd-links")[0]
 
 
+def _shared(now: DataFrame, held: DataFrame) -> DataFrame:
+    """set, least and shared: (c, shingle) of the set's shingles in `held` (shingle, c), the rarest first.
+
+    A table of shingles that takes few bytes is looked up in each task; else sets and table are shuffled by shingle.
+    """
+    if bytes_of(held) > BROADCAST_BYTES:
+        each = now.select("set", "least", F.explode("shingles").alias("shingle")).join(held, "shingle")
+        return each.groupBy("set", "least").agg(F.sort_array(F.collect_list(F.struct("c", "shingle"))).alias("shared"))
+    table = held.toPandas().sort_values("shingle")
+    sent = now.sparkSession.sparkContext.broadcast((table["shingle"].to_numpy(np.int64), table["c"].to_numpy(np.int64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = sent.value
+        for b in batches:
+            lists = b.column(2)
+            shingles = lists.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
+            at = np.minimum(np.searchsorted(known, shingles), max(len(known) - 1, 0))
+            hit = known[at] == shingles if len(known) else np.zeros(len(shingles), bool)
+            row, shingles, c = row[hit], shingles[hit], times[at[hit]] if len(known) else shingles[hit]
+            order = np.lexsort((shingles, c, row))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=b.num_rows))]).astype(np.int32)
+            pairs = pa.StructArray.from_arrays([pa.array(c[order]), pa.array(shingles[order])], names=["c", "shingle"])
+            yield pa.record_batch([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(ends), pairs)], names=["set", "least", "shared"])
+
+    return now.select("set", "least", "shingles").mapInArrow(run, "set long, least long, shared array<struct<c:long,shingle:long>>")
+
+
 def _met(now: DataFrame, shared: DataFrame, homes: DataFrame, common: int) -> DataFrame | None:
     """u, v: members of two sets that share a shingle held by at most `common` sets, and enough others to link; None if none.
 
@@ -353,11 +378,11 @@ def _met(now: DataFrame, shared: DataFrame, homes: DataFrame, common: int) -> Da
     what follows it can still be enough. Sets whose members are all in one component are not paired. A written table.
     """
     spark = now.sparkSession
-    size = F.count(F.lit(1)).over(Window.partitionBy("set"))
-    place = F.row_number().over(Window.partitionBy("set").orderBy("c", "shingle"))
-    after = size - place + 1  # shingles from this one on that others hold too
     inside = homes.groupBy("set").agg(F.when(F.min("node_in") == F.max("node_in"), F.min("node_in")).otherwise(-1 - F.col("set")).alias("inside"))
-    early = shared.select("set", "least", "shingle", "c", after.alias("after")).where((F.col("c") <= common) & (4 * F.col("after") >= 3 * F.col("least")))
+    k = F.size("shared").cast("long")  # from the i-th on, k - i shingles may be in common
+    rare = F.slice("shared", F.lit(1), F.greatest(F.lit(0), F.least(k, k - F.expr("(3 * least + 3) div 4") + 1)).cast("int"))
+    rare = F.filter(rare, lambda x: x["c"] <= common)
+    early = shared.select("set", "least", k.alias("k"), F.posexplode(rare).alias("i", "x")).select("set", "least", "x.shingle", (F.col("k") - F.col("i")).alias("after"))
     early, early_path = written(early.join(inside, "set"), "early")
     one, two = (early.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("set", "least", "after", "inside")]) for k in (1, 2))
     fits = 7 * F.least("after_1", "after_2") >= 3 * (F.col("least_1") + F.col("least_2"))
@@ -389,7 +414,7 @@ def _equal(now: DataFrame, homes: DataFrame) -> DataFrame:
 def _crowds(pairs: DataFrame) -> DataFrame:
     """Adds `_of`, the number of candidates of each hub that has more than `PART` of them (else 1)."""
     many = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("_of")).where(F.col("_of") > PART)
-    many = F.broadcast(many) if pairs.count() // PART <= BROADCAST_ROWS else written(many, "many")[0]
+    many = F.broadcast(many) if 32 * (pairs.count() // PART) <= BROADCAST_BYTES else written(many, "many")[0]
     return pairs.join(many, "hub", "left").withColumn("_of", F.coalesce("_of", F.lit(1)))
 
 
@@ -462,7 +487,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     ids, _ = written(placed.groupBy("_kept").agg(F.count(F.lit(1)).alias("rows"), F.max(best).alias("best")).where("best"), "kept")
     key = F.coalesce(F.col("doc_id").cast("long"), none)
     named, shared = ids.where("rows = 1").select("_kept"), ids.where("rows > 1").select("_kept")
-    out = docs.join(bounded(named, 4_000_000), key == F.col("_kept"), "left_semi")
+    out = docs.join(bounded(named, 3 * BROADCAST_BYTES), key == F.col("_kept"), "left_semi")
     if shared.isEmpty():
         return out
     again, _ = written(packed(docs.join(bounded(shared), key == F.col("_kept"), "left_semi")).withColumn("_n", F.monotonically_increasing_id()), "shared")

@@ -1,9 +1,12 @@
-"""Duplicate passages by an exact join of 20-word windows to the first place where each occurs.
+"""Duplicate passages by relative Lempel-Ziv parsing against everything that starts earlier.
 
-The reference is everything that starts earlier: smaller doc_ids, or the same document before. Every window that occurs
-earlier makes its 20 words a duplicate span; overlapping and touching spans are joined. This took the place of relative
-Lempel-Ziv parsing, whose greedy factors miss the windows that straddle two of them, so that all windows must be looked up
-in any case. Runs of windows whose first places advance in step are counted as factors; they decide nothing.
+The reference is everything that starts earlier: smaller doc_ids, or the same document before. It is indexed by blocks: the
+20-word windows, dealt out by their hash, each with the first place where it occurs. A document's windows are looked up in
+all blocks at once. Then it is parsed greedily from its first word (`parse`): a factor starts at the first window that the
+reference holds and goes on as long as the next window stands next in the reference too; the next factor starts behind its
+last word. A factor has 20 words at least, so all its words are duplicates. What greedy factors cannot show are windows
+that straddle a factor's end, which are checked there one by one: those that the reference holds make their words
+duplicates as well. Every window that occurs earlier is inside a factor or straddles an end, so the spans are exact.
 
 How the index stays small: of each window only its anchor is shared first, the least hash among its 8-word sequences
 (about one anchor for seven words). Equal windows have equal anchors, so a window whose anchor occurs once in the whole
@@ -12,9 +15,9 @@ The first place of a window is the first of its key in order of place; keys unde
 are dealt out, by document, into as many parts as the root of their number, and the firsts of the parts are compared next,
 so that no passage, however common, is gathered in one task.
 
-Edge cases: null text has no words; windows are judged on the input; rows that repeat a doc_id count as the same place;
-a null doc_id sorts before all others; texts under 20 words lose nothing; an empty table gives an empty result; extra
-columns are ignored; very long texts are taken whole.
+Edge cases: null text has no words; windows are judged on the input; rows that repeat a doc_id are judged each by its own
+windows, an equal word number in them counting as the same place; a null doc_id sorts before all others; texts under 20
+words lose nothing; an empty table gives an empty result; extra columns are ignored; very long texts are taken whole.
 """
 
 from __future__ import annotations
@@ -34,8 +37,8 @@ from strandsieve.llm.common import bounded, discard, partitions, tidy_documents,
 WINDOW, ANCHOR = 20, 8
 #: Occurrences of an anchor beyond which its windows are dealt out in parts.
 HOT = 2000
-#: Index entries that may be broadcast at once, with their documents.
-BROADCAST_ENTRIES = 8_000_000
+#: Bytes of documents' repeated anchors, or of their spans, that may be broadcast at once.
+MOST_BYTES = 96_000_000
 _LEAST = -(1 << 63)
 _FIRST, _SECOND = WordHasher(71), WordHasher(72)
 _ANCHOR, _WINDOW_A, _WINDOW_B = NgramHasher(ANCHOR, 73), NgramHasher(WINDOW, 74), NgramHasher(WINDOW, 75)
@@ -43,7 +46,13 @@ _SPREAD = WINDOW - ANCHOR + 1
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return tidy_documents(docs).select(F.coalesce("doc_id", F.lit(_LEAST)).alias("doc"), "doc_id", "text")
+    """doc, tag, doc_id and text of each row; tag tells apart the texts of rows that share a doc_id, and is 0 for all others."""
+    rows = tidy_documents(docs).select(F.coalesce("doc_id", F.lit(_LEAST)).alias("doc"), "doc_id", "text")
+    again, _ = written(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc", F.lit(True).alias("again")), "again")
+    if again.isEmpty():
+        return rows.withColumn("tag", F.lit(0).cast("long"))
+    tag = F.when(F.col("again"), F.xxhash64("text")).otherwise(0)
+    return rows.join(bounded(again), "doc", "left").select("doc", "doc_id", "text", tag.alias("tag"))
 
 
 def window_anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,14 +67,14 @@ def window_anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return least, grams
 
 
-def anchors(docs: DataFrame) -> DataFrame:
-    """anchor, doc and times (2 if it may occur more than once in the document) for each distinct anchor of each row."""
+def anchors(rows: DataFrame) -> DataFrame:
+    """anchor, doc, tag and times (2 if it may occur more than once in the document) for each distinct anchor of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            values, docs_of, times = [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int8)]
-            for i, (words,) in hashed_words(b.column(1), [_FIRST]):
+            ids, tags = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            values, docs_of, tag_of, times = [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int8)]
+            for i, (words,) in hashed_words(b.column(2), [_FIRST]):
                 if len(words) < WINDOW:
                     continue
                 least, grams = window_anchors(words)
@@ -75,42 +84,44 @@ def anchors(docs: DataFrame) -> DataFrame:
                 twice = np.isin(own, again, assume_unique=True) if len(again) else np.zeros(len(own), bool)
                 values.append(own)
                 docs_of.append(np.full(len(own), ids[i]))
+                tag_of.append(np.full(len(own), tags[i]))
                 times.append(1 + twice.astype(np.int8))
             yield pa.record_batch({
-                "anchor": pa.array(np.concatenate(values).view(np.int64)), "doc": pa.array(np.concatenate(docs_of)), "times": pa.array(np.concatenate(times)),
+                "anchor": pa.array(np.concatenate(values).view(np.int64)), "doc": pa.array(np.concatenate(docs_of)),
+                "tag": pa.array(np.concatenate(tag_of)), "times": pa.array(np.concatenate(times)),
             })
 
-    return _keyed(docs).select("doc", "text").mapInArrow(run, "anchor long, doc long, times byte")
+    return rows.select("doc", "tag", "text").mapInArrow(run, "anchor long, doc long, tag long, times byte")
 
 
-def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """For each document with repeated anchors: doc, its cold and hot ones, and the parts of the hot. A written table."""
-    spark = docs.sparkSession
-    all_anchors, path = written(anchors(docs), "anchors")
+def repeated_anchors(rows: DataFrame) -> DataFrame:
+    """For each document with repeated anchors: doc, tag, its cold and hot ones, and the parts of the hot. A written table."""
+    spark = rows.sparkSession
+    all_anchors, path = written(anchors(rows), "anchors")
     counted = all_anchors.groupBy("anchor").agg(F.sum("times").alias("times")).where("times > 1")
     parts = F.when(F.col("times") > HOT, F.ceil(F.sqrt("times"))).otherwise(0).cast("int")
     counted, counted_path = written(counted.select("anchor", parts.alias("parts")), "repeated")
-    hits = all_anchors.select("anchor", "doc").join(bounded(counted, 200_000), "anchor")
+    hits = all_anchors.select("anchor", "doc", "tag").join(bounded(counted), "anchor")
     cold = F.collect_list(F.when(F.col("parts") == 0, F.col("anchor"))).alias("cold")
     hot = F.collect_list(F.when(F.col("parts") > 0, F.struct("anchor", "parts"))).alias("_hot")
-    per, _ = written(hits.groupBy("doc").agg(cold, hot).select("doc", "cold", F.col("_hot.anchor").alias("hot"), F.col("_hot.parts").alias("parts")), "hits")
+    per, _ = written(hits.groupBy("doc", "tag").agg(cold, hot).select("doc", "tag", "cold", F.col("_hot.anchor").alias("hot"), F.col("_hot.parts").alias("parts")), "hits")
     discard(spark, path)
     discard(spark, counted_path)
     return per
 
 
-def _windows(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """k1, k2, part, doc, start of each window whose anchor is among the document's in `hits`."""
+def _windows(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """k1, k2, part, doc, tag, start of each window whose anchor is among the document's in `hits`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["k1", "k2", "part", "doc", "start"]
+        names = ["k1", "k2", "part", "doc", "tag", "start"]
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
+            ids, tags = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             spread = mix(ids.astype(np.int64).view(U64)) >> U64(1)
-            cold, hot, parts_of_hot = b.column(2), b.column(3), b.column(4)
+            cold, hot, parts_of_hot = b.column(3), b.column(4), b.column(5)
             out: list[tuple[np.ndarray, ...]] = []
             size = 0
-            for i, (first, second) in hashed_words(b.column(1), [_FIRST, _SECOND]):
+            for i, (first, second) in hashed_words(b.column(2), [_FIRST, _SECOND]):
                 if len(first) < WINDOW:
                     continue
                 least, _ = window_anchors(first)
@@ -125,7 +136,7 @@ def _windows(docs: DataFrame, hits: DataFrame) -> DataFrame:
                     k1 = _WINDOW_A(first)[chosen].view(np.int64)
                     k2 = (_WINDOW_B(second)[chosen] >> U64(32)).astype(np.uint32).view(np.int32)
                     part = np.where(parts > 0, np.int64(spread[i]) % np.maximum(parts, 1), -1).astype(np.int32)
-                    out.append((k1, k2, part, np.full(len(chosen), ids[i]), chosen.astype(np.int32)))
+                    out.append((k1, k2, part, np.full(len(chosen), ids[i]), np.full(len(chosen), tags[i]), chosen.astype(np.int32)))
                     size += len(chosen)
                 if size > 200_000:
                     yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
@@ -133,13 +144,11 @@ def _windows(docs: DataFrame, hits: DataFrame) -> DataFrame:
             if out:
                 yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
 
-    n, entries = hits.agg(F.count(F.lit(1)), F.sum(F.size("cold") + F.size("hot"))).first()
-    asked = F.broadcast(hits) if n and n + entries <= BROADCAST_ENTRIES else hits
-    return _keyed(docs).join(asked, "doc").select("doc", "text", "cold", "hot", "parts").mapInArrow(run, "k1 long, k2 int, part int, doc long, start int")
+    return rows.join(bounded(hits, MOST_BYTES), ["doc", "tag"]).select("doc", "tag", "text", "cold", "hot", "parts").mapInArrow(run, "k1 long, k2 int, part int, doc long, tag long, start int")
 
 
-def earlier_windows(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """doc, start, ref_doc, ref_start of each window that starts earlier too, with an earlier place that it starts at.
+def earlier_windows(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """doc, tag, start, ref_doc, ref_start of each window that starts earlier too, with an earlier place that it starts at.
 
     The first of a window's places within each part is found first, then the first of those.
     """
@@ -149,65 +158,82 @@ def earlier_windows(docs: DataFrame, hits: DataFrame) -> DataFrame:
     def with_first(windows: DataFrame, *keys: str) -> DataFrame:
         return windows.withColumn("first", F.first(place).over(Window.partitionBy(*keys).orderBy("doc", "start")))
 
-    found = with_first(_windows(docs, hits), "k1", "k2", "part").where(late)
+    found = with_first(_windows(rows, hits), "k1", "k2", "part").where(late)
     hot = hits.where(F.size("hot") > 0).withColumn("cold", F.array().cast("array<bigint>"))
     if not hot.isEmpty():
-        leaders = with_first(_windows(docs, hot), "k1", "k2", "part").where(~late).drop("first")
+        leaders = with_first(_windows(rows, hot), "k1", "k2", "part").where(~late).drop("first")
         found = found.unionByName(with_first(leaders, "k1", "k2").where(late))
-    return found.select("doc", "start", F.col("first.doc").alias("ref_doc"), F.col("first.start").alias("ref_start"))
+    return found.select("doc", "tag", "start", F.col("first.doc").alias("ref_doc"), F.col("first.start").alias("ref_start"))
 
 
 def parse(starts: np.ndarray, ref_docs: np.ndarray, ref_starts: np.ndarray) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
-    """Duplicate spans of one document, and its factors (from, to, reference document, reference start), words, end exclusive."""
-    if not len(starts):
-        return [], []
-    step = np.ones(len(starts), bool)
-    step[1:] = (starts[1:] != starts[:-1] + 1) | (ref_docs[1:] != ref_docs[:-1]) | (ref_starts[1:] != ref_starts[:-1] + 1)
-    first = np.flatnonzero(step)
-    last = np.append(first[1:], len(starts)) - 1
-    factors = [(int(starts[a]), int(starts[z]) + WINDOW, int(ref_docs[a]), int(ref_starts[a])) for a, z in zip(first, last, strict=True)]
-    gap = np.flatnonzero(starts[1:] > starts[:-1] + WINDOW)  # touching spans are joined
-    begins, ends = starts[np.append(0, gap + 1)], starts[np.append(gap, len(starts) - 1)] + WINDOW
-    return list(zip(begins.tolist(), ends.tolist(), strict=True)), factors
-
-
-def duplicate_spans(docs: DataFrame) -> DataFrame:
-    """doc, spans (array of first and end word) and n_factors of each document that repeats something earlier."""
+    """Duplicate spans of one document, and its factors (from, to, reference document, reference start), words, end exclusive.
+
+    The arguments are the document's windows that the reference holds, in order, and where.
+    """
+    n = len(starts)
+    follows = (starts[1:] == starts[:-1] + 1) & (ref_docs[1:] == ref_docs[:-1]) & (ref_starts[1:] == ref_starts[:-1] + 1)
+    ends = np.append(np.flatnonzero(~follows), n - 1)  # of stretches that advance in step
+    factors, covered, at = [], [], 0
+    while at < n:
+        last = int(ends[np.searchsorted(ends, at)])
+        begin, end = int(starts[at]), int(starts[last]) + WINDOW
+        factors.append((begin, end, int(ref_docs[at]), int(ref_starts[at])))
+        after = int(np.searchsorted(starts, end))
+        covered.append((begin, end))
+        covered += [(x, x + WINDOW) for x in starts[last + 1 : after].tolist()]  # windows that straddle the factor's end
+        at = after
+    spans: list[tuple[int, int]] = []
+    for begin, end in covered:  # begins ascend
+        if spans and begin <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
+        else:
+            spans.append((begin, end))
+    return spans, factors
+
+
+def duplicate_spans(rows: DataFrame) -> DataFrame:
+    """doc, tag, spans (array of first and end word) and n_factors of each row of `_keyed` that repeats something earlier."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.zeros(0, np.int64) for _ in range(4)]
+        held: list[np.ndarray] = [np.zeros(0, np.int64) for _ in range(5)]
+
+        def ends(rows: list[np.ndarray]) -> np.ndarray:
+            return np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1
 
         def closed(rows: list[np.ndarray]) -> pa.RecordBatch:
-            docs_of, spans, n = [], [], []
-            cuts = np.flatnonzero(rows[0][1:] != rows[0][:-1]) + 1
-            for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows[0])], strict=True):
-                s, f = parse(rows[1][a:z], rows[2][a:z], rows[3][a:z])
+            docs_of, tags, spans, n = [], [], [], []
+            cuts = ends(rows).tolist()
+            for a, z in zip([0, *cuts], [*cuts, len(rows[0])], strict=True):
+                one = a + np.flatnonzero(np.diff(rows[2][a:z], prepend=-1))  # rows that are equal give their windows twice
+                s, f = parse(rows[2][one], rows[3][one], rows[4][one])
                 docs_of.append(int(rows[0][a]))
+                tags.append(int(rows[1][a]))
                 spans.append([x for pair in s for x in pair])
                 n.append(len(f))
-            return pa.record_batch({"doc": pa.array(docs_of, pa.int64()), "spans": pa.array(spans, pa.list_(pa.int32())), "n_factors": pa.array(n, pa.int64())})
+            return pa.record_batch({"doc": pa.array(docs_of, pa.int64()), "tag": pa.array(tags, pa.int64()), "spans": pa.array(spans, pa.list_(pa.int32())), "n_factors": pa.array(n, pa.int64())})
 
         for b in batches:
-            new = [b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)]
+            new = [b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5)]
             held = [np.concatenate([h, x]) for h, x in zip(held, new, strict=True)]
-            if len(held[0]) and held[0][0] != held[0][-1]:
-                cut = int(np.searchsorted(held[0], held[0][-1]))  # sorted by document: all but the last are complete
-                yield closed([h[:cut] for h in held])
-                held = [h[cut:] for h in held]
+            cuts = ends(held)
+            if len(cuts):  # sorted by row: all but the last are complete
+                yield closed([h[: cuts[-1]] for h in held])
+                held = [h[cuts[-1] :] for h in held]
         if len(held[0]):
             yield closed(held)
 
-    hits = repeated_anchors(docs)
-    found = earlier_windows(docs, hits)
-    n = partitions(docs.sparkSession)
-    met = found.repartition(n, "doc").sortWithinPartitions("doc", "start")
-    spans, _ = written(met.mapInArrow(run, "doc long, spans array<int>, n_factors long"), "spans")
+    hits = repeated_anchors(rows)
+    found = earlier_windows(rows, hits)
+    met = found.repartition(partitions(rows.sparkSession), "doc", "tag").sortWithinPartitions("doc", "tag", "start")
+    spans, _ = written(met.mapInArrow(run, "doc long, tag long, spans array<int>, n_factors long"), "spans")
     return spans
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, and n_factors of each row."""
-    spans = duplicate_spans(docs)
+    rows = _keyed(docs)
+    spans = duplicate_spans(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -229,7 +255,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "n_factors"],
             )
 
-    whole = _keyed(docs).join(bounded(spans), "doc", "left").select("doc_id", "text", "spans", F.coalesce("n_factors", F.lit(0)).cast("long").alias("n_factors"))
+    whole = rows.join(bounded(spans, MOST_BYTES), ["doc", "tag"], "left").select("doc_id", "text", "spans", F.coalesce("n_factors", F.lit(0)).cast("long").alias("n_factors"))
     return whole.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, n_factors long")
 
 

@@ -87,9 +87,10 @@ def test_pairs_at_the_threshold_in_a_crowd_of_one_template(make, rng, rows, monk
     assert sum(r[3] for r in got) == 150
 
 
-@pytest.mark.parametrize("most", [2, 32])
-def test_crowd_links_join_all_that_link(make, rng, rows, monkeypatch, most):
+@pytest.mark.parametrize(("most", "sent"), [(2, neardup.BROADCAST_BYTES), (32, 0)])
+def test_crowd_links_join_all_that_link(make, rng, rows, monkeypatch, most, sent):
     monkeypatch.setattr(neardup, "COMMON", most)
+    monkeypatch.setattr(neardup, "BROADCAST_BYTES", sent)
     monkeypatch.setattr(neardup, "GROWTH", 6)
     given = varied(rng, 20)
     lines = [sentence(rng, 12) for _ in range(12)]

@@ -58,6 +58,14 @@ def test_periodic_text(make, rows):
     assert rows(substrings.without_repeats(make(*given)), "doc_id", "n_words", "n_removed", "kept_sha256") == brute(given)
 
 
+def test_rows_that_share_a_doc_id_lose_only_what_they_repeat(make, rng, rows):
+    passage, other, third = (sentence(rng, 40) for _ in range(3))
+    given = [(1, passage), (2, passage), (2, other), (2, f"{sentence(rng, 7)} {other}"), (2, other), (None, third), (None, passage), (3, f"{third} {other}")]
+    got = rows(substrings.without_repeats(make(*given)), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == brute(given)
+    assert sorted(r[2] for r in got if r[0] == 2) == [0, 0, 40, 40]
+
+
 def test_edge_cases(nasty, rows):
     given = [(r.doc_id, r.text) for r in nasty.collect()]
     assert rows(substrings.without_repeats(nasty), "doc_id", "n_words", "n_removed", "kept_sha256") == brute(given)
@@ -67,16 +75,27 @@ def test_empty_table(empty):
     assert substrings.without_repeats(empty).count() == 0
 
 
-def test_factors_follow_the_reference():
+def test_factors_are_greedy_and_their_ends_are_checked():
     import numpy as np
 
-    starts = np.array([0, 1, 2, 30, 31, 60])
-    spans, factors = substrings.parse(starts, np.array([7, 7, 8, 7, 7, 7]), np.array([5, 6, 0, 9, 10, 90]))
-    assert factors == [(0, 21, 7, 5), (2, 22, 8, 0), (30, 51, 7, 9), (60, 80, 7, 90)]
-    assert spans == [(0, 22), (30, 51), (60, 80)]
+    starts = np.array([0, 1, 2, 20, 21, 30, 31, 60])
+    spans, factors = substrings.parse(starts, np.array([7, 7, 8, 8, 8, 7, 7, 7]), np.array([5, 6, 0, 9, 10, 9, 10, 90]))
+    # The first factor ends behind word 20; the windows at 2 and 20 straddle that end, the next factor starts at 21.
+    assert factors == [(0, 21, 7, 5), (21, 41, 8, 10), (60, 80, 7, 90)]
+    assert spans == [(0, 51), (60, 80)]
     assert substrings.parse(starts[:0], starts[:0], starts[:0]) == ([], [])
 
 
+def test_spans_come_from_the_factors(monkeypatch, make, rng, rows):
+    passage = sentence(rng, 60)
+    given = [(1, passage), (2, passage)]
+    monkeypatch.setattr(substrings, "parse", lambda starts, *_: ([], []))
+    assert [r[2] for r in rows(substrings.without_repeats(make(*given)), "doc_id", "n_words", "n_removed")] == [0, 0]
+    monkeypatch.undo()
+    (_, one), (_, two) = rows(substrings.without_repeats(make(*given)), "doc_id", "n_factors")
+    assert (one, two) == (0, 1)
+
+
 def test_windows_of_equal_words_share_their_anchor():
     from strandsieve.llm.bytescan import WordHasher
 
