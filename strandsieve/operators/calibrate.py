@@ -13,6 +13,12 @@ from strandsieve.functions.sequence import score_text
 from strandsieve.operators.candidates import long_form
 
 _SCORE = "decimal(38,10)"
+# Metrics of the summary for the four classes, and its conclusions.
+SUMMARY_COUNTS = ("target_classified_read_count", "non_target_classified_read_count", "tied_read_count", "no_hit_read_count")
+CONCLUSIONS = (
+    "No candidate reads were found.", "No threshold is supported by these calibration reads.",
+    "The recommended threshold is %d for these calibration reads.",
+)
 
 
 def calibration_scope(targets: DataFrame, scope: DataFrame | None = None) -> DataFrame:
@@ -39,7 +45,7 @@ def check_read_hits(hits: DataFrame, queries: DataFrame) -> DataFrame:
 
 def hit_scope(hits: DataFrame, scopes: DataFrame) -> DataFrame:
     """Adds `target` and `non_target`; a subject of taxa on both sides counts for both."""
-    joined = hits.join(F.broadcast(scopes), "design_id")
+    joined = hits.join(scopes, "design_id")
     return joined.withColumns({"target": taxonomy.in_scope(F.col("staxids"), F.col("scope")), "non_target": taxonomy.out_of_scope(F.col("staxids"), F.col("scope"))}).drop("scope")
 
 
@@ -109,12 +115,14 @@ def threshold_summary(curve: DataFrame, preparation: DataFrame) -> DataFrame:
     first = curve.where("threshold = 1").select("design_id", *counts)
     best = recommended_threshold(curve)
     n = preparation.join(first, "design_id").join(best, "design_id")
-    at = curve.join(best.select("design_id", F.col("recommended_threshold").alias("threshold")), ["design_id", "threshold"]).select("design_id", F.col("target_read_count").alias("kept"))
-    n = n.join(at, "design_id", "left")
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    rows = [(c, F.col(c)) for c in S.PREPARATION] + [(c, F.col(c)) for c in counts]
+    rows = [(c, F.col(c)) for c in S.PREPARATION] + list(zip(SUMMARY_COUNTS, (F.col(c) for c in counts), strict=True))
     status = F.when(F.col("candidate_read_count") == 0, S.NO_CANDIDATE_READS).otherwise(F.col("calibration_status"))
-    rows += [("calibration_status", status), ("recommended_threshold", text("recommended_threshold")), ("target_reads_at_threshold", text("kept"))]
+    said = (
+        F.when(F.col("candidate_read_count") == 0, CONCLUSIONS[0]).when(F.col("recommended_threshold").isNull(), CONCLUSIONS[1])
+        .otherwise(F.format_string(CONCLUSIONS[2], F.col("recommended_threshold")))
+    )
+    rows += [("calibration_status", status), ("recommended_threshold", text("recommended_threshold")), ("conclusion", said)]
     return long_form(n, rows)
 
 

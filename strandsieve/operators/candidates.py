@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from strandsieve import contracts
 from strandsieve import schema as S
+from strandsieve.functions import packed
 from strandsieve.functions.ranking import numbered
 from strandsieve.functions.sequence import canonical, is_dna, normalize, padded_id, scaled_entropy, tiles, windows
 
 #: Distinct candidates that may be broadcast against the background; beyond that the join is shuffled.
-BROADCAST_CANDIDATES = 2_000_000
+BROADCAST_CANDIDATES = 400_000
 
 
 def enumerate_kmers(sources: DataFrame, k: int, columns: tuple[str, ...] = ("design_id", "source_sequence_id", "query_group")) -> DataFrame:
     """`columns`, start (0-based) and canonical kmer of each window of A, C, G and T of `sequence`."""
+    if k <= packed.MOST:
+        both = packed.coded(sources, k, columns).select(*columns, F.explode(F.arrays_zip("starts", "codes")).alias("_w"))
+        return both.select(*columns, F.col("_w.starts").alias("start"), packed.unpack(F.col("_w.codes"), k).alias("kmer"))
     size = 1 << 16
     piece = sources.select(*columns, F.posexplode(tiles(F.col("sequence"), k, size)).alias("_tile", "_piece"))
     window = piece.select(*columns, "_tile", F.posexplode(windows(F.col("_piece"), k)).alias("_at", "_window"))
@@ -28,6 +32,14 @@ def kmer_counts(occurrences: DataFrame, keys: tuple[str, ...] = ("design_id",))
     return occurrences.groupBy(*keys, "kmer").agg(F.count(F.lit(1)).alias("source_copy_count"))
 
 
+def sequence_kmer_counts(sequences: DataFrame, k: int, keys: tuple[str, ...] = ("design_id",)) -> DataFrame:
+    """`kmer_counts` of `sequences` (keys, sequence), summed and shuffled as codes; texts are made of the sums alone."""
+    if k > packed.MOST:
+        return kmer_counts(enumerate_kmers(sequences, k, keys), keys)
+    per = packed.code_rows(sequences, k, keys).groupBy(*keys, "code").agg(F.count(F.lit(1)).alias("source_copy_count"))
+    return per.select(*keys, packed.unpack(F.col("code"), k).alias("kmer"), "source_copy_count")
+
+
 def imported_counts(counts: DataFrame, k: int) -> DataFrame:
     """Third-party (design_id, kmer, count) rows, checked and made canonical."""
     checks = [
@@ -55,6 +67,11 @@ def background_counts(candidates: DataFrame, background: DataFrame, k: int, broa
     wanted = candidates.select("design_id", "kmer")
     if broadcast is None:
         broadcast = wanted.limit(BROADCAST_CANDIDATES + 1).count() <= BROADCAST_CANDIDATES
+    if k <= packed.MOST:
+        coded = wanted.select("design_id", packed.pack(F.col("kmer")).alias("code"))
+        found = packed.code_rows(background, k, ("design_id",), lenient=True)
+        hits = found.join(F.broadcast(coded) if broadcast else coded, ["design_id", "code"], "left_semi").groupBy("design_id", "code").agg(F.count(F.lit(1)).alias("background_occurrences"))
+        return hits.select("design_id", packed.unpack(F.col("code"), k).alias("kmer"), "background_occurrences")
     cleaned = background.select("design_id", normalize(F.col("sequence")).alias("sequence"))
     found = enumerate_kmers(cleaned, k, ("design_id",)).select("design_id", "kmer")
     hits = found.join(F.broadcast(wanted) if broadcast else wanted, ["design_id", "kmer"], "left_semi")
@@ -98,20 +115,20 @@ def passing_complexity(manifest: DataFrame, threshold: float = S.Defaults.entrop
 
 
 def apply_passing(manifest: DataFrame, passing: DataFrame) -> DataFrame:
-    """Rejects eligible candidates that are not among `passing` (in either orientation), and numbers the others as baits."""
+    """Rejects eligible candidates that are not among `passing` (in either orientation), and numbers the others as the panel."""
     marked = passing.select("design_id", canonical(F.col("kmer")).alias("kmer"), F.lit(True).alias("_passes")).distinct()
     joined = manifest.join(marked, ["design_id", "kmer"], "left").withColumn("_passes", F.coalesce("_passes", F.lit(False)))
-    return _name_baits(joined)
+    return _name_panel(joined)
 
 
 def filter_complexity(manifest: DataFrame, threshold: float = S.Defaults.entropy_threshold, window: int = S.Defaults.window) -> DataFrame:
     """`apply_passing` with the scaled entropy of each k-mer, without a join."""
     if window != 1:
         raise ValueError("only window 1, where every k-mer is indexed, is defined")
-    return _name_baits(manifest.withColumn("_passes", scaled_entropy(F.col("kmer")) >= threshold))
+    return _name_panel(manifest.withColumn("_passes", scaled_entropy(F.col("kmer")) >= threshold))
 
 
-def _name_baits(marked: DataFrame) -> DataFrame:
+def _name_panel(marked: DataFrame) -> DataFrame:
     open_ = F.col("status") == S.PASS
     low = open_ & ~F.col("_passes")
     # All right-hand sides see the old values: a rejected row is never reactivated.
@@ -119,14 +136,14 @@ def _name_baits(marked: DataFrame) -> DataFrame:
         "status": F.when(low, S.REJECT_COMPLEXITY).otherwise(F.col("status")),
         "rejection_reason": F.when(low, S.LOW_COMPLEXITY).otherwise(F.col("rejection_reason")),
         "taxonomic_screening_status": F.when(low, S.NOT_APPLICABLE).otherwise(F.col("taxonomic_screening_status")),
-        "_bait": open_ & F.col("_passes"),
+        "_member": open_ & F.col("_passes"),
     })
-    baits = numbered(judged.where("_bait").select("design_id", "kmer"), ["design_id"], "kmer", "_number")
-    named = judged.drop("bait_id").join(baits.select("design_id", "kmer", padded_id("bait", F.col("_number")).alias("bait_id")), ["design_id", "kmer"], "left")
+    kept = numbered(judged.where("_member").select("design_id", "kmer"), ["design_id"], "kmer", "_number")
+    named = judged.drop("bait_id").join(kept.select("design_id", "kmer", padded_id("bait", F.col("_number")).alias("bait_id")), ["design_id", "kmer"], "left")
     return named.withColumn("bait_id", F.coalesce("bait_id", F.lit(""))).select("design_id", *S.MANIFEST)
 
 
-def baits(manifest: DataFrame) -> DataFrame:
+def panel_of(manifest: DataFrame) -> DataFrame:
     """design_id, bait_id and sequence of what is still in the panel."""
     return eligible(manifest).where("bait_id <> ''").select("design_id", "bait_id", F.col("kmer").alias("sequence"))
 

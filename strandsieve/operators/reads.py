@@ -34,7 +34,7 @@ def resolve_read_sources(names: DataFrame) -> DataFrame:
     return named.select(F.concat_ws("__", "design_id", "metagenome_id").alias("id"), "design_id", "metagenome_id", F.col("name").alias("read"))
 
 
-def count_read_baits(reads: DataFrame, panel: DataFrame, k: int) -> DataFrame:
+def count_panel_kmers(reads: DataFrame, panel: DataFrame, k: int) -> DataFrame:
     """Reads that match the panel: their distinct k-mers of it, their number in file order, and their representative.
 
     `reads` has design_id, metagenome_id, ordinal (the place in its file: a read's identity) and sequence.

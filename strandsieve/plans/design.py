@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandsieve import schema as S
 from strandsieve.operators import align, calibrate, candidates, discovery, panel, reads, screening
-from strandsieve.session import settled
+from strandsieve.session import fresh_path, settled
 from strandsieve.sources.sinks import write_if_any, write_table
 
 
@@ -64,8 +64,8 @@ class Run:
 
 _STAGE = {
     "loci": "sources", "discovery_status": "sources", "sources": "sources", "manifest": "candidates", "occurrences": "candidates", "filtering_status": "candidates",
-    "exact_hits": "screening", "decisions": "screening", "screening_status": "screening", "screened_manifest": "screening", "bait_set_status": "baits", "baits": "baits",
-    "verification": "index", "index_errors": "index", "read_counts": "calibration", "preparation": "calibration", "classified_reads": "calibration",
+    "exact_hits": "screening", "decisions": "screening", "screening_status": "screening", "screened_manifest": "screening", "set_status": "panel", "panel": "panel",
+    "verification": "index", "index_errors": "index", "index": "index", "read_counts": "calibration", "preparation": "calibration", "classified_reads": "calibration",
     "threshold_counts": "calibration", "threshold_summary": "calibration", "parameters": "provenance",
 }
 
@@ -106,8 +106,11 @@ def run_designs(inputs: Inputs, parameters: Parameters | None = None) -> Run:
     deepest = manifest
     if inputs.reference is not None or inputs.exact_hits is not None:
         run.steps.append("taxonomic_screening")
-        local = candidates.baits(manifest)
-        hits = inputs.exact_hits if inputs.exact_hits is not None else screening.exact_match_hits(local, inputs.reference, k)
+        local = candidates.panel_of(manifest)
+        if inputs.exact_hits is not None:
+            hits = screening.check_hits(screening.typed_hits(inputs.exact_hits), local, k)
+        else:
+            hits = screening.exact_match_hits(local, inputs.reference, k)
         hits = run.keep("exact_hits", settled(hits))
         decisions = run.keep("decisions", settled(screening.screening_decisions(local, hits, inputs.designs)))
         run.keep("screening_status", screening.screening_status(manifest, decisions, inputs.designs))
@@ -115,27 +118,41 @@ def run_designs(inputs: Inputs, parameters: Parameters | None = None) -> Run:
     found = inputs.designs.select("design_id").limit(0) if inputs.rules is None else inputs.rules.select("design_id").distinct()
     marked = inputs.designs.select("design_id").join(found.withColumn("_found", F.lit(True)), "design_id", "left")
     origins = marked.select("design_id", F.when(F.col("_found"), S.DISCOVERED).otherwise(S.CURATED).alias("source_sequence_origin"))
-    run.keep("bait_set_status", screening.bait_set_status(deepest, origins, screened=deepest is not manifest))
-    baits = run.keep("baits", settled(candidates.baits(deepest)))
-    index = baits.select("design_id", F.col("sequence").alias("kmer"))
-    errors = run.keep("index_errors", settled(panel.index_errors(deepest, baits, index, inputs.background, k)))
+    run.keep("set_status", screening.set_status(deepest, origins, screened=deepest is not manifest))
+    members = run.keep("panel", settled(candidates.panel_of(deepest)))
+    path = fresh_path(members.sparkSession, "index")
+    panel.build_index(members, path, k)
+    index = run.keep("index", panel.read_index(members.sparkSession, path))
+    errors = run.keep("index_errors", settled(panel.index_errors(deepest, members, index, inputs.background, k)))
     panel.verify(errors)
-    run.keep("verification", panel.verification_summary(deepest, baits, index, errors, inputs.designs))
+    run.keep("verification", panel.verification_summary(index, errors, k))
     run.steps.append("verified_index")
     if inputs.reads is not None and (inputs.reference is not None or inputs.read_hits is not None):
-        calibrate_panel(inputs, baits, p, run)
+        calibrate_panel(inputs, members, p, run)
+    run.keep("parameters", run_facts(inputs.designs, p, run.steps))
     return run
 
 
-def calibrate_panel(inputs: Inputs, baits: DataFrame, p: Parameters, run: Run) -> None:
+def run_facts(designs: DataFrame, p: Parameters, steps: list[str]) -> DataFrame:
+    """design_id, parameter and value: the parameters, the steps that were taken and the versions, for each design."""
+    spark = designs.sparkSession
+    facts = [*((k, str(v)) for k, v in vars(p).items()), *((f"step_{i:02d}", s) for i, s in enumerate(steps, 1)), ("spark_version", spark.version)]
+    rows = F.array(*[F.struct(F.lit(k).alias("parameter"), F.lit(v).alias("value")) for k, v in sorted(facts)])
+    return designs.select("design_id").distinct().select("design_id", F.explode(rows).alias("f")).select("design_id", "f.*")
+
+
+def calibrate_panel(inputs: Inputs, members: DataFrame, p: Parameters, run: Run) -> None:
     run.steps.append("calibration")
-    counted = settled(reads.count_read_baits(inputs.reads, baits, p.kmer_size))
+    counted = settled(reads.count_panel_kmers(inputs.reads, members, p.kmer_size))
     run.keep("read_counts", counted.select("design_id", *S.READ_COUNTS))
     returned = counted.groupBy("design_id").agg(F.count(F.lit(1)).alias("returned"))
     designs = inputs.designs.join(inputs.reads.select("design_id").distinct(), "design_id", "left_semi")
     preparation = run.keep("preparation", settled(reads.preparation_summary(counted, returned, designs)))
     queries = reads.read_queries(counted)
-    hits = align.keep_best_subjects(inputs.read_hits, p.max_subjects) if inputs.read_hits is not None else align.read_hits(queries, inputs.reference, p.max_subjects)
+    if inputs.read_hits is not None:
+        hits = align.keep_best_subjects(calibrate.check_read_hits(inputs.read_hits, queries), p.max_subjects)
+    else:
+        hits = align.read_hits(queries, inputs.reference, p.max_subjects)
     scoped = calibrate.hit_scope(hits, calibrate.calibration_scope(inputs.designs, inputs.scope))
     classified = run.keep("classified_reads", settled(calibrate.classify_reads(counted, calibrate.representative_scores(scoped), p.tie_tolerance)))
     curve = run.keep("threshold_counts", settled(calibrate.threshold_curve(classified, designs)))

@@ -18,7 +18,7 @@ from strandsieve import contracts
 from strandsieve import schema as S
 from strandsieve.functions.sequence import representative_id
 from strandsieve.operators import calibrate, candidates, discovery, panel, provenance, reads, screening
-from strandsieve.session import settled
+from strandsieve.session import fresh_path, settled
 
 K = 15
 LETTERS = string.ascii_lowercase + string.ascii_uppercase
@@ -73,7 +73,7 @@ def _manifest(spark: SparkSession, sf_dir: str, complete: bool = True) -> DataFr
 
 def _screening(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     manifest = _manifest(spark, sf_dir)
-    local = candidates.baits(manifest)
+    local = candidates.panel_of(manifest)
     hits = settled(screening.exact_match_hits(local, reference(spark, sf_dir), K))
     return manifest, hits, screening.screening_decisions(local, hits, designs(spark, sf_dir))
 
@@ -156,7 +156,7 @@ def kmer_occurrences(spark, sf_dir):
 )
 def corpus_kmer_profile(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("design_id"), dna(F.col("text")).alias("sequence"))
-    counts = candidates.kmer_counts(candidates.enumerate_kmers(d, K, ("design_id",)))
+    counts = candidates.sequence_kmer_counts(d, K)
     return counts.groupBy("design_id").agg(F.sum("source_copy_count").alias("windows"), F.count(F.lit(1)).alias("kmers"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer"))
 
 
@@ -186,8 +186,8 @@ def entropy_filter(spark, sf_dir):
 
 
 @registered(f"WITH {_MANIFEST} SELECT design_id, bait_id, kmer AS sequence FROM man WHERE bait_id <> ''")
-def bait_ids(spark, sf_dir):
-    return candidates.baits(_manifest(spark, sf_dir))
+def panel_ids(spark, sf_dir):
+    return candidates.panel_of(_manifest(spark, sf_dir))
 
 
 @registered(
@@ -229,6 +229,43 @@ def manifest_transition(spark, sf_dir):
     return screening.apply_screening(manifest, decisions)
 
 
+def _long_sql(of: str, rows: list[tuple[str, str]]) -> str:
+    """SQL of `long_form`: ordered (metric, value) rows of each row of `of`."""
+    names, values = ", ".join(f"'{m}'" for m, _ in rows), ", ".join(f"CAST({v} AS VARCHAR)" for _, v in rows)
+    return f"SELECT design_id, CAST(i AS INTEGER) AS ordinal, names[i + 1] AS metric, vals[i + 1] AS value FROM (SELECT design_id, [{names}] AS names, [{values}] AS vals, unnest(range({len(rows)})) AS i FROM {of})"
+
+
+@registered(
+    f"WITH {_DECISIONS}, n AS (SELECT design_id, count(*) AS c, count(*) FILTER (bait_id <> '') AS l, count(*) FILTER (bait_id <> '' AND off_target_hits = 0) AS k FROM man LEFT JOIN dec USING (design_id, bait_id) GROUP BY ALL) "
+    + _long_sql("n", [
+        ("design_id", "design_id"), ("source_sequence_origin", f"'{S.CURATED}'"), ("candidate_kmer_count", "c"), ("locally_filtered_bait_count", "l"),
+        ("taxonomic_screening_status", f"CASE WHEN l = 0 THEN '{S.NOT_RUN}' WHEN k > 0 THEN '{S.PASS}' ELSE '{S.STAGE_NO_BAITS}' END"), ("taxonomically_screened_bait_count", "CASE WHEN l = 0 THEN '' ELSE CAST(k AS VARCHAR) END"),
+        ("deepest_bait_set", "CASE WHEN k > 0 THEN 'taxonomically_screened' ELSE 'locally_filtered' END"), ("deacon_index_source", "CASE WHEN k > 0 THEN 'taxonomically_screened' ELSE '' END"),
+    ])
+)
+def panel_set_status(spark, sf_dir):
+    manifest, _, decisions = _screening(spark, sf_dir)
+    return screening.set_status(screening.apply_screening(manifest, decisions), designs(spark, sf_dir), screened=True)
+
+
+@registered(
+    f"WITH {_MANIFEST}, parts AS (SELECT design_id, substr(kmer, 1, 5) AS head, count(*) AS n, sha256(string_agg(kmer, chr(10) ORDER BY kmer)) AS part FROM man WHERE bait_id <> '' GROUP BY ALL), "
+    "n AS (SELECT design_id, sum(n) AS n, sha256(string_agg(part, chr(10) ORDER BY head)) AS digest FROM parts GROUP BY ALL) "
+    + _long_sql("n", [
+        ("design_id", "design_id"), ("kmer_size", f"'{K}'"), ("deacon_window", "'1'"), ("deacon_index_entropy_threshold", "'0'"), ("deacon_filter_absolute_threshold", "'1'"),
+        ("deacon_filter_relative_threshold", "'0'"), ("bait_roundtrip_record_count", "n"), ("bait_roundtrip_sha256", "digest"), ("bait_sequence_sets_equal", "'true'"),
+        ("interference_background_roundtrip_record_count", "'0'"), ("interference_background_roundtrip_sha256", "sha256('')"), ("conclusion", f"'{panel.CONCLUSION}'"),
+    ])
+)
+def verification_summary(spark, sf_dir):
+    """The index is written, read back, and compared with the manifest, the panel and the background."""
+    manifest = _manifest(spark, sf_dir)
+    members, path = settled(candidates.panel_of(manifest)), fresh_path(spark, "index")
+    panel.build_index(members, path, K)
+    index = panel.read_index(spark, path)
+    return panel.verification_summary(index, settled(panel.index_errors(manifest, members, index, background(spark, sf_dir), K)), K)
+
+
 _RULES = "rules AS (SELECT design_id, source_sequence_id AS query_id, query_group, 1 + CAST(substr(source_sequence_id, 5) AS BIGINT) % 5 AS query_start, CASE WHEN CAST(substr(source_sequence_id, 5) AS BIGINT) % 2 = 0 THEN 0 ELSE 40 END AS query_end, sequence FROM src)"
 
 
@@ -295,7 +332,7 @@ def group_completeness(spark, sf_dir):
 
 @registered(f"WITH {_COUNTED} SELECT design_id, metagenome_id, ordinal, bait_count FROM counts")
 def record_filter(spark, sf_dir):
-    return panel.matching_records(read_table(spark, sf_dir), candidates.baits(_manifest(spark, sf_dir)), K, ("metagenome_id", "ordinal"))
+    return panel.matching_records(read_table(spark, sf_dir), candidates.panel_of(_manifest(spark, sf_dir)), K, ("metagenome_id", "ordinal"))
 
 
 @registered(
@@ -307,7 +344,7 @@ def record_filter(spark, sf_dir):
 def verify_antijoin(spark, sf_dir):
     """A wrong index on purpose, all k-mers under one design: every disagreement is a row."""
     manifest = _manifest(spark, sf_dir)
-    good = candidates.baits(manifest)
+    good = candidates.panel_of(manifest)
     index = good.select(F.lit("d0").alias("design_id"), F.col("sequence").alias("kmer")).distinct()
     given = good.join(index.withColumnRenamed("kmer", "sequence"), ["design_id", "sequence"], "left_semi").select("design_id", "bait_id", "sequence")
     errors = panel.index_errors(manifest, given, index, background(spark, sf_dir), K)
@@ -329,8 +366,8 @@ def read_source_ids(spark, sf_dir):
 
 
 @registered(f"WITH {_COUNTED} SELECT design_id, metagenome_id, read_id, read_length, bait_count, representative_id FROM counted")
-def read_bait_counts(spark, sf_dir):
-    return reads.count_read_baits(read_table(spark, sf_dir), candidates.baits(_manifest(spark, sf_dir)), K).select("design_id", *S.READ_COUNTS)
+def read_panel_counts(spark, sf_dir):
+    return reads.count_panel_kmers(read_table(spark, sf_dir), candidates.panel_of(_manifest(spark, sf_dir)), K).select("design_id", *S.READ_COUNTS)
 
 
 @registered(f"WITH {_READS} SELECT design_id, metagenome_id, ordinal, 'sequence_' || sha256(least(sequence, {_RC.format('sequence')})) AS representative_id FROM reads")
@@ -340,7 +377,7 @@ def read_identity(spark, sf_dir):
 
 @registered(f"WITH {_COUNTED} SELECT design_id, representative_id, min(least(sequence, {_RC.format('sequence')})) AS sequence FROM counted GROUP BY ALL")
 def query_dedup(spark, sf_dir):
-    return reads.read_queries(reads.count_read_baits(read_table(spark, sf_dir), candidates.baits(_manifest(spark, sf_dir)), K))
+    return reads.read_queries(reads.count_panel_kmers(read_table(spark, sf_dir), candidates.panel_of(_manifest(spark, sf_dir)), K))
 
 
 @registered(
@@ -348,7 +385,7 @@ def query_dedup(spark, sf_dir):
     "coalesce(c - q, 0) AS duplicate_sequence_count, coalesce(q, 0) AS read_blast_query_count FROM region LEFT JOIN n ON n.design_id = 'd' || r_regionkey WHERE r_regionkey < 3"
 )
 def preparation_summary(spark, sf_dir):
-    counted = reads.count_read_baits(read_table(spark, sf_dir), candidates.baits(_manifest(spark, sf_dir)), K)
+    counted = reads.count_panel_kmers(read_table(spark, sf_dir), candidates.panel_of(_manifest(spark, sf_dir)), K)
     returned = counted.groupBy("design_id").agg(F.count(F.lit(1)).alias("returned"))
     return reads.preparation_summary(counted, returned, designs(spark, sf_dir))
 
@@ -422,6 +459,25 @@ def recommended_threshold(spark, sf_dir):
     return calibrate.recommended_threshold(calibrate.threshold_curve(_classified(spark, sf_dir)))
 
 
+_SUPPORTED = "target_read_count > 0 AND non_target_read_count = 0 AND tied_read_count = 0 AND no_hit_read_count = 0"
+
+
+@registered(
+    f"WITH {_CURVE}, r AS (SELECT design_id, min(threshold) FILTER ({_SUPPORTED}) AS t FROM curve GROUP BY ALL), "
+    "prep AS (SELECT design_id, count(*) AS n, count(DISTINCT representative_id) AS q FROM cls GROUP BY ALL), n AS (SELECT * FROM prep JOIN r USING (design_id) JOIN (SELECT * FROM curve WHERE threshold = 1) USING (design_id)) "
+    + _long_sql("n", [
+        *zip(S.PREPARATION, ("design_id", "n", "n", "n - q", "q"), strict=True), *zip(calibrate.SUMMARY_COUNTS, S.THRESHOLD_COUNTS[1:], strict=True),
+        ("calibration_status", f"CASE WHEN t IS NULL THEN '{S.UNSUPPORTED}' ELSE '{S.RECOMMENDED}' END"), ("recommended_threshold", "coalesce(CAST(t AS VARCHAR), '')"),
+        ("conclusion", f"CASE WHEN t IS NULL THEN '{calibrate.CONCLUSIONS[1]}' ELSE printf('{calibrate.CONCLUSIONS[2]}', t) END"),
+    ])
+)
+def threshold_summary(spark, sf_dir):
+    classified = settled(_classified(spark, sf_dir))
+    returned = classified.groupBy("design_id").agg(F.count(F.lit(1)).alias("returned"))
+    preparation = reads.preparation_summary(classified, returned, classified.select("design_id").distinct())
+    return calibrate.threshold_summary(settled(calibrate.threshold_curve(classified)), settled(preparation))
+
+
 @registered("SELECT DISTINCT 'table' AS input_role, 'supplier' AS input_id, 'nation_' || s_nationkey AS attribute, CAST(count(*) OVER (PARTITION BY s_nationkey) AS VARCHAR) AS value FROM supplier")
 def provenance_facts(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).cast("string").alias("value"))
@@ -431,16 +487,23 @@ def provenance_facts(spark, sf_dir):
     return provenance.provenance(facts, parameters, versions)[0]
 
 
-@registered("SELECT kmer, ours, theirs, 'x' AS design_id FROM (SELECT o_orderpriority AS kmer, count(*) AS ours FROM orders GROUP BY ALL) FULL JOIN (SELECT c_mktsegment AS kmer, count(*) AS theirs FROM customer GROUP BY ALL) USING (kmer) WHERE ours IS DISTINCT FROM theirs")
+@registered(
+    "SELECT kmer, ours, theirs, 'x' AS design_id FROM (SELECT 'n' || s_nationkey AS kmer, count(*) AS ours FROM supplier WHERE s_nationkey < 18 GROUP BY ALL) "
+    "FULL JOIN (SELECT 'n' || (c_nationkey % 20 + 4) AS kmer, count(*) // 15 AS theirs FROM customer GROUP BY ALL) USING (kmer) WHERE ours IS DISTINCT FROM theirs"
+)
 def full_outer_counts_check(spark, sf_dir):
-    ours = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("kmer")).agg(F.count(F.lit(1)).alias("source_copy_count")).withColumn("design_id", F.lit("x"))
-    theirs = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("kmer")).agg(F.count(F.lit(1)).alias("count")).withColumn("design_id", F.lit("x"))
+    """Keys of either side alone, of both with one count, and of both with two."""
+    name = lambda c: F.concat(F.lit("n"), c.cast("string")).alias("kmer")
+    ours = table(spark, sf_dir, "supplier").where("s_nationkey < 18").groupBy(name(F.col("s_nationkey"))).agg(F.count(F.lit(1)).alias("source_copy_count")).withColumn("design_id", F.lit("x"))
+    theirs = table(spark, sf_dir, "customer").groupBy(name(F.col("c_nationkey") % 20 + 4)).agg(F.expr("count(1) div 15").alias("count")).withColumn("design_id", F.lit("x"))
     return candidates.count_differences(ours, theirs)
 
 
-@registered("SELECT DISTINCT c_custkey FROM customer ANTI JOIN (SELECT o_custkey AS c_custkey FROM orders) USING (c_custkey)")
+@registered("SELECT DISTINCT p_partkey FROM part ANTI JOIN (SELECT l_partkey AS p_partkey FROM lineitem WHERE l_quantity > 45 AND l_returnflag = 'R') USING (p_partkey)")
 def left_anti_missing(spark, sf_dir):
-    return contracts.missing(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    """Parts with and without a large returned order."""
+    ordered = table(spark, sf_dir, "lineitem").where("l_quantity > 45 and l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
+    return contracts.missing(table(spark, sf_dir, "part").select("p_partkey"), ordered, ["p_partkey"])
 
 
 @registered("SELECT l_partkey, l_suppkey, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1")

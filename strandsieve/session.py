@@ -47,10 +47,16 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
+def fresh_path(spark: SparkSession, what: str) -> str:
+    """A path of its own in the shared folder; what is there goes when the driver ends."""
+    path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The same rows from a Parquet table in the shared folder: plans stay short, and a lost executor loses nothing of it."""
-    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
-    _made.append((df.sparkSession, path))
+    path = fresh_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

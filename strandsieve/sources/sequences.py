@@ -31,11 +31,19 @@ def read_fasta(spark: SparkSession, path: str | list[str], strict: bool = False)
     )
     if strict:
         contracts.require_rows(records, "FASTA")
+        _require_sign(spark, path)
         contracts.require(records, [(F.col("id") == "", "record without id"), (F.col("sequence") == "", F.concat(F.lit("empty record "), F.col("id")))], ["id"], "FASTA")
         contracts.require_unique(records, ["id"], "FASTA")
     return records
 
 
+def _require_sign(spark: SparkSession, path: str | list[str]) -> None:
+    """Every file must start with a record: its first line that is not blank has the sign."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n")).where(F.trim("value") != "")
+    first = lines.groupBy("file").agg(F.min_by("value", "n").alias("line"))
+    contracts.require(first, [(~F.ltrim("line").startswith(">"), F.concat(F.lit("text before the first record: "), F.col("line")))], ["file"], "FASTA")
+
+
 def read_kmer_fasta(spark: SparkSession, path: str, k: int) -> DataFrame:
     """Strict FASTA of unique k-mers of A, C, G and T."""
     records = read_fasta(spark, path, strict=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Published stages in order.
 STAGES = {
-    "sources": "01_source_sequences", "candidates": "02_candidate_kmers", "screening": "03_taxonomic_screening", "baits": "04_bait_sets",
+    "sources": "01_source_sequences", "candidates": "02_candidate_kmers", "screening": "03_taxonomic_screening", "panel": "04_bait_sets",
     "index": "05_index", "calibration": "06_calibration", "provenance": "07_provenance",
 }
 

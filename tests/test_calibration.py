@@ -75,7 +75,7 @@ def test_read_counts_identities_and_duplicates(spark, rows):
     panel = spark.createDataFrame([("d", "bait_000001", "ACGTA")], "design_id string, bait_id string, sequence string")
     given = [("d", "m", i, s) for i, s in enumerate(("ACGTA", "GGGGG", "TACGT", "acgta", "ACGTACGTA"))]
     frame = spark.createDataFrame(given, "design_id string, metagenome_id string, ordinal long, sequence string")
-    counted = reads.count_read_baits(frame, panel, 5).persist()
+    counted = reads.count_panel_kmers(frame, panel, 5).persist()
     got = counted.orderBy("read_id").collect()
     assert [(r.read_id, r.bait_count, r.read_length) for r in got] == [("read_000000000001", 1, 5), ("read_000000000002", 1, 5), ("read_000000000003", 1, 5), ("read_000000000004", 1, 9)]
     assert len({r.representative_id for r in got[:3]}) == 1

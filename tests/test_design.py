@@ -37,7 +37,7 @@ def test_two_designs_in_one_run(spark, tmp_path):
     assert status[("a", "duplicate_sequence_count")] == "1"
     assert run.steps == ["curated_sources", "discovered_sources", "candidate_kmers", "complexity_filter", "taxonomic_screening", "verified_index", "calibration"]
     run.write(str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out/04_bait_sets/baits")).count() == len(t["baits"])
+    assert spark.read.parquet(str(tmp_path / "out/04_bait_sets/panel")).count() == len(t["panel"])
     assert not (tmp_path / "out/05_index/index_errors").exists()
 
 

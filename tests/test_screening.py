@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 
 from strandsieve import contracts
@@ -8,8 +10,8 @@ HITS = "design_id string, qseqid string, saccver string, staxids string, sscinam
 MANIFEST = "design_id string, candidate_kmer_id string, bait_id string, kmer string, source_copy_count long, background_occurrences long, status string, rejection_reason string, taxonomic_screening_status string, on_target_hits long, off_target_hits long"
 
 
-def hit(bait, taxids, **change):
-    row = {"design_id": "d", "qseqid": bait, "saccver": "x", "staxids": taxids, "sscinames": "n", "pident": 100.0, "length": 5, "mismatch": 0, "gapopen": 0, "qstart": 1, "qend": 5, "sstart": 9, "send": 13, "stitle": "t"} | change
+def hit(name, taxids, **change):
+    row = {"design_id": "d", "qseqid": name, "saccver": "x", "staxids": taxids, "sscinames": "n", "pident": 100.0, "length": 5, "mismatch": 0, "gapopen": 0, "qstart": 1, "qend": 5, "sstart": 9, "send": 13, "stitle": "t"} | change
     return tuple(row.values())
 
 
@@ -35,10 +37,10 @@ def test_hits_are_checked(spark, bad):
 
 
 def test_native_search_finds_both_strands_and_palindromes(spark, rows):
-    baits = spark.createDataFrame([("d", "b1", "AACCC"), ("d", "b2", "ACGT")], "design_id string, bait_id string, sequence string")
+    members = spark.createDataFrame([("d", "b1", "AACCC"), ("d", "b2", "ACGT")], "design_id string, bait_id string, sequence string")
     ref = spark.createDataFrame([("r1", "1", "n", "t", "TTAACCCGG"), ("r2", "1", "n", "t", "cuGGGTTAA"), ("r3", "2", "n", "t", "NACGTN")], "saccver string, staxids string, sscinames string, stitle string, sequence string")
-    assert rows(screening.exact_match_hits(baits.where("bait_id = 'b1'"), ref, 5), "saccver", "sstart", "send") == [("r1", 3, 7), ("r2", 7, 3)]
-    assert rows(screening.exact_match_hits(baits.where("bait_id = 'b2'"), ref, 4), "saccver", "sstart", "send") == [("r3", 2, 5), ("r3", 5, 2)]
+    assert rows(screening.exact_match_hits(members.where("bait_id = 'b1'"), ref, 5), "saccver", "sstart", "send") == [("r1", 3, 7), ("r2", 7, 3)]
+    assert rows(screening.exact_match_hits(members.where("bait_id = 'b2'"), ref, 4), "saccver", "sstart", "send") == [("r3", 2, 5), ("r3", 5, 2)]
 
 
 def manifest(spark):
@@ -54,9 +56,9 @@ def test_decisions_move_the_manifest(spark):
     assert (got["c2"].status, got["c2"].rejection_reason, got["c2"].bait_id) == (S.REJECT_OFF_TARGET, S.OFF_TARGET_MATCH, "bait_000002")
     assert (got["c3"].status, got["c3"].off_target_hits) == (S.REJECT_BACKGROUND, None)
     designs = spark.createDataFrame([("d", S.CURATED)], "design_id string, source_sequence_origin string")
-    status = {r.metric: r.value for r in screening.bait_set_status(screening.apply_screening(manifest(spark), decided), designs, True).collect()}
+    status = {r.metric: r.value for r in screening.set_status(screening.apply_screening(manifest(spark), decided), designs, True).collect()}
     assert len(status) == 8
-    assert (status["bait_set"], status["taxonomically_screened_bait_count"], status["terminal_stage"]) == ("taxonomically_screened", "1", "")
+    assert (status["deepest_bait_set"], status["taxonomically_screened_bait_count"], status["deacon_index_source"]) == ("taxonomically_screened", "1", "taxonomically_screened")
 
 
 def test_index_is_verified(spark, tmp_path, rows):
@@ -68,10 +70,12 @@ def test_index_is_verified(spark, tmp_path, rows):
     clean = spark.createDataFrame([("d", "TTTTTTT")], "design_id string, sequence string")
     errors = panel.index_errors(manifest(spark), good, index, clean, 5)
     panel.verify(errors)
-    designs = spark.createDataFrame([("d",)], "design_id string")
-    summary = panel.verification_summary(manifest(spark), good, index, errors, designs)
-    assert summary.count() == 12
-    assert "| verification_status | PASS |" in panel.report(summary)
+    summary = panel.verification_summary(index, errors, 5)
+    got = {r.metric: r.value for r in summary.collect()}
+    assert len(got) == 12
+    assert (got["bait_roundtrip_record_count"], got["bait_sequence_sets_equal"], got["interference_background_roundtrip_record_count"]) == ("2", "true", "0")
+    assert got["interference_background_roundtrip_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert f"| conclusion | {panel.CONCLUSION} |" in panel.report(summary)
     dirty = spark.createDataFrame([("d", "GGGTT")], "design_id string, sequence string")
     wrong = panel.index_errors(manifest(spark), good.limit(1), index, dirty, 5)
     assert {r.error for r in wrong.collect()} >= {"manifest_only", "indexed_not_in_panel", "background_match"}

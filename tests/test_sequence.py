@@ -73,3 +73,34 @@ def test_no_python_on_the_candidate_path(spark):
     plan = manifest._jdf.queryExecution().toString()
     assert "Python" not in plan
     assert "Broadcast" in plan
+
+
+def test_packed_kmers_are_the_canonical_texts(spark):
+    import random
+
+    from strandsieve.functions import packed
+    from strandsieve.functions.sequence import canonical
+    from strandsieve.operators import candidates
+
+    rng = random.Random(2)
+    texts = ["", "ACGT", "ACGTNNACGTA", "acgu" * 5, *("".join(rng.choice("ACGTACGTN") for _ in range(rng.randint(0, 90))) for _ in range(20))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, sequence string")
+    back = str.maketrans("ACGT", "TGCA")
+    for k in (1, 4, 7, 31):
+        want = sorted((i, s, min(w, w[::-1].translate(back))) for i, t in enumerate(texts) for s in range(len(t) - k + 1) for w in [t[s : s + k]] if set(w) <= set("ACGT"))
+        assert sorted(tuple(r) for r in candidates.enumerate_kmers(df, k, ("i",)).collect()) == want
+    one = df.where("i = 4").select(packed.unpack(packed.pack(canonical(F.substring("sequence", 1, 1))), 1).alias("b"))
+    assert one.count() == 1
+
+
+def test_tiles_of_packed_kmers_meet_without_a_gap(spark, monkeypatch):
+    from strandsieve.functions import packed
+
+    monkeypatch.setattr(packed, "TILE", 4)
+    import numpy as np
+
+    data = np.frombuffer(b"ACGTTGCAACGTNACGGT", np.uint8)
+    whole = packed.codes(data, 5, packed._STRICT)
+    cut = [packed.codes(data[a : a + 8], 5, packed._STRICT) for a in range(0, 14, 4)]
+    assert np.concatenate([c[0] + a for c, a in zip(cut, range(0, 14, 4), strict=True)]).tolist() == whole[0].tolist()
+    assert np.concatenate([c[1] for c in cut]).tolist() == whole[1].tolist()

@@ -89,7 +89,7 @@ def test_exports(spark, tmp_path):
     assert sinks.write_if_any(df, str(tmp_path / "t"), lambda d, p: sinks.write_tsv(d, p))
     assert not sinks.write_if_any(df.limit(0), str(tmp_path / "t"), lambda d, p: sinks.write_tsv(d, p))
     assert not (tmp_path / "t").exists()
-    assert spark.read.parquet(sinks.write_table(df, str(tmp_path), "baits", "x")).where("design_id = 'd'").count() == 2
+    assert spark.read.parquet(sinks.write_table(df, str(tmp_path), "panel", "x")).where("design_id = 'd'").count() == 2
 
 
 def test_provenance(spark, tmp_path, rows):
