@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from strandsieve.operators.reads import count_read_baits
+from strandsieve.operators.reads import count_panel_kmers
 
 ARRIVING = "design_id string, metagenome_id string, ordinal long, sequence string"
 
@@ -19,7 +19,7 @@ def stream_read_counts(spark: SparkSession, arriving: str, panel: DataFrame, k:
 
     def count(batch: DataFrame, number: int) -> None:
         # A repeated batch writes the same folder again.
-        count_read_baits(batch, panel, k).drop("sequence").write.mode("overwrite").parquet(f"{out}/batch={number:08d}")
+        count_panel_kmers(batch, panel, k).drop("sequence").write.mode("overwrite").parquet(f"{out}/batch={number:08d}")
 
     writer = stream.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
