@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from strandsieve.llm import chunks
 
 from .conftest import sentence
@@ -9,8 +11,6 @@ from .conftest import sentence
 def test_ends_are_in_bounds_and_survive_a_shift():
     rng = random.Random(2)
     text = sentence(rng, 3000).encode()
-    import numpy as np
-
     ends = chunks.chunk_ends(np.frombuffer(text, np.uint8))
     sizes = [b - a for a, b in zip([0, *ends], ends)]  # noqa: B905
     assert ends[-1] == len(text)
@@ -20,6 +20,27 @@ def test_ends_are_in_bounds_and_survive_a_shift():
     assert chunks.likeness(chunks.chunk_set(text), chunks.chunk_set(sentence(rng, 3000).encode())) < 0.05
 
 
+def plain_ends(data):
+    """The same ends from a rolling hash, byte by byte."""
+    ends, start, h = [], 0, 0
+    for i, byte in enumerate(data):
+        h = ((h << 1) + int(chunks._GEAR[byte])) % (1 << 32)
+        size = i + 1 - start
+        zeros = chunks.STRICT if size < chunks.NORMAL else chunks.LOOSE
+        if i + 1 == len(data) or size == chunks.LARGEST or (size >= chunks.SMALLEST and h >> (32 - zeros) == 0):
+            ends.append(i + 1)
+            start = i + 1
+    return ends
+
+
+def test_ends_against_a_rolling_hash():
+    rng = random.Random(6)
+    whole = sentence(rng, 4000).encode()
+    for n in (0, 1, 15, 16, 17, 31, 32, 33, 47, 48, 49, 192, 193, 500, len(whole)):
+        for data in (whole[:n], b"a" * n, bytes(rng.randrange(256) for _ in range(n))):
+            assert chunks.chunk_ends(np.frombuffer(data, np.uint8)) == plain_ends(data)
+
+
 def test_likeness_of_empty_and_coded_sets():
     a = chunks.chunk_set(b"a text of some length that makes more than one chunk, surely so")
     none = chunks.chunk_set(b"")
