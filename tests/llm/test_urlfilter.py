@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -74,6 +75,55 @@ def test_verdicts_do_not_depend_on_how_many_link_to_a_blocked_host(spark, linker
     assert sorted(tuple(r) for r in got) == [("mild", "allow", 0.031875), ("spam", "block", 0.1275)]
 
 
+def test_verdicts_against_plain_sums(spark):
+    rng = random.Random(8)
+    hosts = ["bad.net", "example.net", "a.org", "b.org", "m.example.com", *[f"h{i}.io" for i in range(14)]]
+    rows = []
+    for _ in range(150):
+        at = rng.randrange(len(hosts))
+        to = [hosts[rng.randrange(at)] for _ in range(rng.randint(0, 4))] if at else []
+        rows.append((f"http://{hosts[at]}/{rng.choice(['fr', 'en', 'de'])}/1", "".join(f'<a href="http://{h}/p">' for h in [*to, hosts[at]])))
+    rows.append(("http://calm.io/1", ""))
+    facts = [plain(url) for url, _ in rows]
+    n, allowed, blocked, edges = {}, {}, {}, {}
+    for (host, _, _, verdict), (_, html) in zip(facts, rows, strict=True):
+        n[host] = n.get(host, 0) + 1
+        for kind, seeds in (("allow", allowed), ("block", blocked)):
+            seeds[host] = seeds.get(host, 0) + (verdict == kind)
+        for dst in re.findall("http://([^/]*)/", html):
+            if dst != host:
+                edges[host, dst] = edges.get((host, dst), 0) + 1
+    trust = brute(edges, {h: c / n[h] for h, c in allowed.items()})
+    out = {}
+    for (a, _), w in edges.items():
+        out[a] = out.get(a, 0) + w
+    back = {(b, a): w / out[a] for (a, b), w in edges.items()}
+    distrust = {h: 0.15 * c / n[h] for h, c in blocked.items()}
+    for _ in range(200):
+        new = {h: 0.15 * c / n[h] for h, c in blocked.items()}
+        for (b, a), share in back.items():
+            new[a] += 0.85 * distrust.get(b, 0) * share
+        distrust = new
+    seen = set()
+    for r in urlfilter.judge_urls(pages(spark, *rows)).collect():
+        host, _, _, verdict = facts[r.page_id]
+        t, d = trust.get(host, 0), distrust[host]
+        assert (r.trust, r.distrust) == pytest.approx((t, d), rel=1e-4, abs=1e-6)
+        judged = "block" if d >= 0.05 and d > t else "allow"
+        assert r.verdict == (verdict or judged)
+        seen.add((verdict is None, r.verdict))
+    assert seen == {(True, "allow"), (True, "block"), (False, "allow"), (False, "block")}
+
+
+def test_long_urls_and_tied_scores(spark):
+    long = "http://" + "a" * 5000 + ".org/" + "b" * 200_000 + "?" + "c" * 200_000
+    tied = '<a href="http://bad.net/"><a href="http://x.org/">'
+    got = {r.page_id: r for r in urlfilter.judge_urls(pages(spark, (long, tied * 20_000), ("http://bad.net/", None), ("http://x.org/fr/", None), ("http://t1.io/", tied), ("http://t2.io/", tied))).collect()}
+    assert (len(got[0].host), len(got[0].path), got[0].rule) == (5004, 200_001, None)
+    assert got[3].distrust == got[4].distrust > urlfilter.THRESHOLD
+    assert {got[i].verdict for i in (0, 3, 4)} == {"block"}
+
+
 def test_no_python_in_the_plan(spark):
     plan = urlfilter.judge_urls(pages(spark, *URLS))._jdf.queryExecution().toString()
     assert "Python" not in plan
