@@ -318,7 +318,7 @@ def crowd_links(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> DataFr
     homes, _ = written(homes, "homes")
     common, found = COMMON, [spark.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))]
     while True:
-        held = now.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        held = _times(now).where("c > 1")
         held, held_path = written(held, "held")
         shared, shared_path = written(_shared(now, held), "shared")
         met = _met(now, shared, homes, common)
@@ -343,6 +343,17 @@ def crowd_links(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> DataFr
     return written(_union(found).where("u <> v").distinct(), "crowd-links")[0]
 
 
+def _times(now: DataFrame) -> DataFrame:
+    """shingle and c, the number of sets that hold it; summed within each batch of sets before anything is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values, times = np.unique(b.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            yield pa.record_batch({"shingle": pa.array(values, pa.int64()), "c": pa.array(times, pa.int64())})
+
+    return now.select("shingles").mapInArrow(run, "shingle long, c long").groupBy("shingle").agg(F.sum("c").alias("c"))
+
+
 def _shared(now: DataFrame, held: DataFrame) -> DataFrame:
     """set, least and shared: (c, shingle) of the set's shingles in `held` (shingle, c), the rarest first.
 
