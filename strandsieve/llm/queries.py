@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandsieve.llm import chunks, decontaminate, mixing, neardup, pii, quality, substrings, token_files, tokens, urlfilter
+from strandsieve.llm import chunks, decontaminate, hardnegatives, mixing, neardup, pii, quality, secrets, substrings, token_files, tokens, urlfilter
 from strandsieve.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -55,6 +55,14 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
+def op11_structural_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op12_pivot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardnegatives.mine(hardnegatives.quantised(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_leaks,
         op9_personal_data,
         op10_entropy_mix,
+        op11_structural_secrets,
+        op12_pivot_negatives,
     )
 }
 
@@ -98,4 +108,19 @@ SQL: dict[str, str] = {
         word AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w),
         kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
         SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)""",
+    "op12_pivot_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, e.vec_id AS id, a.label = e.label AS same, CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score
+            FROM e a, e WHERE a.vec_id % 100 = 0
+        ), p AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same AND id <> anchor_id
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+            id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY rank <= 5""",
 }
