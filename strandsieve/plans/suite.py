@@ -37,28 +37,41 @@ def _design(number: str) -> Column:
     return F.concat(F.lit("d"), (F.col(number) % 3).cast("string"))
 
 
+def sources_of(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(_design("item_id").alias("design_id"), F.concat(F.lit("src_"), F.col("item_id")).alias("source_sequence_id"), F.concat(F.lit("g"), F.col("item_id") % 4).alias("query_group"), dna(F.col("text")).alias("sequence"))
+
+
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = table(spark, sf_dir, "benchmark")
-    return b.select(_design("item_id").alias("design_id"), F.concat(F.lit("src_"), F.col("item_id")).alias("source_sequence_id"), F.concat(F.lit("g"), F.col("item_id") % 4).alias("query_group"), dna(F.col("text")).alias("sequence"))
+    return sources_of(table(spark, sf_dir, "benchmark"))
+
+
+def background_of(conversations: DataFrame) -> DataFrame:
+    return conversations.select(_design("conv_id").alias("design_id"), dna(F.col("text")).alias("sequence"))
 
 
 def background(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select(_design("conv_id").alias("design_id"), dna(F.col("text")).alias("sequence"))
+    return background_of(table(spark, sf_dir, "conversations"))
 
 
 def designs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "region").where("r_regionkey < 3").select(F.concat(F.lit("d"), F.col("r_regionkey").cast("string")).alias("design_id"), F.lit("1").alias("target_taxid"), F.lit(S.CURATED).alias("source_sequence_origin"))
 
 
-def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+def reference_of(documents: DataFrame) -> DataFrame:
     taxids = F.when(F.col("doc_id") % 5 == 0, "1").when(F.col("doc_id") % 5 == 1, "1;2").when(F.col("doc_id") % 5 == 2, "N/A").otherwise(((F.col("doc_id") % 5) - 1).cast("string"))
-    return d.select(F.concat(F.lit("ref_"), F.col("doc_id")).alias("saccver"), taxids.alias("staxids"), F.col("lang").alias("sscinames"), F.col("source").alias("stitle"), dna(F.col("text")).alias("sequence"))
+    return documents.select(F.concat(F.lit("ref_"), F.col("doc_id")).alias("saccver"), taxids.alias("staxids"), F.col("lang").alias("sscinames"), F.col("source").alias("stitle"), dna(F.col("text")).alias("sequence"))
+
+
+def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reference_of(table(spark, sf_dir, "documents"))
+
+
+def reads_of(documents: DataFrame) -> DataFrame:
+    return documents.select(_design("doc_id").alias("design_id"), F.concat(F.lit("m"), F.col("doc_id") % 2).alias("metagenome_id"), F.col("doc_id").alias("ordinal"), dna(F.col("text")).alias("sequence"))
 
 
 def read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    return d.select(_design("doc_id").alias("design_id"), F.concat(F.lit("m"), F.col("doc_id") % 2).alias("metagenome_id"), F.col("doc_id").alias("ordinal"), dna(F.col("text")).alias("sequence"))
+    return reads_of(table(spark, sf_dir, "documents"))
 
 
 def _occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +141,12 @@ _COUNTED = (
     f"'sequence_' || sha256(least(sequence, {_RC.format('sequence')})) AS representative_id, sequence FROM reads JOIN counts USING (design_id, metagenome_id, ordinal))"
 )
 
+#: Reads that match a panel, by their place in the file, without numbers.
+SCREENED_READS = (
+    f"WITH {_COUNTED} SELECT design_id, metagenome_id, ordinal, length(sequence) AS read_length, bait_count, "
+    f"'sequence_' || sha256(least(sequence, {_RC.format('sequence')})) AS representative_id FROM reads JOIN counts USING (design_id, metagenome_id, ordinal)"
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
