@@ -490,21 +490,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that are kept: of each group of near duplicates one with the smallest doc_id.
 
-    Where a doc_id names one row it decides; rows that share one (or have none) are looked at one by one.
+    Where a doc_id names one row it decides; rows that share one (or have none) are looked at one by one. Rows go packed, so
+    that no column of theirs clashes with those that are joined.
     """
     none = F.lit(-(1 << 63))
     placed, _ = written(_placed(docs).withColumn("_kept", F.coalesce("doc_id", none)), "placed")
     best = (F.col("n_shingles") == 0) | (F.col("_kept") == F.coalesce("component_id", none))
     ids, _ = written(placed.groupBy("_kept").agg(F.count(F.lit(1)).alias("rows"), F.max(best).alias("best")).where("best"), "kept")
-    key = F.coalesce(F.col("doc_id").cast("long"), none)
+    rows = packed(docs).withColumn("_kept", F.coalesce(F.col("_row.doc_id").cast("long"), none))
     named, shared = ids.where("rows = 1").select("_kept"), ids.where("rows > 1").select("_kept")
-    out = docs.join(bounded(named, 3 * BROADCAST_BYTES), key == F.col("_kept"), "left_semi")
+    out = rows.join(bounded(named, 3 * BROADCAST_BYTES), "_kept", "left_semi").select("_row.*")
     if shared.isEmpty():
         return out
-    again, _ = written(packed(docs.join(bounded(shared), key == F.col("_kept"), "left_semi")).withColumn("_n", F.monotonically_increasing_id()), "shared")
+    again, _ = written(rows.join(bounded(shared), "_kept", "left_semi").withColumn("_n", F.monotonically_increasing_id()), "shared")
     signed = signatures(again.select(F.col("_n").alias("doc_id"), F.col("_row.text").alias("text"))).select(F.col("doc_id").alias("_n"), "n_shingles", "d1", "d2")
     homes = placed.where("n_shingles > 0").join(bounded(shared), "_kept", "left_semi").select("d1", "d2", "node_in", "component_id").distinct()
-    own = again.select("_n", F.coalesce(F.col("_row.doc_id").cast("long"), none).alias("_kept"))
+    own = again.select("_n", "_kept")
     at = signed.join(own, "_n").join(homes, ["d1", "d2"], "left").where(best)
     chosen, _ = written(at.groupBy(F.coalesce("node_in", F.lit(-1)), F.when(F.col("n_shingles") == 0, F.col("_n"))).agg(F.min("_n").alias("_n")).select("_n"), "chosen")
     return out.unionAll(again.join(bounded(chosen), "_n", "left_semi").select("_row.*"))

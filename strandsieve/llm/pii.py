@@ -4,7 +4,7 @@ One scan finds the base spans of each text and, beside them, loosely shaped cand
 mention of either sort carries lexical patterns: its kind with the two words before it, and with the word on each side.
 Patterns and instances (distinct values) form a graph, which Spark scores in turns: a pattern is as good as the share of
 its instances that are accepted, an instance as good as its patterns together; seeds are accepted, others once they are
-good enough. Patterns induced
+good enough; the turns go on until no more are. Patterns induced
 by enough distinct seeds and of high confidence then discover the candidates they stand beside. Scores use every document;
 the graph is aggregated before it is joined, and nothing of it goes to the driver.
 
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from strandsieve.llm.common import discard, tidy_documents, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Distinct seeds that a pattern needs, its least confidence, and the turns of scoring.
-SUPPORT, CONFIDENCE, TURNS = 3, 0.8, 4
+#: Distinct seeds that a pattern needs, its least confidence, and turns after which scoring that still changes is an error.
+SUPPORT, CONFIDENCE, MOST_TURNS = 3, 0.8, 1000
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,9 +37,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _AT = re.compile(r"[\[(]\s?at\s?[\])]", re.I)
 
-# Loose shapes of candidates, by kind.
+# Loose shapes of candidates, by kind; that of e-mail is what may follow the bracketed sign.
+_LOOSE_DOMAIN = re.compile(r"\s?[A-Za-z0-9-]++(?:\s?(?:\.|[\[(]\s?dot\s?[\])])\s?[A-Za-z0-9-]{2,}+)+", re.I)
 _LOOSE = (
-    ("email", re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}\s?[\[(]\s?at\s?[\])]\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\.|[\[(]\s?dot\s?[\])])\s?[A-Za-z0-9-]{2,63}){1,4}", re.I)),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:[\[(]?\.[\])]?[0-9]{1,3}){3}(?![0-9.])")),
     ("card", re.compile(r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])")),
     ("phone", re.compile(r"(?<![0-9A-Za-z+])(?:\([0-9]{2,5}\)|[0-9]{2,5})[ .-][0-9]{3,4}(?:[ .-][0-9]{2,4}){0,2}(?![0-9A-Za-z])")),
@@ -57,13 +57,7 @@ def luhn(digits: str) -> bool:
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     at, free = text.find("@"), 0
     while at >= 0:
-        start = at
-        while start > free:  # the run before the sign, in steps that grow
-            step = max(free, start - 256)
-            got = _LOCAL.search(text, step, start).start()
-            start = got
-            if got > step:
-                break
+        start = _local(text, free, at)
         found = _DOMAIN.match(text, at + 1) if start < at else None
         if found:
             free = found.end()
@@ -94,6 +88,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _local(text: str, free: int, end: int) -> int:
+    """Where the run of an address's characters before a place starts, found in steps that grow."""
+    start = end
+    while start > free:
+        step = max(free, start - 256)
+        start = _LOCAL.search(text, step, start).start()
+        if start > step:
+            break
+    return start
+
+
+def _loose_emails(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses with a bracketed sign, their runs before and after it whole."""
+    free = 0
+    for at in _AT.finditer(text):
+        end = at.start() - (at.start() > free and text[at.start() - 1].isspace())
+        start = _local(text, free, end)
+        while start < end and not text[start].isalnum():
+            start += 1
+        found = _LOOSE_DOMAIN.match(text, at.end()) if start < end else None
+        if found:
+            free = found.end()
+            yield start, free
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Loosely shaped spans that touch no base span and each other neither."""
     out: list[tuple[int, int, int]] = []
@@ -103,11 +122,11 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     used = bytearray(len(text))
     for s, _, e in taken:
         used[s:e] = b"\1" * (e - s)
-    for k, (_, expression) in enumerate(_LOOSE):
-        if not (digits if k else at):
-            continue
-        for m in expression.finditer(text):
-            s, e = m.span()
+    shaped = [(0, _loose_emails(text))] if at else []
+    if digits:
+        shaped += [(KINDS.index(kind), (m.span() for m in expression.finditer(text))) for kind, expression in _LOOSE]
+    for k, found in shaped:
+        for s, e in found:
             if used.find(1, s, e) < 0:
                 out.append((s, k, e))
                 used[s:e] = b"\1" * (e - s)
@@ -186,23 +205,28 @@ def scan(docs: DataFrame) -> DataFrame:
     return tidy_documents(docs).mapInArrow(run, _FOUND)
 
 
-def score_patterns(edges: DataFrame, turns: int = TURNS) -> DataFrame:
-    """pattern, confidence and number of distinct seeds, from distinct (pattern, instance, seed) edges (a written table)."""
-    spark = edges.sparkSession
+def score_patterns(edges: DataFrame) -> DataFrame:
+    """pattern, confidence and number of distinct seeds, from distinct (pattern, instance, seed) edges (a written table).
+
+    A turn never takes back what one before accepted, so the turns end when the number of accepted instances stands still.
+    """
     known = edges.groupBy("instance").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(0.0)).alias("belief"))
-    path = None
-    for _ in range(turns):
+    path, accepted = None, -1
+    for _ in range(MOST_TURNS):
         # A turn: accepted instances to patterns (their share), and back (one minus the product of doubts).
         per = _confidence(edges, known)
         trusted = F.when(F.col("seeds") >= SUPPORT, F.least(F.col("confidence"), F.lit(0.999))).otherwise(0.0)
         doubts = edges.join(per, "pattern").groupBy("instance").agg(
             F.max("seed").alias("seed"), F.exp(F.sum(F.log(1 - trusted))).alias("doubt")
         )
-        new, new_path = written(doubts.select("instance", F.when(F.col("seed"), 1.0).otherwise(1 - F.col("doubt")).alias("belief")), "beliefs")
+        new, new_path = written(doubts.select("instance", F.when(F.col("seed"), 1.0).otherwise(F.round(1 - F.col("doubt"), 9)).alias("belief")), "beliefs")
         if path:
-            discard(spark, path)
+            discard(edges.sparkSession, path)
         known, path = new, new_path
-    return _confidence(edges, known)
+        before, accepted = accepted, known.where(F.col("belief") >= CONFIDENCE).count()
+        if accepted == before:
+            return _confidence(edges, known)
+    raise RuntimeError(f"beliefs still change after {MOST_TURNS} turns")
 
 
 def _confidence(edges: DataFrame, known: DataFrame) -> DataFrame:

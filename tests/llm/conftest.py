@@ -6,7 +6,7 @@ import pytest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside, and other odd columns.
-EXTRA = "doc_id long, text string, lang string, source string, n_chars long, _row string, _key string, _size string, _copies string, anchor string, size string, node string, spans string, start string"
+EXTRA = "doc_id long, text string, lang string, source string, n_chars long, _row string, _key string, _size string, _copies string, anchor string, size string, node string, spans string, start string, _kept string, _n string, key string, part string, tag string, doc string, text_ string"
 
 
 def sentence(rng: random.Random, n: int) -> str:
@@ -35,7 +35,7 @@ def nasty(spark):
         (1, long), (2, " ".join(near)), (3, None), (4, ""), (5, " \n\t "), (6, "one"), (7, "one two three four"), (8, "ONE TWO three four"), (9, long), (10, "é ñ 日本 語  x  y z w v u t"),
         (10, "é ñ 日本 語  x  y z w v u t"), (10, "another text under the same id with quite a few words in it"), (None, "no id but text that is long enough to have a few shingles"), (None, None), (11, "x" * 50_000), (12, "a b " * 3000),
     ]
-    full = [(i, t, None if i == 6 else "en", None if k % 4 == 3 else f"s{k % 3}", None, *["clash"] * 9) for k, (i, t) in enumerate(rows)]
+    full = [(i, t, None if i == 6 else "en", None if k % 4 == 3 else f"s{k % 3}", None, *["clash"] * 16) for k, (i, t) in enumerate(rows)]
     return spark.createDataFrame(full, EXTRA).repartition(3)
 
 
