@@ -38,7 +38,10 @@ def settings(argv: list[str] | None, config: str, known: dict[str, type]) -> dic
 def session(name: str) -> SparkSession:
     """The session of a command line; where it runs and its shared folder come from spark-submit or the defaults file."""
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
-    return SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    logging.getLogger("py4j").setLevel(logging.WARNING)
+    spark = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
 
 
 def table_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:

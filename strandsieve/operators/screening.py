@@ -108,7 +108,7 @@ def screening_status(manifest: DataFrame, decisions: DataFrame, designs: DataFra
     n = designs.select("design_id").distinct().join(local, "design_id", "left").join(left, "design_id", "left").fillna(0)
     rows = [
         ("design_id", F.col("design_id")), ("locally_filtered_bait_count", F.col("local")),
-        ("taxonomic_screening_status", F.when(F.col("screened") > 0, S.PASS).otherwise(S.STAGE_NO_BAITS)), ("taxonomically_screened_bait_count", F.col("screened")),
+        ("taxonomic_screening_status", F.when(F.col("screened") > 0, S.PASS).otherwise(S.STAGE_EMPTY_PANEL)), ("taxonomically_screened_bait_count", F.col("screened")),
     ]
     return long_form(n, rows)
 
@@ -128,7 +128,7 @@ def set_status(manifest: DataFrame, designs: DataFrame, screened: bool) -> DataF
     rows = [
         ("design_id", F.col("design_id")), ("source_sequence_origin", F.col("source_sequence_origin")), ("candidate_kmer_count", F.col("candidates")),
         ("locally_filtered_bait_count", F.col("local")),
-        ("taxonomic_screening_status", F.when(ran, F.when(F.col("kept") > 0, S.PASS).otherwise(S.STAGE_NO_BAITS)).otherwise(S.NOT_RUN)),
+        ("taxonomic_screening_status", F.when(ran, F.when(F.col("kept") > 0, S.PASS).otherwise(S.STAGE_EMPTY_PANEL)).otherwise(S.NOT_RUN)),
         ("taxonomically_screened_bait_count", F.when(ran, F.col("kept").cast("string")).otherwise("")),
         ("deepest_bait_set", deepest), ("deacon_index_source", F.when(F.col("kept") > 0, deepest).otherwise("")),
     ]

@@ -258,7 +258,7 @@ def _long_sql(of: str, rows: list[tuple[str, str]]) -> str:
     f"WITH {_DECISIONS}, n AS (SELECT design_id, count(*) AS c, count(*) FILTER (bait_id <> '') AS l, count(*) FILTER (bait_id <> '' AND off_target_hits = 0) AS k FROM man LEFT JOIN dec USING (design_id, bait_id) GROUP BY ALL) "
     + _long_sql("n", [
         ("design_id", "design_id"), ("source_sequence_origin", f"'{S.CURATED}'"), ("candidate_kmer_count", "c"), ("locally_filtered_bait_count", "l"),
-        ("taxonomic_screening_status", f"CASE WHEN l = 0 THEN '{S.NOT_RUN}' WHEN k > 0 THEN '{S.PASS}' ELSE '{S.STAGE_NO_BAITS}' END"), ("taxonomically_screened_bait_count", "CASE WHEN l = 0 THEN '' ELSE CAST(k AS VARCHAR) END"),
+        ("taxonomic_screening_status", f"CASE WHEN l = 0 THEN '{S.NOT_RUN}' WHEN k > 0 THEN '{S.PASS}' ELSE '{S.STAGE_EMPTY_PANEL}' END"), ("taxonomically_screened_bait_count", "CASE WHEN l = 0 THEN '' ELSE CAST(k AS VARCHAR) END"),
         ("deepest_bait_set", "CASE WHEN k > 0 THEN 'taxonomically_screened' ELSE 'locally_filtered' END"), ("deacon_index_source", "CASE WHEN k > 0 THEN 'taxonomically_screened' ELSE '' END"),
     ])
 )

@@ -40,7 +40,7 @@ CLASSES = (TARGET, NON_TARGET, TIED, NO_HIT)
 CURATED, DISCOVERED = "curated_input", "discovered_loci"
 
 STAGE_ENUMERATION, STAGE_CANCELLED = "candidate_kmer_enumeration", "explicit_background_cancellation"
-STAGE_COMPLEXITY, STAGE_NO_BAITS = "low_complexity_filtering", "NO_BAITS"
+STAGE_COMPLEXITY, STAGE_EMPTY_PANEL = "low_complexity_filtering", "NO_BAITS"
 NO_CANDIDATE_LOCUS, NO_CANDIDATE_READS = "NO_CANDIDATE_LOCUS", "NO_CANDIDATE_READS"
 RECOMMENDED, UNSUPPORTED = "RECOMMENDED_THRESHOLD", "NO_SUPPORTED_THRESHOLD"
 
