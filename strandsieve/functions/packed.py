@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,8 @@ from strandsieve.functions.sequence import BASES
 MOST = 31
 #: Window starts that one row of `coded` holds.
 TILE = 1 << 16
+#: Codes of a set that is sent to all executors: 32 MB.
+MOST_WANTED = 4_000_000
 _STRICT = np.full(256, 4, np.uint8)
 _STRICT[[ord(b) for b in BASES]] = range(4)
 _LENIENT = _STRICT.copy()
@@ -67,10 +69,43 @@ def codes(sequence: np.ndarray, k: int, table: np.ndarray) -> tuple[np.ndarray,
     return start, np.minimum(one, two), np.where(one < two, 1, np.where(one > two, 2, 3)).astype(np.int8)
 
 
-def coded(sequences: DataFrame, k: int, columns: tuple[str, ...], lenient: bool = False) -> DataFrame:
+class Wanted:
+    """A sorted set of codes on all executors, with a small bitmap that turns most other codes away."""
+
+    def __init__(self, spark: SparkSession, codes_: np.ndarray) -> None:
+        self.shared = spark.sparkContext.broadcast((codes_, _bitmap(codes_)))
+
+    def among(self, codes_: np.ndarray) -> np.ndarray:
+        """Places of the codes that are in the set."""
+        known, bits = self.shared.value
+        some = np.flatnonzero(bits[_slot(codes_)])
+        if not len(known) or not len(some):
+            return some[:0]
+        at = np.minimum(np.searchsorted(known, codes_[some]), len(known) - 1)
+        return some[known[at] == codes_[some]]
+
+
+def _slot(codes_: np.ndarray) -> np.ndarray:
+    return ((codes_.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
+
+
+def _bitmap(codes_: np.ndarray) -> np.ndarray:
+    bits = np.zeros(1 << 22, bool)
+    bits[_slot(codes_)] = True
+    return bits
+
+
+def wanted(rows: DataFrame, most: int = MOST_WANTED) -> Wanted | None:
+    """The distinct values of `code` as a set for all executors, if they are at most `most`; else None."""
+    distinct = rows.select("code").where("code is not null").distinct().limit(most + 1).toArrow().column(0).to_numpy()
+    return Wanted(rows.sparkSession, np.sort(distinct.astype(np.int64))) if len(distinct) <= most else None
+
+
+def coded(sequences: DataFrame, k: int, columns: tuple[str, ...], lenient: bool = False, only: Wanted | None = None) -> DataFrame:
     """`columns` and arrays `starts` (0-based), `codes` and `strands` of the windows of A, C, G and T of `sequence`.
 
     A row for each 65,536 starts, so that a chromosome is not one row. `lenient`: lower case counts, and U as T.
+    `only`: windows of other codes are left out here, before Spark sees them.
     """
     if not 0 < k <= MOST:
         raise ValueError(f"k must be from 1 to {MOST}")
@@ -95,6 +130,9 @@ def coded(sequences: DataFrame, k: int, columns: tuple[str, ...], lenient: bool
                 data = np.frombuffer(text.as_buffer() or b"", np.uint8)
                 for at in range(0, max(len(data) - k + 1, 0), TILE):
                     start, code, strand = codes(data[at : at + TILE + k - 1], k, table)
+                    if only is not None:
+                        few = only.among(code)
+                        start, code, strand = start[few], code[few], strand[few]
                     if len(start):
                         rows.append(i)
                         found.append((start + at, code, strand))
@@ -108,6 +146,6 @@ def coded(sequences: DataFrame, k: int, columns: tuple[str, ...], lenient: bool
     return given.mapInArrow(run, schema)
 
 
-def code_rows(sequences: DataFrame, k: int, columns: tuple[str, ...], lenient: bool = False) -> DataFrame:
+def code_rows(sequences: DataFrame, k: int, columns: tuple[str, ...], lenient: bool = False, only: Wanted | None = None) -> DataFrame:
     """`columns` and `code`, a row for each window."""
-    return coded(sequences, k, columns, lenient).select(*columns, F.explode("codes").alias("code"))
+    return coded(sequences, k, columns, lenient, only).select(*columns, F.explode("codes").alias("code"))

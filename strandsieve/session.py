@@ -10,6 +10,8 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _ROOT = str(Path(__file__).resolve().parent.parent)
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -61,6 +63,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(table: DataFrame, most: int = 32_000_000) -> DataFrame:
+    """Marks a written table for broadcast if its rows are shown to take at most `most` bytes; else Spark shuffles it."""
+    size = F.lit(16 * len(table.columns) + 16)
+    for f in table.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(f.name), F.lit(0))
+    taken = table.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(table) if taken <= most else table
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a table wherever it is; a local one even when the session has ended."""
     try:
