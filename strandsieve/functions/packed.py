@@ -149,3 +149,118 @@ def coded(sequences: DataFrame, k: int, columns: tuple[str, ...], lenient: bool
 def code_rows(sequences: DataFrame, k: int, columns: tuple[str, ...], lenient: bool = False, only: Wanted | None = None) -> DataFrame:
     """`columns` and `code`, a row for each window."""
     return coded(sequences, k, columns, lenient, only).select(*columns, F.explode("codes").alias("code"))
+
+
+def _minimizers(sequence: np.ndarray, k: int, m: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """start of each window of k bases, and the least hash among its canonical m-mers, which both strands share."""
+    start, _, _ = codes(sequence, k, table)
+    if not len(start):
+        return start, np.zeros(0, np.uint64)
+    digits = table[sequence] & 3
+    one, two = _rolled(digits, m, True), _rolled(3 - digits, m, False)
+    least = (np.minimum(one, two).view(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    least ^= least >> np.uint64(29)
+    span, need = 1, k - m + 1
+    while span * 2 <= need:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if span < need:
+        least = np.minimum(least[: len(least) - (need - span)], least[need - span :])
+    return start, least[start]
+
+
+def stretches(sequences: DataFrame, k: int, keys: tuple[str, ...], buckets: int, lenient: bool = False) -> DataFrame:
+    """`keys`, bucket and `bases`: neighbouring windows with the same minimizer as one stretch of bases, dealt by minimizer.
+
+    Equal k-mers, also of opposite strands, meet in one bucket. A batch's stretches of a bucket are one row, with an N between
+    them, so a shuffle moves about two bases for a window and hardly any row.
+    """
+    m = min(k, 9)
+    table = _LENIENT if lenient else _STRICT
+    given = sequences.select(*keys, F.coalesce("sequence", F.lit("")).alias("sequence"))
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField("bucket", T.IntegerType()), T.StructField("bases", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held: dict[tuple, list[bytes]] = {}
+            size = 0
+
+            def out() -> pa.RecordBatch:
+                rows = list(zip(*held, strict=True)) or [[]] * (len(schema) - 1)
+                columns = [pa.array(c, b.column(i).type if i < len(keys) else pa.int32()) for i, c in enumerate(rows)]
+                return pa.record_batch([*columns, pa.array([b"N".join(v) for v in held.values()], pa.binary())], names=schema.names)
+
+            named = list(zip(*[b.column(i).to_pylist() for i in range(len(keys))], strict=True)) if keys else [()] * b.num_rows
+            for i, text in enumerate(b.column(b.num_columns - 1)):
+                data = np.frombuffer(text.as_buffer() or b"", np.uint8)
+                for at in range(0, max(len(data) - k + 1, 0), TILE):
+                    part = data[at : at + TILE + k - 1]
+                    start, least = _minimizers(part, k, m, table)
+                    if not len(start):
+                        continue
+                    first = np.flatnonzero(np.concatenate([[True], (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1])]))
+                    last = np.append(first[1:], len(start)) - 1
+                    dealt = (least[first] % np.uint64(buckets)).astype(np.int64)
+                    raw = part.tobytes()
+                    for n, a, z in zip(dealt.tolist(), start[first].tolist(), (start[last] + k).tolist(), strict=True):
+                        held.setdefault((*named[i], n), []).append(raw[a:z])
+                    size += len(start)
+                    if size > 2_000_000:
+                        yield out()
+                        held, size = {}, 0
+            if held:
+                yield out()
+
+    return given.mapInArrow(run, schema)
+
+
+def counted(sequences: DataFrame, k: int, keys: tuple[str, ...], lenient: bool = False, buckets: int | None = None) -> DataFrame:
+    """`keys`, code and `n` (copies) of each canonical k-mer of `sequence`.
+
+    Bases are shuffled once, as `stretches`; each bucket is counted where it lies, and its counts are final. A task holds the
+    distinct k-mers of one bucket at a time; by default there are sixteen buckets for each shuffle partition.
+    """
+    table = _LENIENT if lenient else _STRICT
+    parts = int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stretches(sequences, k, keys, buckets or 16 * parts, lenient)
+    ordered = dealt.repartition(parts, *keys, "bucket").sortWithinPartitions(*keys, "bucket")
+    schema = T.StructType([*dealt.schema.fields[: len(keys)], T.StructField("code", T.LongType()), T.StructField("n", T.LongType())])
+
+    def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(code, kind="stable")
+        code, n = code[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        return code[first], np.add.reduceat(n, first)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types: list[pa.DataType] = []
+        key, kept, fresh, size = None, (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            code = np.concatenate([kept[0], *fresh])
+            return summed(code, np.concatenate([kept[1], np.ones(len(code) - len(kept[0]), np.int64)])) if len(code) else kept
+
+        def out() -> Iterator[pa.RecordBatch]:
+            code, n = merged()
+            for a in range(0, len(code), 1_000_000):
+                some = slice(a, a + 1_000_000)
+                rows = len(code[some])
+                yield pa.record_batch([*[pa.array([v] * rows, t) for v, t in zip(key[:-1], types, strict=True)], pa.array(code[some]), pa.array(n[some])], names=schema.names)
+
+        for b in batches:
+            types = [b.column(i).type for i in range(len(keys))]
+            named = zip(*[b.column(i).to_pylist() for i in range(len(keys) + 1)], strict=True)
+            for own, bases in zip(named, b.column(len(keys) + 1), strict=True):
+                if own != key:
+                    if key is not None:
+                        yield from out()
+                    key, kept, fresh, size = own, (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
+                code = codes(np.frombuffer(bases.as_buffer(), np.uint8), k, table)[1]
+                fresh.append(code)
+                size += len(code)
+                if size > 4_000_000:
+                    kept, fresh, size = merged(), [], 0
+        if key is not None:
+            yield from out()
+
+    return ordered.mapInArrow(run, schema)

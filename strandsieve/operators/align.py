@@ -215,7 +215,7 @@ def local_alignments(queries: DataFrame, subjects: DataFrame, word: int = 28, sc
     more = [c if c in subjects.columns else F.lit("").alias(c) for c in ("staxids", "stitle")]
     tidy = settled(queries.select("design_id", "qseqid", normalize(F.col("sequence")).alias("sequence")))
     stored = subjects.select(*own, "saccver", *more, normalize(F.col("sequence")).alias("sequence"))
-    found = settled(regions(diagonals(tidy, stored, word, common)))
+    found = settled(regions(settled(diagonals(tidy, stored, word, common))))
     begin, end = F.greatest(F.col("low") - BAND, F.lit(0)), F.col("high") + F.col("qlen") + BAND
     spread = found.select("*", F.explode(F.sequence(F.floor(begin / _TILE), F.floor(end / _TILE))).alias("tile"))
     # Tiles that no region touches go no further.

@@ -32,12 +32,24 @@ def kmer_counts(occurrences: DataFrame, keys: tuple[str, ...] = ("design_id",))
     return occurrences.groupBy(*keys, "kmer").agg(F.count(F.lit(1)).alias("source_copy_count"))
 
 
+def sequence_code_counts(sequences: DataFrame, k: int, keys: tuple[str, ...] = ("design_id",)) -> DataFrame:
+    """keys, code and source_copy_count of `sequences` (keys, sequence), by stretches of bases that share a minimizer."""
+    return packed.counted(sequences, k, keys).withColumnRenamed("n", "source_copy_count")
+
+
 def sequence_kmer_counts(sequences: DataFrame, k: int, keys: tuple[str, ...] = ("design_id",)) -> DataFrame:
-    """`kmer_counts` of `sequences` (keys, sequence), summed and shuffled as codes; texts are made of the sums alone."""
+    """`kmer_counts` of `sequences` by a counter of its own; texts are made of the sums alone."""
     if k > packed.MOST:
         return kmer_counts(enumerate_kmers(sequences, k, keys), keys)
-    per = packed.code_rows(sequences, k, keys).groupBy(*keys, "code").agg(F.count(F.lit(1)).alias("source_copy_count"))
-    return per.select(*keys, packed.unpack(F.col("code"), k).alias("kmer"), "source_copy_count")
+    return sequence_code_counts(sequences, k, keys).select(*keys, packed.unpack(F.col("code"), k).alias("kmer"), "source_copy_count")
+
+
+def check_counters(counts: DataFrame, sequences: DataFrame, k: int) -> None:
+    """The two counters must agree on k-mers and copies: `counts` from windows, the others from stretches."""
+    theirs = sequence_kmer_counts(sequences, k).withColumnRenamed("source_copy_count", "count")
+    bad = count_differences(counts, theirs).orderBy("design_id", "kmer").first()
+    if bad is not None:
+        raise contracts.ContractError(f"k-mer counts: {bad.kmer} of {bad.design_id} counted {bad.ours} and {bad.theirs} times")
 
 
 def imported_counts(counts: DataFrame, k: int) -> DataFrame:
@@ -69,7 +81,7 @@ def background_counts(candidates: DataFrame, background: DataFrame, k: int, broa
         broadcast = wanted.limit(BROADCAST_CANDIDATES + 1).count() <= BROADCAST_CANDIDATES
     if k <= packed.MOST:
         coded = wanted.select("design_id", packed.pack(F.col("kmer")).alias("code"))
-        found = packed.code_rows(background, k, ("design_id",), lenient=True)
+        found = packed.code_rows(background, k, ("design_id",), lenient=True, only=packed.wanted(coded))
         hits = found.join(F.broadcast(coded) if broadcast else coded, ["design_id", "code"], "left_semi").groupBy("design_id", "code").agg(F.count(F.lit(1)).alias("background_occurrences"))
         return hits.select("design_id", packed.unpack(F.col("code"), k).alias("kmer"), "background_occurrences")
     cleaned = background.select("design_id", normalize(F.col("sequence")).alias("sequence"))

@@ -37,7 +37,8 @@ def matching_records(records: DataFrame, panel: DataFrame, k: int, keys: tuple[s
     small = wanted.limit(BROADCAST_KMERS + 1).count() <= BROADCAST_KMERS
     if k <= packed.MOST:
         wanted = wanted.select("design_id", packed.pack(F.col("kmer")).alias("kmer"))
-        found = packed.code_rows(records, k, ("design_id", *keys), lenient=True).withColumnRenamed("code", "kmer")
+        only = packed.wanted(wanted.select(F.col("kmer").alias("code")))
+        found = packed.code_rows(records, k, ("design_id", *keys), lenient=True, only=only).withColumnRenamed("code", "kmer")
     else:
         found = enumerate_kmers(cleaned, k, ("design_id", *keys)).select("design_id", *keys, "kmer")
     hits = found.join(F.broadcast(wanted) if small else wanted, ["design_id", "kmer"], "left_semi")

@@ -31,7 +31,9 @@ def exact_match_hits(members: DataFrame, reference: DataFrame, k: int, broadcast
     if k <= packed.MOST:
         # Codes, places and strands alone go through the join; a k-mer as it is stored is its canonical form or the reverse of it.
         wanted = wanted.select("design_id", "qseqid", packed.pack(F.col("_key")).alias("_code"), (F.col("_member") == F.col("_key")).alias("_same"))
-        tile = packed.coded(reference, k, info, lenient=True).select(*info, F.explode(F.arrays_zip("starts", "codes", "strands")).alias("_w"))
+        # Windows that no member has are left out where they are cut, before the texts beside them are copied.
+        only = packed.wanted(wanted.select(F.col("_code").alias("code")))
+        tile = packed.coded(reference, k, info, lenient=True, only=only).select(*info, F.explode(F.arrays_zip("starts", "codes", "strands")).alias("_w"))
         placed = tile.select(*info, (F.col("_w.starts") + 1).alias("_first"), F.col("_w.codes").alias("_code"), F.col("_w.strands").alias("_s"))
         met = placed.join(F.broadcast(wanted) if broadcast else wanted, "_code")
         strands = strand((F.col("_s") == 3) | ((F.col("_s") == 1) == F.col("_same")), (F.col("_s") == 3) | ((F.col("_s") == 2) == F.col("_same")))

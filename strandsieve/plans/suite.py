@@ -16,8 +16,9 @@ from pyspark.sql.window import Window
 
 from strandsieve import contracts
 from strandsieve import schema as S
+from strandsieve.functions import packed
 from strandsieve.functions.sequence import representative_id
-from strandsieve.operators import calibrate, candidates, discovery, panel, provenance, reads, screening
+from strandsieve.operators import align, calibrate, candidates, discovery, panel, provenance, reads, screening
 from strandsieve.session import fresh_path, settled
 
 K = 15
@@ -175,8 +176,10 @@ def kmer_occurrences(spark, sf_dir):
 )
 def corpus_kmer_profile(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("design_id"), dna(F.col("text")).alias("sequence"))
-    counts = candidates.sequence_kmer_counts(d, K)
-    return counts.groupBy("design_id").agg(F.sum("source_copy_count").alias("windows"), F.count(F.lit(1)).alias("kmers"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer"))
+    counts = candidates.sequence_code_counts(d, K)
+    n = counts.groupBy("design_id").agg(F.sum("source_copy_count").alias("windows"), F.count(F.lit(1)).alias("kmers"), F.min("code").alias("first"), F.max("code").alias("last"))
+    # Codes are ordered as their texts are.
+    return n.select("design_id", "windows", "kmers", packed.unpack(F.col("first"), K).alias("first_kmer"), packed.unpack(F.col("last"), K).alias("last_kmer"))
 
 
 @registered(f"WITH {_CNT} SELECT * FROM cnt")
@@ -569,3 +572,38 @@ def taxid_order(spark, sf_dir):
 
     t = table(spark, sf_dir, "part").select((F.col("p_partkey") * 7919).cast("string").alias("taxid")).distinct()
     return t.withColumn("place", F.row_number().over(Window.orderBy(*canonical_order(F.col("taxid")))))
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rules, cropped queries, and the whole documents as each design's assembly."""
+    rules = _rules(spark, sf_dir)
+    queries = settled(discovery.crop_queries(rules, sources(spark, sf_dir).select("design_id", F.col("source_sequence_id").alias("query_id"), "sequence")))
+    docs = table(spark, sf_dir, "documents")
+    assembly = docs.select(_design("doc_id").alias("design_id"), F.concat(F.lit("asm_"), F.col("doc_id")).alias("assembly_sequence_id"), dna(F.col("text")).alias("sequence"))
+    return rules, queries, assembly
+
+
+def aligned_loci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loci of the cropped queries in the whole documents, by the native gapped aligner. Aligning has no SQL; see the tests."""
+    rules, queries, assembly = _prepared(spark, sf_dir)
+    return discovery.candidate_loci(settled(align.locus_hits(queries, assembly)), rules, queries, assembly)
+
+
+def aligned_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of each query group, from the aligned loci."""
+    return discovery.group_completeness(_rules(spark, sf_dir), discovery.provisional_sources(aligned_loci(spark, sf_dir)))
+
+
+def aligned_read_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads that match the panel, aligned with the whole reference and classified by their best hits.
+
+    Words are longer than for genomes, as prose in four letters repeats short ones without end.
+    """
+    members = settled(candidates.panel_of(_manifest(spark, sf_dir)))
+    counted = settled(reads.count_panel_kmers(read_table(spark, sf_dir), members, K))
+    hits = settled(align.read_hits(reads.read_queries(counted), reference(spark, sf_dir), word=28))
+    scoped = calibrate.hit_scope(hits, calibrate.calibration_scope(designs(spark, sf_dir)))
+    return calibrate.classify_reads(counted, calibrate.representative_scores(scoped)).select("design_id", *S.CLASSIFIED)
+
+
+QUERIES |= {f.__name__: f for f in (aligned_loci, aligned_completeness, aligned_read_classes)}

@@ -72,3 +72,37 @@ def test_counts_are_cross_checked(spark, rows):
 def test_window_is_one(spark):
     with pytest.raises(ValueError, match="window"):
         candidates.filter_complexity(made(spark, KMERS, [])[1], window=2)
+
+
+@pytest.mark.parametrize(("k", "buckets"), [(5, 3), (15, None), (31, 7)])
+def test_the_two_counters_agree(spark, rows, k, buckets):
+    import random
+
+    from strandsieve.functions import packed
+
+    rng = random.Random(k)
+    base = lambda n, letters="ACGT": "".join(rng.choice(letters) for _ in range(n))
+    texts = [base(300) for _ in range(20)] + [base(200, "ACGTN") for _ in range(10)] + ["A" * 400, "ACGT" * 100, "", None, base(k), base(k - 1), base(70_000), "acgt" * 20]
+    texts += [t[::-1].translate(str.maketrans("ACGT", "TGCA")) for t in texts[:5]] + texts[:3]
+    given = spark.createDataFrame([(f"d{i % 3}" if i % 7 else None, t) for i, t in enumerate(texts)], "design_id string, sequence string").repartition(4)
+    want = candidates.kmer_counts(candidates.enumerate_kmers(given, k, ("design_id",)))
+    got = packed.counted(given, k, ("design_id",), buckets=buckets)
+    assert rows(got.select("design_id", packed.unpack(got.code, k), "n")) == rows(want)
+    assert rows(candidates.sequence_kmer_counts(given, k)) == rows(want)
+    want, given = want.where("design_id is not null"), given.where("design_id is not null")
+    candidates.check_counters(want, given, k)
+    with pytest.raises(contracts.ContractError, match="counted"):
+        candidates.check_counters(want.where("kmer > 'C'"), given, k)
+    whole = packed.counted(given.select("sequence"), k, ())
+    assert whole.agg({"n": "sum"}).first()[0] == want.agg({"source_copy_count": "sum"}).first()[0]
+
+
+def test_only_wanted_codes_are_cut(spark, rows):
+    from strandsieve.functions import packed
+
+    given = spark.createDataFrame([("d", "ACGTACGTTTGCA" * 30), ("e", "CCCCCCC")], "design_id string, sequence string")
+    some = packed.code_rows(given, 5, ("design_id",)).select("code").distinct().where("code % 3 = 0")
+    whole = packed.code_rows(given, 5, ("design_id",)).join(some, "code", "left_semi")
+    assert rows(packed.code_rows(given, 5, ("design_id",), only=packed.wanted(some))) == rows(whole.select("design_id", "code"))
+    assert packed.wanted(some, most=1) is None
+    assert packed.code_rows(given, 5, ("design_id",), only=packed.wanted(some.limit(0))).count() == 0
