@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandsieve import contracts
+from strandsieve.sources.order import in_file_order
 
 # Columns of a design and the forms of their values.
 DESIGN = (
@@ -20,13 +21,15 @@ ID, TAXID, FASTA, TSV = r"^[A-Za-z0-9][A-Za-z0-9._-]*$", r"^[1-9][0-9]*$", r"^\S
 DISCOVERY = ("representative_queries", "query_rules", "target_assembly")
 
 
-def read_table(spark: SparkSession, path: str, schema: str | T.StructType, blanks: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: str | T.StructType, blanks: bool = True, ordered: bool = False) -> DataFrame:
     """A tab-separated table whose header must be the schema's columns; too many or too few fields are errors.
 
-    `blanks`: empty strings stay empty strings (the reader would make them null).
+    `blanks`: empty strings stay empty strings (the reader would make them null). `ordered`: adds `file` and `row`, the row's
+    place from 0, so that checks report the first bad row of a file.
     """
     df = spark.read.csv(path, sep="\t", header=True, schema=schema, enforceSchema=False, mode="FAILFAST", quote="\u0000")
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    df = in_file_order(df) if ordered else df
     return df.fillna("", texts) if blanks and texts else df
 
 

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import io
 
 import pytest
 
@@ -15,7 +16,7 @@ def test_fasta(spark, tmp_path, rows):
     assert rows(got) == [("a", "first one", "ACGT"), ("b", "", "TT"), ("c", "x", "GG")]
 
 
-@pytest.mark.parametrize("text", ["", ">a\nAC\n>a\nGT\n", ">a\n>b\nAC\n", "> \nAC\n"])
+@pytest.mark.parametrize("text", ["AC\n>b\nGT\n", "", ">a\nAC\n>a\nGT\n", ">a\n>b\nAC\n", "> \nAC\n"])
 def test_strict_fasta(spark, tmp_path, text):
     (tmp_path / "a.fa").write_text(text)
     with pytest.raises(contracts.ContractError):
@@ -38,7 +39,58 @@ def test_reads_keep_their_order_and_hidden_files(spark, tmp_path, rows):
     assert sequences.read_names(spark, str(tmp_path)) == [".hidden.fastq", "b.fq"]
     got = sequences.read_reads(spark, [("d", "h", f"file://{tmp_path}/.hidden.fastq"), ("d", "b", str(tmp_path / "b.fq"))])
     assert rows(got) == [("d", "b", 0, "y", "GG"), ("d", "h", 0, "x", "ACGT"), ("d", "h", 1, "x", "TTTT")]
-    assert list(sequences.parse_reads(b">a b\nAC\nGT\n>c\nT\n")) == [("a", "ACGT"), ("c", "T")]
+    assert list(sequences.parse_reads(io.BytesIO(b">a b\nAC\nGT\n>c\nT\n"))) == [("a", "ACGT"), ("c", "T")]
+
+
+def test_reads_are_parsed_in_pieces_of_any_size():
+    import random
+
+    rng = random.Random(1)
+    records = [(f"r{i}", "".join(rng.choice("ACGTN") for _ in range(rng.randint(1, 90)))) for i in range(200)]
+    fastq = "".join(f"@{n} x\n{s}\n+\n{'I' * len(s)}\n" for n, s in records).encode()
+    fasta = "".join(f">{n} x\r\n{s[:40]}\r\n{s[40:]}\r\n" for n, s in records).encode()
+    half = len(fastq) // 2
+    for data in (fastq, fastq.rstrip(b"\n"), fastq + b"\n \n", fasta, gzip.compress(fastq), gzip.compress(fastq[:half]) + gzip.compress(fastq[half:]) + b"\0" * 9, gzip.compress(b"") + gzip.compress(fasta)):
+        for size in (1, 7, 1000, 1 << 20):
+            assert list(sequences.parse_reads(io.BytesIO(data), size)) == records
+    assert list(sequences.parse_reads(io.BytesIO(b""))) == []
+    for bad in (b"@a\nAC\n+\n", b"@a\nAC\n", b"@a\n", b"@a\nAC\n+\nI\n", b"@a\nAC\n-\nII\n", b"@a\nAC\n+\nII\nb\nAC\n+\nII\n", b"@a\nAC\n+\nII\n\n@b\nAC\n+\nII\n", b"AC\n", gzip.compress(fastq)[:-20]):
+        with pytest.raises(contracts.ContractError):
+            list(sequences.parse_reads(io.BytesIO(bad)))
+
+
+def test_a_long_file_of_reads_comes_in_batches(spark, tmp_path):
+    (tmp_path / "a.fastq.gz").write_bytes(gzip.compress(b"".join(b"@r%d\nACGTACGT\n+\nIIIIIIII\n" % i for i in range(5000))))
+    got = sequences.read_reads(spark, [("d", "m", str(tmp_path / "a.fastq.gz"))], batch_bytes=10_000).collect()
+    assert [(r.ordinal, r.name) for r in got] == [(i, f"r{i}") for i in range(5000)]
+
+
+def test_rows_keep_their_place_in_files_that_many_tasks_read(spark, tmp_path, rows):
+    from pyspark.sql import functions as F
+
+    from strandsieve.sources.order import with_before
+
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        for name, n in (("a.tsv", 3000), ("b.tsv", 1), ("c.tsv", 700)):
+            (tmp_path / name).write_text("x\ty\n" + "".join(f"{i}\tv{i * 7 % 10}\n" for i in range(n)))
+        table = tables.read_table(spark, [str(tmp_path / n) for n in ("a.tsv", "b.tsv", "c.tsv")], "x long, y string", ordered=True)
+        assert table.rdd.getNumPartitions() >= 1
+        assert table.where("x <> row").count() == 0
+        assert rows(table.groupBy(F.substring_index("file", "/", -1)).count()) == [("a.tsv", 3000), ("b.tsv", 1), ("c.tsv", 700)]
+        before = with_before(table, ["file"], "x", chunk=64)
+        assert before.where("row > 0 and (before is null or before <> x - 1)").count() == 0
+        assert before.where("before is null").count() == 3
+        (tmp_path / "r.fa").write_text("".join(f">s{i} d\nACGT\nAC{'GT'[i % 2]}\n" for i in range(800)))
+        records = sequences.read_fasta(spark, str(tmp_path / "r.fa"), strict=True, ordered=True)
+        assert records.where(F.col("id") != F.concat(F.lit("s"), F.col("row"))).count() == 0
+        assert records.count() == 800
+        (tmp_path / "bad.fa").write_text("".join(f">s{i}\n{'' if i in (500, 700) else 'AC'}\n" for i in range(900)))
+        with pytest.raises(contracts.ContractError, match="empty record s500"):
+            sequences.read_fasta(spark, str(tmp_path / "bad.fa"), strict=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_tables_have_exact_headers(spark, tmp_path, rows):
