@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandsieve.session import settled, small
+
 
 def numbered(df: DataFrame, keys: list[str], order: str, into: str, tie: list[Column] | None = None, prefix: int = 5) -> DataFrame:
     """Adds `into`: 1, 2, ... within `keys` by the string column `order` (then `tie`).
@@ -23,3 +25,21 @@ def numbered(df: DataFrame, keys: list[str], order: str, into: str, tie: list[Co
         match &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
     out = bucketed.withColumn("_at", F.row_number().over(within)).join(offsets, match)
     return out.withColumn(into, F.col("_offset") + F.col("_at")).select(*[c for c in df.columns if c != into], into)
+
+
+def numbered_by(df: DataFrame, keys: list[str], order: list[str], into: str) -> DataFrame:
+    """Adds `into`: 1, 2, ... within `keys` by any columns of `order`, ascending.
+
+    Rows are dealt by range of keys and order and sorted where they lie; a task's rows of a key are neighbours, so their number is
+    that of the rows of the key in the ranges before, plus their place in their own.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order).withColumn("_n", F.monotonically_increasing_id())
+    kept = settled(placed).withColumn("_part", F.shiftright("_n", 33))
+    parts = kept.groupBy(*keys, "_part").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = settled(parts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"), (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")))
+    match = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        match &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return kept.join(small(offsets), match).withColumn(into, F.col("_n") + F.col("_shift")).select(*[c for c in df.columns if c != into], into)

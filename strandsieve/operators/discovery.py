@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandsieve import contracts
 from strandsieve import schema as S
+from strandsieve.functions.ranking import numbered_by
 from strandsieve.functions.sequence import normalize, padded_id, reverse_complement, subsequence
+from strandsieve.session import settled, small
 
 _FINITE = lambda c: ~F.isnan(c) & (F.abs(c) < float("inf"))
 
@@ -60,10 +61,10 @@ def crop_queries(rules: DataFrame, records: DataFrame, check: bool = True) -> Da
 
 def contextual_hits(hits: DataFrame, rules: DataFrame, queries: DataFrame, assembly: DataFrame) -> DataFrame:
     """Hits with their rule, prepared query length and assembly record; the small sides are rules and queries."""
-    r = rules.select("design_id", "query_id", "query_group", "min_identity", "min_query_coverage")
-    q = queries.select("design_id", "query_id", F.length("sequence").cast("long").alias("_prepared"))
+    r = small(settled(rules.select("design_id", "query_id", "query_group", "min_identity", "min_query_coverage")))
+    q = small(settled(queries.select("design_id", "query_id", F.length("sequence").cast("long").alias("_prepared"))))
     a = assembly.select("design_id", "assembly_sequence_id", F.col("sequence").alias("_assembly"))
-    return hits.join(F.broadcast(r), ["design_id", "query_id"], "left").join(F.broadcast(q), ["design_id", "query_id"], "left").join(a, ["design_id", "assembly_sequence_id"], "left")
+    return hits.join(r, ["design_id", "query_id"], "left").join(q, ["design_id", "query_id"], "left").join(a, ["design_id", "assembly_sequence_id"], "left")
 
 
 def check_locus_hits(contextual: DataFrame) -> DataFrame:
@@ -102,8 +103,7 @@ def candidate_loci(hits: DataFrame, rules: DataFrame, queries: DataFrame, assemb
     forward = normalize(subsequence(F.col("_assembly"), F.col("assembly_start"), F.col("assembly_end")))
     placed = placed.withColumn("sequence", F.when(F.col("strand") == "+", forward).otherwise(reverse_complement(forward)))
     keys = ["query_group", "sequence", "query_id", "assembly_sequence_id", "assembly_start", "assembly_end", "strand", "percent_identity", "query_coverage"]
-    number = F.row_number().over(Window.partitionBy("design_id").orderBy(*keys))
-    loci = placed.withColumn("candidate_locus_id", padded_id("candidate_locus", number))
+    loci = numbered_by(placed.select("design_id", *keys), ["design_id"], keys, "_number").withColumn("candidate_locus_id", padded_id("candidate_locus", F.col("_number")))
     named = loci.join(provisional_sources(loci), ["design_id", "query_group", "sequence"], "left")
     return named.select("design_id", *S.LOCI, "sequence")
 
@@ -111,8 +111,8 @@ def candidate_loci(hits: DataFrame, rules: DataFrame, queries: DataFrame, assemb
 def provisional_sources(loci: DataFrame) -> DataFrame:
     """Distinct (query_group, sequence), numbered in that order."""
     distinct = loci.select("design_id", "query_group", "sequence").distinct()
-    number = F.row_number().over(Window.partitionBy("design_id").orderBy("query_group", "sequence"))
-    return distinct.withColumn("source_sequence_id", padded_id("source_sequence", number))
+    named = numbered_by(distinct, ["design_id"], ["query_group", "sequence"], "_number")
+    return named.withColumn("source_sequence_id", padded_id("source_sequence", F.col("_number"))).drop("_number")
 
 
 def group_completeness(rules: DataFrame, sources: DataFrame) -> DataFrame:

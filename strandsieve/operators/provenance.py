@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strandsieve import contracts
 
@@ -31,15 +32,30 @@ def json_rows(text: str, keys: Sequence[str], what: str) -> list[tuple[str, ...]
 
 
 def file_facts(spark: SparkSession, files: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    """Facts of (role, id, kind, path): a file's name and SHA-256, a directory's name. Files are read by Spark."""
-    blank = spark.createDataFrame([], "design_id string, input_role string, input_id string, attribute string, value string").drop("design_id")
-    named = [(role, i, "directory" if kind == "directory" else "filename", path.rstrip("/").rsplit("/", 1)[-1]) for role, i, kind, path in files]
-    out = blank.unionByName(spark.createDataFrame(named, blank.schema)) if named else blank
-    for role, i, kind, path in files:
-        if kind != "directory":
-            content = spark.read.format("binaryFile").load(path)
-            out = out.unionByName(content.select(F.lit(role).alias("input_role"), F.lit(i).alias("input_id"), F.lit("sha256").alias("attribute"), F.sha2("content", 256).alias("value")))
-    return out
+    """Facts of (role, id, kind, path): a file's name and SHA-256, a directory's name.
+
+    A file is digested by one task, as a digest is sequential, but in pieces, so its size does not matter.
+    """
+    ddl = "input_role string, input_id string, attribute string, value string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                role, name, kind, path = files[i]
+                facts = [("directory" if kind == "directory" else "filename", path.rstrip("/").rsplit("/", 1)[-1])]
+                if kind != "directory":
+                    store, at = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+                    digest = hashlib.sha256()
+                    with store.open_input_stream(at, compression=None) as stream:
+                        while piece := stream.read(1 << 20):
+                            digest.update(piece)
+                    facts.append(("sha256", digest.hexdigest()))
+                columns = [[role] * len(facts), [name] * len(facts), *zip(*facts, strict=True)]
+                yield pa.record_batch([pa.array(c, pa.string()) for c in columns], names=list(INPUTS))
+
+    return spark.range(0, len(files), 1, max(1, len(files))).mapInArrow(run, ddl)
 
 
 def provenance(inputs: DataFrame, parameters: DataFrame, versions: DataFrame, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -8,11 +8,11 @@ from pyspark.sql.window import Window
 
 from strandsieve import contracts
 from strandsieve import schema as S
+from strandsieve.functions.ranking import numbered_by
 from strandsieve.functions.sequence import canonical, representative_id
 from strandsieve.operators.panel import matching_records
 
-# Accepted suffixes, and the form of a name that is safe as an id.
-SUFFIXES = (".fastq.gz", ".fq.gz", ".fastq", ".fq")
+# Fixed value: the form of a name that is safe as an id.
 SAFE_ID = "^[A-Za-z0-9][A-Za-z0-9._-]*$"
 
 
@@ -41,10 +41,9 @@ def count_panel_kmers(reads: DataFrame, panel: DataFrame, k: int) -> DataFrame:
     """
     keys = ("metagenome_id", "ordinal")
     counts = matching_records(reads, panel, k, keys)
-    joined = reads.join(counts, ["design_id", *keys])
-    number = F.row_number().over(Window.partitionBy("design_id", "metagenome_id").orderBy("ordinal"))
-    return joined.select(
-        "design_id", "metagenome_id", F.format_string("read_%012d", number).alias("read_id"), F.length("sequence").cast("long").alias("read_length"),
+    joined = reads.join(counts, ["design_id", *keys]).select("design_id", *keys, "sequence", "bait_count")
+    return numbered_by(joined, ["design_id", "metagenome_id"], ["ordinal"], "_number").select(
+        "design_id", "metagenome_id", F.format_string("read_%012d", F.col("_number")).alias("read_id"), F.length("sequence").cast("long").alias("read_length"),
         "bait_count", representative_id(F.col("sequence")).alias("representative_id"), F.col("sequence"), "ordinal",
     )
 

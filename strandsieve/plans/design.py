@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandsieve import contracts
 from strandsieve import schema as S
 from strandsieve.operators import align, calibrate, candidates, discovery, panel, reads, screening
 from strandsieve.session import fresh_path, settled
@@ -43,6 +45,18 @@ class Parameters:
     max_subjects: int = S.Defaults.max_subjects
     tie_tolerance: str = S.Defaults.tie_tolerance
 
+    def __post_init__(self) -> None:
+        """Values out of their ranges are errors before anything is read."""
+        rules = (
+            (isinstance(self.kmer_size, int) and self.kmer_size >= 1, "kmer_size must be at least 1"),
+            (0 <= self.entropy_threshold <= 1, "entropy_threshold must be from 0 to 1"),
+            (isinstance(self.max_subjects, int) and self.max_subjects >= 1, "max_subjects must be at least 1"),
+            (bool(re.fullmatch(r"[0-9]+(\.[0-9]+)?", self.tie_tolerance)), "tie_tolerance must be a plain decimal"),
+        )
+        for holds, message in rules:
+            if not holds:
+                raise contracts.ContractError(f"parameters: {message}")
+
 
 @dataclass
 class Run:
@@ -58,11 +72,11 @@ class Run:
     def write(self, root: str) -> None:
         """Every table under its stage; tables without rows are left out."""
         for name, df in self.tables.items():
-            stage = _STAGE[name]
+            stage = STAGE_OF[name]
             write_if_any(df, f"{root}/{stage}/{name}", lambda d, _, s=stage, n=name: write_table(d, root, s, n))
 
 
-_STAGE = {
+STAGE_OF = {
     "loci": "sources", "discovery_status": "sources", "sources": "sources", "manifest": "candidates", "occurrences": "candidates", "filtering_status": "candidates",
     "exact_hits": "screening", "decisions": "screening", "screening_status": "screening", "screened_manifest": "screening", "set_status": "panel", "panel": "panel",
     "verification": "index", "index_errors": "index", "index": "index", "read_counts": "calibration", "preparation": "calibration", "classified_reads": "calibration",
@@ -97,6 +111,7 @@ def run_designs(inputs: Inputs, parameters: Parameters | None = None) -> Run:
     sources = settled(find_sources(inputs, run))
     occurrences = candidates.enumerate_kmers(sources, k)
     counts = settled(candidates.kmer_counts(occurrences))
+    candidates.check_counters(counts, sources.select("design_id", "sequence"), k)
     cancelled = settled(candidates.background_counts(counts, inputs.background, k))
     manifest = settled(candidates.filter_complexity(settled(candidates.build_manifest(counts, cancelled)), p.entropy_threshold))
     run.steps += ["candidate_kmers", "complexity_filter"]
