@@ -1,12 +1,10 @@
-"""Duplicate passages by relative Lempel-Ziv parsing against everything that starts earlier.
-
-The reference is everything that starts earlier: smaller doc_ids, or the same document before. It is indexed by blocks: the
-20-word windows, dealt out by their hash, each with the first place where it occurs. A document's windows are looked up in
-all blocks at once. Then it is parsed greedily from its first word (`parse`): a factor starts at the first window that the
-reference holds and goes on as long as the next window stands next in the reference too; the next factor starts behind its
-last word. A factor has 20 words at least, so all its words are duplicates. What greedy factors cannot show are windows
-that straddle a factor's end, which are checked there one by one: those that the reference holds make their words
-duplicates as well. Every window that occurs earlier is inside a factor or straddles an end, so the spans are exact.
+"""Duplicate passages: an exact join of 20-word windows to their first place, then a greedy parse of each document by it.
+
+What decides is the join: every window that the collection holds earlier (smaller doc_ids, or the same document before) is
+found with its first place. The parse that follows (`parse`) puts these windows together in the manner of relative Lempel-Ziv:
+a factor starts at the first such window and goes on as long as the next window stands next in the reference too, the next
+factor starts behind its last word, and windows that straddle a factor's end are added there. Its spans are those of all
+windows, so the parse changes no result; as each window has one place only, a factor may be shorter than the longest match.
 
 How the index stays small: of each window only its anchor is shared first, the least hash among its 8-word sequences
 (about one anchor for seven words). Equal windows have equal anchors, so a window whose anchor occurs once in the whole

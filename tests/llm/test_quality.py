@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -94,3 +95,68 @@ def test_edge_cases(spark, make, nasty):
     kept = quality.keep_good(nasty, model, 0.0)
     assert kept.columns == nasty.columns
     assert kept.count() == nasty.count()
+
+
+def plain_features(text):
+    """Features of each passage of a text in plain loops over its words and bytes."""
+    data = text.encode()
+    kind = lambda b: 0 if b >= 128 else 1 if chr(b).islower() else 2 if chr(b).isupper() else 3 if chr(b).isdigit() else 4 if chr(b) == "\n" else 5 if chr(b) in " \t\r\v\f" else 6 if chr(b) in ".,;:?'\"()-" else 7 if chr(b) == "|" else 8
+    spans, at = [], 0
+    while at < len(data):
+        if data[at] in b" \t\n\v\f\r":
+            at += 1
+            continue
+        end = at
+        while end < len(data) and data[end] not in b" \t\n\v\f\r":
+            end += 1
+        spans.append((at, end))
+        at = end
+    out = []
+    for p in range(0, max(len(spans), 1), quality.PASSAGE):
+        own = spans[p : p + quality.PASSAGE]
+        if not own:
+            out.append([0.0] * quality.FEATURES)
+            continue
+        begin = own[0][0]
+        end = spans[p + quality.PASSAGE][0] if p + quality.PASSAGE < len(spans) else len(data)
+        kinds = [kind(b) for b in data[begin:end]]
+        words = [data[a:z] for a, z in own]
+        n, lengths = len(words), [len(w) for w in words]
+        mean = sum(lengths) / n
+        upper = [sum(kind(b) == 2 for b in w) for w in words]
+        out.append(
+            [kinds.count(k) / len(kinds) for k in range(9)]
+            + [math.log1p(n) / 5, mean / 10, math.sqrt(max(sum(x * x for x in lengths) / n - mean**2, 0)) / 10, len(set(words)) / n, max(words.count(w) for w in words) / n]
+            + [sum(a == b for a, b in zip(words, words[1:])) / n, sum(u > 1 and 2 * u > x for u, x in zip(upper, lengths)) / n, sum(u == 1 for u in upper) / n]
+            + [sum(any(kind(b) >= 7 for b in w) for w in words) / n, sum(x <= 3 for x in lengths) / n]
+        )
+    return out
+
+
+def plain_score(features, w):
+    """Gated attention over the passages of one document, number by number."""
+    sigmoid = lambda x: 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
+    hidden, marks = [], []
+    for f in features:
+        x = [(a - m) / s for a, m, s in zip(f, w["mean"], w["scale"])]
+        h = [math.tanh(sum(x[i] * w["encode"][i][j] for i in range(len(x))) + w["encode0"][j]) for j in range(quality.HIDDEN)]
+        gated = [math.tanh(sum(h[i] * w["tanh"][i][j] for i in range(len(h)))) * sigmoid(sum(h[i] * w["gate"][i][j] for i in range(len(h)))) for j in range(quality.GATES)]
+        hidden.append(h)
+        marks.append(sum(g * a for g, a in zip(gated, w["attend"])))
+    share = [math.exp(m - max(marks)) for m in marks]
+    z = [sum(s * h[j] for s, h in zip(share, hidden)) / sum(share) for j in range(quality.HIDDEN)]
+    return sigmoid(sum(a * b for a, b in zip(z, w["out"])) + float(w["out0"]))
+
+
+def test_scores_are_those_of_plain_loops(spark, make, rng):
+    shout = lambda n: " ".join(rng.choice(["BUY", "NOW!!", "x|y", "1234", "aa", "aa"]) for _ in range(n))
+    texts = [sentence(rng, rng.randint(1, 350)) if i % 2 else shout(rng.randint(1, 260)) for i in range(60)] + ["", None, " \n\t ", "one", "é ñ 日本\n\nÜber | x", "a " * 100, "a " * 101, sentence(rng, 100) + " \n "]
+    docs = make(*enumerate(texts))
+    labels = spark.createDataFrame([(i, int(i % 2), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels)
+    assert model.constant is None
+    for r in quality.score_quality(docs, model).collect():
+        features = np.array(plain_features(texts[r.doc_id] or "")).astype("<f4").astype(float)
+        assert r.n_passages == len(features)
+        assert r.score == pytest.approx(plain_score(features.tolist(), model.weights), abs=1e-7), texts[r.doc_id]
+        assert r.predicted == (r.score >= 0.3)
