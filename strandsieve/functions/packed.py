@@ -151,6 +151,40 @@ def code_rows(sequences: DataFrame, k: int, columns: tuple[str, ...], lenient: b
     return coded(sequences, k, columns, lenient, only).select(*columns, F.explode("codes").alias("code"))
 
 
+def distinct_windows(sequences: DataFrame, k: int, columns: tuple[str, ...] = ()) -> DataFrame:
+    """`columns` and code of each distinct window of k bases as it stands, strands apart; made distinct in each task first."""
+    given = sequences.select(*columns, F.coalesce("sequence", F.lit("")).alias("sequence"))
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField("code", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types: list[pa.DataType] = []
+        held: dict[tuple, list[np.ndarray]] = {}
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for key, parts in held.items():
+                code = np.unique(np.concatenate(parts))
+                yield pa.record_batch([*[pa.array([v] * len(code), t) for v, t in zip(key, types, strict=True)], pa.array(code)], names=schema.names)
+
+        for b in batches:
+            types = [b.column(i).type for i in range(len(columns))]
+            named = list(zip(*[b.column(i).to_pylist() for i in range(len(columns))], strict=True)) if columns else [()] * b.num_rows
+            for key, text in zip(named, b.column(len(columns)), strict=True):
+                digits = _STRICT[np.frombuffer(text.as_buffer() or b"", np.uint8)]
+                for at in range(0, max(len(digits) - k + 1, 0), TILE):
+                    part = digits[at : at + TILE + k - 1]
+                    bad = np.concatenate([[0], np.cumsum(part > 3)])
+                    code = _rolled(part & 3, k, True)[bad[k:] == bad[:-k]]
+                    held.setdefault(key, []).append(code)
+                    size += len(code)
+                if size > 4_000_000:
+                    yield from out()
+                    held, size = {}, 0
+        yield from out()
+
+    return given.mapInArrow(run, schema).distinct()
+
+
 def _minimizers(sequence: np.ndarray, k: int, m: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """start of each window of k bases, and the least hash among its canonical m-mers, which both strands share."""
     start, _, _ = codes(sequence, k, table)

@@ -11,6 +11,7 @@ from strandsieve import schema as S
 from strandsieve.functions.ranking import numbered_by
 from strandsieve.functions.sequence import canonical, representative_id
 from strandsieve.operators.panel import matching_records
+from strandsieve.session import settled, small
 
 # Fixed value: the form of a name that is safe as an id.
 SAFE_ID = "^[A-Za-z0-9][A-Za-z0-9._-]*$"
@@ -89,3 +90,49 @@ def check_counts(counts: DataFrame) -> DataFrame:
     contracts.require(counts, checks, ["design_id", "metagenome_id", "read_id"], "read counts")
     return contracts.require_unique(counts, ["design_id", "metagenome_id", "read_id"], "read counts")
 
+
+# Metrics of a source's status, in order, and the form of a representative.
+READ_STATUS = ("metagenome_id", "deacon_returned_read_count", "candidate_read_count")
+_NUMBER, _REPRESENTATIVE = "^[0-9]+$", "^sequence_[0-9a-f]{64}$"
+
+
+def read_statuses(status: DataFrame) -> DataFrame:
+    """A row for each (design_id, source) of its (ordinal, metric, value) status, if that is well formed."""
+    listed = status.groupBy("design_id", "source").agg(F.array_sort(F.collect_list(F.struct("ordinal", "metric", F.coalesce("value", F.lit("")).alias("value")))).alias("m"))
+    say = lambda text: F.concat(F.lit(f"{text} "), F.col("source"))
+    names = F.transform("m", lambda x: x["metric"])
+    contracts.require(listed, [(names != F.array(*map(F.lit, READ_STATUS)), say("malformed status of"))], ["design_id", "source"], "read status")
+    wide = listed.select("design_id", "source", *[F.col("m")[i]["value"].alias(n) for i, n in enumerate(READ_STATUS)])
+    numbers = contracts.any_of([~F.col(n).rlike(_NUMBER) | F.col(n).try_cast("long").isNull() for n in READ_STATUS[1:]])
+    checks = [((F.col("metagenome_id") == "") | numbers, say("malformed status of")), (F.col(READ_STATUS[1]).try_cast("long") != F.col(READ_STATUS[2]).try_cast("long"), say("returned and candidate counts disagree in"))]
+    contracts.require(wide, checks, ["design_id", "source"], "read status")
+    contracts.require_unique(wide, ["design_id", "metagenome_id"], "read status")
+    return wide.select("design_id", "source", "metagenome_id", *[F.col(n).cast("long").alias(n) for n in READ_STATUS[1:]])
+
+
+def combine_counts(counts: DataFrame, sources: DataFrame, status: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All sources' counts of a design as one table with `ordinal` in order of source names, and its preparation summary.
+
+    `counts` has design_id, source, row (place in its file) and the columns of read counts as text; `sources` names the count
+    files (design_id, source), also those without rows; `status` is as `read_statuses` gives it; `queries` has design_id and
+    representative_id. Sources, numbers of rows, names and representatives must agree on all sides.
+    """
+    both = ["design_id", "source"]
+    contracts.require_present(sources, status, both, "read counts (no status)")
+    contracts.require_present(status, sources, both, "read counts (no counts)")
+    rows = settled(counts.join(small(settled(status.select(*both, F.col("metagenome_id").alias("_named")))), both, "left"))
+    whole = lambda c: F.coalesce(F.col(c).rlike(_NUMBER) & (F.col(c).try_cast("long") > 0), F.lit(False))
+    valid = (
+        F.col("metagenome_id").eqNullSafe(F.col("_named")) & F.col("read_id").eqNullSafe(F.format_string("read_%012d", F.col("row") + 1)) & whole("read_length") & whole("bait_count")
+        & F.coalesce(F.col("representative_id").rlike(_REPRESENTATIVE), F.lit(False))
+    )
+    contracts.require(rows, [(~valid, F.concat(F.lit("malformed row of "), F.col("source")))], [*both, "row"], "read counts")
+    n = status.join(rows.groupBy(*both).agg(F.count(F.lit(1)).alias("_rows")), both, "left").fillna(0, ["_rows"])
+    contracts.require(n, [(F.col("_rows") != F.col("candidate_read_count"), F.concat(F.lit("rows and status disagree in "), F.col("source")))], both, "read counts")
+    key = ["design_id", "representative_id"]
+    contracts.require_present(rows, queries, key, "read queries (missing)")
+    contracts.require_present(queries, rows, key, "read queries (without a read)")
+    typed = rows.select(*both, "row", "metagenome_id", "read_id", *[F.col(c).cast("long").alias(c) for c in ("read_length", "bait_count")], "representative_id")
+    combined = settled(numbered_by(typed, ["design_id"], ["source", "row"], "ordinal"))
+    returned = status.select("design_id", F.col("deacon_returned_read_count").alias("returned"))
+    return combined.select("design_id", *S.READ_COUNTS, "ordinal"), preparation_summary(combined, returned, status.select("design_id"))

@@ -112,3 +112,44 @@ def test_shards(spark):
     assert parameters == {"max_target_seqs": "100", "query_file_count": "2"}
     with pytest.raises(contracts.ContractError):
         reads.gather_shards([one, one.drop("qlen")], [{}, {}])
+
+
+def _sources(spark, change=None):
+    """Count files of three sources, one without rows, with their statuses and queries."""
+    rep = lambda c: f"sequence_{c * 64}"
+    rows = [["d", "b", 0, "mb", "read_000000000001", "90", "2", rep("a")], ["d", "a", 0, "ma", "read_000000000001", "100", "3", rep("b")], ["d", "a", 1, "ma", "read_000000000002", "80", "1", rep("a")]]
+    status = {("d", "a"): ["ma", "2", "2"], ("d", "b"): ["mb", "1", "1"], ("d", "c"): ["mc", "0", "0"]}
+    sources, queries = [("d", "a"), ("d", "b"), ("d", "c")], [("d", rep("a")), ("d", rep("b"))]
+    if change:
+        change(rows, status, sources, queries)
+    put = spark.createDataFrame
+    long = [(*k, i, m, v) for k, values in status.items() for i, (m, v) in enumerate(zip(reads.READ_STATUS, values))]
+    return (
+        put([tuple(r) for r in rows], "design_id string, source string, row long, metagenome_id string, read_id string, read_length string, bait_count string, representative_id string"), put(sources, "design_id string, source string"),
+        put(long, "design_id string, source string, ordinal int, metric string, value string"), put(queries, "design_id string, representative_id string"),
+    )
+
+
+def combined(spark, change=None):
+    counts, sources, status, queries = _sources(spark, change)
+    return reads.combine_counts(counts, sources, reads.read_statuses(status), queries)
+
+
+def test_counts_of_sources_are_combined_in_order_of_names(spark, rows):
+    table, summary = combined(spark)
+    assert [(r.ordinal, r.metagenome_id, r.read_id, r.bait_count) for r in table.orderBy("ordinal").collect()] == [(1, "ma", "read_000000000001", 3), (2, "ma", "read_000000000002", 1), (3, "mb", "read_000000000001", 2)]
+    assert rows(summary) == [("d", 3, 3, 1, 2)]
+
+
+@pytest.mark.parametrize(
+    ("change", "message"),
+    [
+        (lambda r, st, so, q: st.pop(("d", "c")), "no status"), (lambda r, st, so, q: so.pop(), "no counts"), (lambda r, st, so, q: st.update({("d", "c"): ["mc", "1", "0"]}), "disagree in c"), (lambda r, st, so, q: st.update({("d", "c"): ["ma", "0", "0"]}), "duplicate"),
+        (lambda r, st, so, q: st.update({("d", "c"): ["mc", "-1", "0"]}), "malformed status of c"), (lambda r, st, so, q: st.update({("d", "c"): ["mc", "0"]}), "malformed status of c"), (lambda r, st, so, q: st.update({("d", "a"): ["ma", "3", "3"]}), "rows and status disagree in a"),
+        (lambda r, st, so, q: r[1].__setitem__(3, "mb"), "malformed row of a"), (lambda r, st, so, q: r[2].__setitem__(4, "read_000000000001"), "malformed row of a"), (lambda r, st, so, q: r[0].__setitem__(6, "0"), "malformed row of b"),
+        (lambda r, st, so, q: r[0].__setitem__(7, "sequence_x"), "malformed row of b"), (lambda r, st, so, q: q.pop(), "missing"), (lambda r, st, so, q: q.append(("d", "sequence_" + "c" * 64)), "without a read"),
+    ],
+)
+def test_every_disagreement_of_sources_is_an_error(spark, change, message):
+    with pytest.raises(contracts.ContractError, match=message):
+        combined(spark, change)

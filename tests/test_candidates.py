@@ -106,3 +106,13 @@ def test_only_wanted_codes_are_cut(spark, rows):
     assert rows(packed.code_rows(given, 5, ("design_id",), only=packed.wanted(some))) == rows(whole.select("design_id", "code"))
     assert packed.wanted(some, most=1) is None
     assert packed.code_rows(given, 5, ("design_id",), only=packed.wanted(some.limit(0))).count() == 0
+
+
+def test_distinct_windows_keep_strands_apart(spark, rows):
+    from strandsieve.functions import packed
+
+    texts = ["ACGTACGTTT", "AAACGTN ACGTA", "", None, "AC", "acgta"]
+    given = spark.createDataFrame([(f"d{i % 2}", t) for i, t in enumerate(texts)], "design_id string, sequence string").repartition(3)
+    got = packed.distinct_windows(given, 5, ("design_id",))
+    want = {(f"d{i % 2}", t[j : j + 5]) for i, t in enumerate(texts) if t for j in range(len(t) - 4) if set(t[j : j + 5]) <= set("ACGT")}
+    assert rows(got.select("design_id", packed.unpack(got.code, 5))) == sorted(want)
