@@ -6,6 +6,8 @@ import argparse
 import logging
 import sys
 import tomllib
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from typing import Any
 
@@ -14,6 +16,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from strandsieve.session import ready
+
 log = logging.getLogger("jobs")
 
 
@@ -44,6 +48,18 @@ def session(name: str) -> SparkSession:
     return spark
 
 
+@contextmanager
+def prepared(spark: SparkSession) -> Iterator[None]:
+    """The package on the workers and batches of a size for whole texts; the session's settings are as before at the end."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    ready(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def table_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """The Parquet table at a path, or None before anything was written there."""
     try:

@@ -27,11 +27,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobs.common import log, session, settings, table_or_none
+from jobs.common import log, prepared, session, settings, table_or_none
 from strandsieve import schema as S
 from strandsieve.operators import candidates, screening
 from strandsieve.plans import suite
-from strandsieve.session import ready, settled
+from strandsieve.session import settled
 
 SETTINGS = {"sources": str, "background": str, "reference": str, "output": str, "target_taxid": str, "kmer_size": int, "entropy_threshold": float}
 MARKS = "mark string, design_id string"
@@ -52,23 +52,31 @@ def _digest(rows: DataFrame, *keys: str) -> DataFrame:
     """keys and `digest` of a set of rows in any order, repeats counted."""
     h = F.xxhash64(*rows.columns)
     parts = (F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h))
-    return rows.groupBy(*keys).agg(F.concat_ws("/", *[p.cast("string") for p in parts]).alias("digest"))
+    return rows.groupBy(*keys).agg(F.concat_ws("/", *[p.cast("string") for p in parts]).alias("digest"), parts[0].alias("n"))
 
 
 def marks_of(sources: DataFrame, background: DataFrame, reference: DataFrame, parameters: dict[str, object]) -> DataFrame:
-    """design_id and mark of each design that has sources."""
-    shared = _digest(reference).first().digest  # one row
-    fixed: list[Column] = [F.lit(shared), *[F.lit(f"{k}={v}") for k, v in sorted(parameters.items())]]
-    behind = _digest(background, "design_id").withColumnRenamed("digest", "background")
+    """design_id, mark, and rows read of sources, background and reference, of each design that has sources."""
+    shared = _digest(reference).first()  # one row
+    fixed: list[Column] = [F.lit(shared.digest), *[F.lit(f"{k}={v}") for k, v in sorted(parameters.items())]]
+    behind = _digest(background, "design_id").select("design_id", F.col("digest").alias("background"), F.col("n").alias("n_background"))
     both = _digest(sources, "design_id").join(behind, "design_id", "left")
-    return both.select("design_id", F.sha2(F.concat_ws("|", "digest", F.coalesce("background", F.lit("")), *fixed), 256).alias("mark"))
+    mark = F.sha2(F.concat_ws("|", "digest", F.coalesce("background", F.lit("")), *fixed), 256)
+    return both.select("design_id", mark.alias("mark"), F.col("n").alias("n_sources"), F.coalesce("n_background", F.lit(0)).alias("n_background"), F.lit(shared.n).alias("n_reference"))
 
 
 def refresh_panels(spark: SparkSession, sources: str, background: str, reference: str, output: str, target_taxid: str = "1", kmer_size: int = 15, entropy_threshold: float = 0.9) -> Report:
     """Brings the tables in `output` up to date with the inputs."""
-    ready(spark)
+    with prepared(spark):
+        return _refresh(spark, sources, background, reference, output, target_taxid, kmer_size, entropy_threshold)
+
+
+def _refresh(spark: SparkSession, sources: str, background: str, reference: str, output: str, target_taxid: str, kmer_size: int, entropy_threshold: float) -> Report:
     made_of, behind, shared = suite.sources_of(spark.read.parquet(sources)), suite.background_of(spark.read.parquet(background)), suite.reference_of(spark.read.parquet(reference))
     now = settled(marks_of(made_of, behind, shared, {"taxid": target_taxid, "k": kmer_size, "entropy": entropy_threshold}))
+    read = now.agg(F.sum("n_sources"), F.sum("n_background"), F.max("n_reference")).first()
+    log.info("read %d source sequences, %d background sequences and %d reference records", *(n or 0 for n in read))
+    now = now.select("design_id", "mark")
     before = table_or_none(spark, f"{output}/marks", MARKS)
     before = settled((before if before is not None else spark.createDataFrame([], MARKS)).select("design_id", "mark"))
     changed = settled(now.join(before, ["design_id", "mark"], "left_anti"))

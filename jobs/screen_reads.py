@@ -25,11 +25,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobs.common import log, session, settings, table_or_none
+from jobs.common import log, prepared, session, settings, table_or_none
 from strandsieve.functions.sequence import representative_id
 from strandsieve.operators.panel import matching_records
 from strandsieve.plans.suite import reads_of
-from strandsieve.session import ready, settled
+from strandsieve.session import settled, small
 
 SETTINGS = {"reads": str, "panel": str, "output": str, "checkpoint": str, "kmer_size": int, "least": int, "batch_files": int}
 ARRIVING = "doc_id long, text string"
@@ -48,7 +48,11 @@ class Report:
 
 def screen_reads(spark: SparkSession, reads: str, panel: str, output: str, checkpoint: str, kmer_size: int = 15, least: int = 1, batch_files: int = 1000) -> Report:
     """Takes what is new in `reads`, and returns when it is written."""
-    ready(spark)
+    with prepared(spark):
+        return _screen(spark, reads, panel, output, checkpoint, kmer_size, least, batch_files)
+
+
+def _screen(spark: SparkSession, reads: str, panel: str, output: str, checkpoint: str, kmer_size: int, least: int, batch_files: int) -> Report:
     members = spark.read.parquet(panel).select("design_id", "sequence")
     report = Report()
 
@@ -57,7 +61,7 @@ def screen_reads(spark: SparkSession, reads: str, panel: str, output: str, check
         # Counted once, then used by both tables.
         counts = settled(matching_records(arrived, members, kmer_size, ("metagenome_id", "ordinal"), least))
         keys = ["design_id", "metagenome_id", "ordinal"]
-        matched = arrived.join(counts, keys).select(
+        matched = arrived.join(small(counts), keys).select(
             *keys[1:], F.length("sequence").cast("long").alias("read_length"), "bait_count", representative_id(F.col("sequence")).alias("representative_id"), F.lit(number).cast("long").alias("batch"), "design_id"
         )
         whole = arrived.groupBy("design_id", "metagenome_id").agg(F.count(F.lit(1)).alias("reads"), F.sum(F.length("sequence").cast("long")).alias("bases"))

@@ -73,6 +73,7 @@ COLUMNS = ("design_id", "metagenome_id", "ordinal", "read_length", "bait_count")
 
 def test_screening_takes_only_what_is_new(spark, lab, rows, caplog):
     lab.panel()
+    settings_before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     with caplog.at_level(logging.INFO):
         first = lab.screen()
         assert first.read == 40
@@ -81,6 +82,7 @@ def test_screening_takes_only_what_is_new(spark, lab, rows, caplog):
         second = lab.screen()
         third = lab.screen()
     assert (second.read, third.read, third.batches) == (25, 0, [])
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == settings_before
     assert "25 reads read" in caplog.text
     want = brute_screen(spark, lab, rows)
     assert len(want) > 25
@@ -124,6 +126,7 @@ def test_only_changed_designs_are_made(spark, lab, rows, caplog):
         again = lab.refresh()
     assert (first.made, again.made, again.kept) == (["d0", "d1", "d2"], [], 3)
     assert "designs: 0 to make, 3 as they were" in caplog.text
+    assert "read 6 source sequences, 3 background sequences and 40 reference records" in caplog.text
     rng = random.Random(1)
     lab.add("benchmark", [(9, text(rng, 50))], "item_id long, text string")
     lab.add("conversations", [(4, 0, "user", text(rng, 80))], "conv_id long, turn int, role string, text string")
