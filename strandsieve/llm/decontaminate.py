@@ -1,16 +1,18 @@
-"""Benchmark decontamination: rare word seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare pairs of words as seeds, then Smith-Waterman alignment.
 
 Words are runs of letters, digits and characters beyond ASCII, lower-cased. Where enough seeds of an item lie near each
 other in a document, the passage around them is aligned with the item, word by word: 4 for a match, -1 for a mismatch or a
 gap. The score is the best local alignment over that of the whole item with itself; 0.75 and more is a leak, so about a
 fifth of an item's words may be replaced or dropped, or about as many added as it has.
 
-The seeds lose no such alignment. Seeds are n-grams of one word: a word added after every second one leaves no longer
-sequence whole, and still scores 0.87. An alignment of 0.75 matches three quarters of the item's n words at least, and
-spans at most 2n words of the document, as 4 * matches - others must be 3n. Every word of the items is counted over the
-whole corpus in one scan. Words that the corpus lacks are missed in any case; of the others each item keeps the rarest, so
-many that beyond all the misses still allowed an eighth of its words (at least two) must be met within 2n words. A second
-scan looks for that. Two further bounds on the score, without regard to the words' order, come before the alignment.
+The seeds lose no such alignment. Seeds are ordered pairs of an item's words, next to each other or with one between them,
+and are looked for at both distances in documents. An alignment of 0.75 over an item of n words has m <= n matches and at
+most 4m - 3n other columns; of its m - 1 steps from match to match at most half as many have two others or more, so at least
+ceil(n/2) - 1 steps are such pairs, at as many places of the document, within the 2n words that it can span. Every pair of the
+items is counted over the whole corpus in one scan. Pairs that the corpus lacks are missed in any case; of the others each item
+leaves out its most frequent ones, at most half of the steps that an alignment must have, and the rarer ones stay. A second
+scan looks for the rest of those steps near each other. Words may be as common as they like: what is stored are meetings of
+pairs. Two further bounds on the score, without regard to the words' order, come before the alignment.
 
 The test items are the stated query set: they are taken in blocks of bounded bytes, each block a pass of its own, so that
 what is sent to the tasks has a bound whatever the benchmark's size. Documents are never shuffled.
@@ -31,17 +33,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandsieve.llm.bytescan import MARKS, U64, WordHasher, hashed_words
+from strandsieve.llm.bytescan import MARKS, U64, WordHasher, hashed_words, mix
 from strandsieve.llm.common import tidy_documents
 
 #: Words of the shortest item that is evidence.
 LEAST_WORDS = 3
 THRESHOLD = 0.75
 MATCH, OTHER = 4, 1
-#: Seeds that every alignment of the threshold meets: this share of an item's words, and at least so many.
-SHARE, NEAR = 0.125, 2
-BLOCK_BYTES = 16 << 20
-_WORD = WordHasher(81)
+BLOCK_BYTES = 4 << 20
+_BITS = 22
+_WORD, _PAIR = WordHasher(81), U64(0x9E6C63D0876A9A47)
 
 
 def _words_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -49,9 +50,20 @@ def _words_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         yield i, w
 
 
+def _pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ordered pairs of words one and two places apart, and the places of their first words."""
+    first = words * _PAIR
+    return np.concatenate([mix(first[:-d] + words[d:]) for d in (1, 2)]), np.concatenate([np.arange(max(len(words) - d, 0)) for d in (1, 2)])
+
+
+def steps(n: int) -> int:
+    """Pairs that every alignment of the threshold over n words has at least."""
+    return -(-n // 2) - 1
+
+
 @dataclass
 class Items:
-    """A block of test items: ids, words, and their distinct words with one bit a leading 16 bits for quick refusal."""
+    """A block of test items: ids, words, and their distinct pairs with one bit for their leading bits for quick refusal."""
 
     ids: list[int]
     words: list[np.ndarray]
@@ -63,19 +75,19 @@ class Items:
         words = [w for _, w in _words_of(pa.array(texts, pa.string()))]
         keep = [k for k, w in enumerate(words) if len(w) >= LEAST_WORDS]
         ids, words = [ids[k] for k in keep], [words[k] for k in keep]
-        distinct = np.unique(np.concatenate([np.zeros(0, U64), *words]))
+        distinct = np.unique(np.concatenate([np.zeros(0, U64), *(_pairs(w)[0] for w in words)]))
         return cls(ids, words, distinct, _bits(distinct))
 
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
-    bits = np.zeros(1 << 16, bool)
-    bits[(hashes >> U64(48)).astype(np.int64)] = True
+    bits = np.zeros(1 << _BITS, bool)
+    bits[(hashes >> U64(64 - _BITS)).astype(np.int64)] = True
     return bits
 
 
 def _lookup(hashes: np.ndarray, known: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the hashes that are among `known`, and their places there."""
-    some = np.flatnonzero(bits[(hashes >> U64(48)).astype(np.int64)])
+    some = np.flatnonzero(bits[(hashes >> U64(64 - _BITS)).astype(np.int64)])
     if not len(known):
         return some, some
     at = np.minimum(np.searchsorted(known, hashes[some]), len(known) - 1)
@@ -84,7 +96,7 @@ def _lookup(hashes: np.ndarray, known: np.ndarray, bits: np.ndarray) -> tuple[np
 
 
 def corpus_counts(docs: DataFrame, items: Items) -> np.ndarray:
-    """Occurrences of each of the items' words in the whole corpus; as many numbers as the block has distinct words."""
+    """Occurrences of each of the items' pairs in the whole corpus; as many numbers as the block has distinct pairs."""
     shared = docs.sparkSession.sparkContext.broadcast((items.distinct, items.bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,21 +104,22 @@ def corpus_counts(docs: DataFrame, items: Items) -> np.ndarray:
         counts = np.zeros(len(distinct), np.int64)
         for b in batches:
             for _, w in _words_of(b.column(0)):
-                np.add.at(counts, _lookup(w, distinct, bits)[1], 1)
+                if len(w) >= LEAST_WORDS:
+                    np.add.at(counts, _lookup(_pairs(w)[0], distinct, bits)[1], 1)
         some = np.flatnonzero(counts)
-        yield pa.record_batch({"word": pa.array(some, pa.int64()), "n": pa.array(counts[some])})
+        yield pa.record_batch({"pair": pa.array(some, pa.int64()), "n": pa.array(counts[some])})
 
     total = np.zeros(len(items.distinct), np.int64)
-    for r in docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
-        total[r.word] = r.n
+    found = docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    total[found.column("pair").to_numpy()] = found.column("n").to_numpy()
     return total
 
 
 @dataclass
 class Seeds:
-    """Seed words, the items that each stands for, and how many of an item's seeds an alignment must meet."""
+    """Seed pairs, the items that each stands for, and at how many places near each other an alignment must meet an item's seeds."""
 
-    words: np.ndarray
+    pairs: np.ndarray
     bits: np.ndarray
     first: np.ndarray
     item: np.ndarray
@@ -115,24 +128,23 @@ class Seeds:
 
     @classmethod
     def of(cls, items: Items, counts: np.ndarray) -> Seeds:
-        words, item = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        pairs, item = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
         least = np.zeros(len(items.ids), np.int64)
         for k, own in enumerate(items.words):
-            w, times = np.unique(own, return_counts=True)
-            n = counts[np.searchsorted(items.distinct, w)]
-            spare = len(own) - int(np.ceil(THRESHOLD * len(own))) - int(times[n == 0].sum())
-            if spare < 0:
-                continue  # the corpus lacks too many of its words
-            w, times, n = w[n > 0], times[n > 0], n[n > 0]
-            rare = np.lexsort((w, n))
-            total = np.cumsum(times[rare])
-            take = min(len(rare), 1 + int(np.searchsorted(total, spare + max(NEAR, int(np.ceil(len(own) * SHARE))))))
-            words.append(w[rare[:take]])
-            item.append(np.full(take, k))
-            least[k] = total[take - 1] - spare
-        all_words, all_items = np.concatenate(words), np.concatenate(item)
-        order = np.argsort(all_words, kind="stable")
-        own, first = np.unique(all_words[order], return_index=True)
+            keys, times = np.unique(_pairs(own)[0], return_counts=True)
+            n = counts[np.searchsorted(items.distinct, keys)]
+            keys, times, n = keys[n > 0], times[n > 0], n[n > 0]
+            need = steps(len(own))
+            if times.sum() < need:
+                continue  # the corpus lacks too many of its pairs
+            common = np.lexsort((keys, -n))
+            left = int(np.searchsorted(np.cumsum(times[common]), need // 2, "right"))
+            pairs.append(keys[common[left:]])
+            item.append(np.full(len(common) - left, k))
+            least[k] = need - int(times[common[:left]].sum())
+        all_pairs, all_items = np.concatenate(pairs), np.concatenate(item)
+        order = np.argsort(all_pairs, kind="stable")
+        own, first = np.unique(all_pairs[order], return_index=True)
         return cls(own, _bits(own), np.append(first, len(order)), all_items[order], least, np.array([2 * len(w) for w in items.words]))
 
 
@@ -162,14 +174,19 @@ def _bounded_below(own: np.ndarray, passage: np.ndarray) -> bool:
 
 def _found(words: np.ndarray, items: Items, seeds: Seeds) -> Iterator[tuple[int, float, int, int, int]]:
     """(item, score, first word, end word, seeds) of the best passage for each item that this document leaks."""
-    position, place = _lookup(words, seeds.words, seeds.bits)
-    if not len(position):
+    keys, at = _pairs(words)
+    some, place = _lookup(keys, seeds.pairs, seeds.bits)
+    if not len(some):
         return
+    position = at[some]
     n = seeds.first[place + 1] - seeds.first[place]
     entry = np.repeat(seeds.first[place] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
     item, position = seeds.item[entry], np.repeat(position, n)
     order = np.lexsort((position, item))
     item, position = item[order], position[order]
+    new = np.ones(len(item), bool)  # a place counts once
+    new[1:] = (item[1:] != item[:-1]) | (position[1:] != position[:-1])
+    item, position = item[new], position[new]
     last = np.arange(len(item)) + seeds.least[item] - 1
     within = np.minimum(last, len(item) - 1)
     met = np.flatnonzero((last < len(item)) & (item[within] == item) & (position[within] - position < seeds.span[item]))

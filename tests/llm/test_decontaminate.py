@@ -104,3 +104,38 @@ def test_edited_copies_are_those_of_all_alignments(spark, make, n, exact_copies)
     scores = [(i, k, smith_waterman(w, text.split(" ")) / (4 * n)) for i, text in rows for k, w in enumerate(texts)]
     assert got == sorted(s for s in scores if s[2] >= 0.75)
     assert sum(i < 100 for i, *_ in got) >= 6
+
+
+def test_every_alignment_of_the_threshold_has_the_steps(rng):
+    """Random edits held against Smith-Waterman: whatever scores 0.75 has so many pairs of the item, at as many places."""
+    seen = 0
+    for _ in range(4000):
+        n = rng.randint(3, 14)
+        own = [rng.randrange(40) for _ in range(n)]
+        text = [x for w in own for x in ([w] if rng.random() < 0.8 else rng.choice([[], [99], [w, 98], [w, 97, 96]]))]
+        text = [rng.randrange(40) for _ in range(3)] + text + [rng.randrange(40) for _ in range(3)]
+        if smith_waterman(own, text) >= 3 * n:
+            seen += 1
+            keys = set(decontaminate._pairs(np.array(own, np.uint64))[0].tolist())
+            pairs, at = decontaminate._pairs(np.array(text, np.uint64))
+            assert len({p for k, p in zip(pairs.tolist(), at.tolist()) if k in keys}) >= decontaminate.steps(n)
+    assert seen > 500
+
+
+def test_many_items_of_common_words_make_no_pairs_of_everything():
+    import time
+
+    rng = np.random.default_rng(4)
+    vocabulary = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    text = vocabulary[rng.integers(0, 300, 20_000)]
+    took = []
+    for n in (2000, 8000):
+        words = [vocabulary[rng.integers(0, 300, 8)] for _ in range(n - 1)] + [text[777:785]]
+        distinct = np.unique(np.concatenate([decontaminate._pairs(w)[0] for w in words]))
+        items = decontaminate.Items(list(range(n)), words, distinct, decontaminate._bits(distinct))
+        seeds = decontaminate.Seeds.of(items, np.ones(len(distinct), np.int64))
+        began = time.process_time()
+        got = list(decontaminate._found(text, items, seeds))
+        took.append(time.process_time() - began)
+        assert (n - 1, 1.0, 777, 785) in [g[:4] for g in got]
+    assert took[1] < 3
