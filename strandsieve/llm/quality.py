@@ -1,7 +1,8 @@
 """Document quality by attention-based multiple-instance learning.
 
-A document is a bag of passages of 100 words. Every passage is described by shares of kinds of bytes and words and by how
-much it repeats, and encoded by a small learned layer. Gated attention weighs the passages (tanh and sigmoid branches,
+A document is a bag of passages of 100 words. Every passage is described by shares of kinds of bytes and words, by how much it
+repeats, and by its words and its runs of three bytes, each dealt by hash into `BUCKETS` buckets; a learned layer encodes that,
+so that each bucket has an embedding, learned together with the attention, and a passage is the mean of them. Gated attention weighs the passages (tanh and sigmoid branches,
 normalised within the document); the weighted mean of the encodings gives the score. All weights are learned together from
 document labels alone, by Adam on the driver, over a bounded sample: the `SAMPLE` labelled documents with the smallest
 hashes, those of more than `SAMPLE_PASSAGES` passages left out. Scoring reads every whole text and shuffles nothing.
@@ -33,6 +34,8 @@ FOLDS = 5
 THRESHOLD = 0.3
 HIDDEN, GATES = 24, 12
 EPOCHS, BATCH, RATE, DECAY = 40, 64, 0.01, 1e-4
+#: Buckets of words, and as many of runs of three bytes; the encoder learns an embedding of each.
+BUCKETS, CALM = 96, 6.0
 
 _HASH = WordHasher(51)
 _KINDS = 9
@@ -58,7 +61,8 @@ def _kind(b: int) -> int:
 
 
 _KIND = np.array([_kind(b) for b in range(256)], np.uint8)
-FEATURES = _KINDS + 10
+SHARES = _KINDS + 10
+FEATURES = SHARES + 2 * BUCKETS
 
 
 def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,10 +116,23 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         mean(marked > 0),
         mean(length <= 3),
     ]
-    out[:, _KINDS:] = np.stack(more, axis=1)
+    out[:, _KINDS:SHARES] = np.stack(more, axis=1)
+    out[:, SHARES : SHARES + BUCKETS] = _bucketed(of_word, hashes, len(begin))
+    # Runs of three bytes that lie in one passage.
+    if len(at) > 2:
+        b = data[at].astype(np.uint32)
+        three = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
+        whole = np.flatnonzero(of_byte[2:] == of_byte[:-2])
+        out[:, SHARES + BUCKETS :] = _bucketed(of_byte[whole], mix(three[whole].astype(U64) + U64(1)), len(begin))
     return out, bag
 
 
+def _bucketed(of: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """Shares of each bucket among the hashes of each of n passages."""
+    counts = np.bincount(of * BUCKETS + ((hashes >> U64(32)) % U64(BUCKETS)).astype(np.int64), minlength=n * BUCKETS).reshape(n, BUCKETS)
+    return counts / np.maximum(counts.sum(1), 1)[:, None]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -175,6 +192,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray) -> Model:
     every = np.concatenate(bags)
     scale = every.std(0)
     w: dict[str, np.ndarray] = {"mean": every.mean(0), "scale": np.where(scale > 1e-9, scale, 1.0)}
+    w["scale"][SHARES:] *= CALM  # buckets are many and each says little; so they start out quiet
     shapes = {"encode": (FEATURES, HIDDEN), "encode0": (HIDDEN,), "tanh": (HIDDEN, GATES), "gate": (HIDDEN, GATES), "attend": (GATES,), "out": (HIDDEN,), "out0": ()}
     for name, shape in shapes.items():
         w[name] = np.zeros(shape) if name.endswith("0") else rng.normal(0, 1 / np.sqrt(shape[0]), shape)

@@ -129,10 +129,17 @@ def plain_features(text):
             + [math.log1p(n) / 5, mean / 10, math.sqrt(max(sum(x * x for x in lengths) / n - mean**2, 0)) / 10, len(set(words)) / n, max(words.count(w) for w in words) / n]
             + [sum(a == b for a, b in zip(words, words[1:])) / n, sum(u > 1 and 2 * u > x for u, x in zip(upper, lengths)) / n, sum(u == 1 for u in upper) / n]
             + [sum(any(kind(b) >= 7 for b in w) for w in words) / n, sum(x <= 3 for x in lengths) / n]
+            + plain_buckets([int(quality._HASH(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in words])
+            + plain_buckets([int(quality.mix(np.array([int.from_bytes(data[i : i + 3], "big") + 1], np.uint64))[0]) for i in range(begin, end - 2)])
         )
     return out
 
 
+def plain_buckets(hashes):
+    numbers = [(h >> 32) % quality.BUCKETS for h in hashes]
+    return [numbers.count(k) / max(len(numbers), 1) for k in range(quality.BUCKETS)]
+
+
 def plain_score(features, w):
     """Gated attention over the passages of one document, number by number."""
     sigmoid = lambda x: 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
