@@ -3,6 +3,8 @@ import random
 import corpus_pipeline
 import pytest
 
+from strandsieve.llm.common import written
+
 from .conftest import DOCS, sentence
 
 
@@ -52,3 +54,35 @@ def test_whole_run(spark, folder):
     starts = sorted((r.start, r.n_tokens) for r in got)
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))  # noqa: B905
     assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == sorted(r.doc_id for r in got)
+
+
+def tables(spark, path, docs, labels, items):
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return str(path)
+
+
+def test_nulls_repeats_long_texts_and_clashing_columns(spark, nasty, tmp_path):
+    labels = [(i, int(i != 7), None) for i in range(1, 13)] + [(1, None, 0), (None, 1, 0)]
+    folder = tables(spark, tmp_path, nasty, labels, [(0, "another text under the same id with quite a few words in it"), (1, None), (None, "")])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        before = docs.count()
+        docs, _ = written(stage(spark, docs, folder), "stage")
+        assert docs.columns == nasty.columns
+        assert 0 < docs.count() <= before
+    left = [(r.doc_id, r.text) for r in docs.collect()]
+    assert not any(t and "quite a few words in it" in t for _, t in left)
+    assert sum(len(t or "") > 20_000 for _, t in left) >= 2  # one of the long near copies, and the long word
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert {r.doc_id for r in got} <= {i for i, _ in left}
+
+
+@pytest.mark.parametrize("n", [0, 1])
+def test_tables_without_rows(spark, make, empty, tmp_path, n):
+    docs = empty if n == 0 else make((5, "one document with a few words"))
+    folder = tables(spark, tmp_path, docs, [], [])
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert {r.doc_id for r in got} <= {5}
+    assert (len(got) > 0) == (n == 1)
