@@ -27,6 +27,12 @@ def require(df: DataFrame, checks: Sequence[tuple[Column, str | Column]], order:
     return df
 
 
+def order_of(df: DataFrame, *otherwise: str) -> list[str]:
+    """The order in which bad rows count: that of the file where rows know their place, else some columns."""
+    placed = [c for c in ("design_id", "file", "row") if c in df.columns]
+    return placed if "row" in placed else list(otherwise)
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], what: str) -> DataFrame:
     if list(df.columns) != list(columns):
         raise ContractError(f"{what}: columns are {df.columns}, not {list(columns)}")

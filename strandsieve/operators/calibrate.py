@@ -37,10 +37,10 @@ def calibration_scope(targets: DataFrame, scope: DataFrame | None = None) -> Dat
 def check_read_hits(hits: DataFrame, queries: DataFrame) -> DataFrame:
     """Nulls, taxa, unknown queries and scores, in this order; bit scores come as text."""
     fields = [F.col(c).isNull() for c in S.READ_HITS if c != "bitscore"]
-    contracts.require(hits, [(contracts.any_of(fields), "malformed hit"), (taxonomy.malformed(F.col("staxids")), F.concat(F.lit("malformed taxa: "), F.col("staxids")))], ["design_id", "qseqid", "saccver"], "read hits")
+    contracts.require(hits, [(contracts.any_of(fields), "malformed hit"), (taxonomy.malformed(F.col("staxids")), F.concat(F.lit("malformed taxa: "), F.col("staxids")))], contracts.order_of(hits, "design_id", "qseqid", "saccver"), "read hits")
     contracts.require_present(hits, queries.select("design_id", F.col("representative_id").alias("qseqid")), ["design_id", "qseqid"], "read hits")
     bad = F.col("bitscore").try_cast(_SCORE).isNull()
-    return contracts.require(hits, [(bad, F.concat(F.lit("malformed bit score for "), F.col("qseqid")))], ["design_id", "qseqid", "saccver"], "read hits")
+    return contracts.require(hits, [(bad, F.concat(F.lit("malformed bit score for "), F.col("qseqid")))], contracts.order_of(hits, "design_id", "qseqid", "saccver"), "read hits")
 
 
 def hit_scope(hits: DataFrame, scopes: DataFrame) -> DataFrame:

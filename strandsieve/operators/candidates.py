@@ -53,13 +53,13 @@ def check_counters(counts: DataFrame, sequences: DataFrame, k: int) -> None:
 
 
 def imported_counts(counts: DataFrame, k: int) -> DataFrame:
-    """Third-party (design_id, kmer, count) rows, checked and made canonical."""
+    """Third-party (design_id, kmer, count) rows, as text or numbers, checked and made canonical."""
     checks = [
         (F.col("kmer").isNull() | ~is_dna(F.col("kmer")), "k-mer is not DNA"),
         (F.length("kmer") != k, F.format_string("k-mer length is not %d", F.lit(k))),
-        (F.col("count").isNull() | (F.col("count") <= 0), "count is not positive"),
+        (~F.coalesce(F.col("count").cast("string").rlike("^[0-9]+$") & (F.col("count").try_cast("long") > 0), F.lit(False)), "count is not positive"),
     ]
-    contracts.require(counts, checks, ["kmer"], "k-mer counts")
+    contracts.require(counts, checks, contracts.order_of(counts, "kmer"), "k-mer counts")
     made = counts.select("design_id", canonical(F.col("kmer")).alias("kmer"), F.col("count").cast("long").alias("count"))
     return contracts.require_unique(made, ["design_id", "kmer"], "k-mer counts")
 

@@ -42,7 +42,7 @@ def check_rules(rules: DataFrame) -> DataFrame:
         (~F.coalesce(F.col("min_identity").between(0, 100), F.lit(False)), F.concat(F.lit("min_identity outside 0 to 100 for "), F.col("query_id"))),
         (~F.coalesce(F.col("min_query_coverage").between(0, 100), F.lit(False)), F.concat(F.lit("min_query_coverage outside 0 to 100 for "), F.col("query_id"))),
     ]
-    contracts.require(rules, checks, ["design_id", "query_id"], "query rules")
+    contracts.require(rules, checks, contracts.order_of(rules, "design_id", "query_id"), "query rules")
     return contracts.require_unique(rules, ["design_id", "query_id"], "query rules")
 
 
@@ -84,7 +84,7 @@ def check_locus_hits(contextual: DataFrame) -> DataFrame:
         (~(_FINITE(c("percent_identity")) & c("percent_identity").between(0, 100)), say("invalid identity for", "query_id")),
         ((c("alignment_length") < c("query_end") - c("query_start") + 1) | (c("alignment_length") < span), say("inconsistent alignment length for", "query_id")),
     ]
-    return contracts.require(contextual, checks, [*S.LOCUS_HITS], "locus hits")
+    return contracts.require(contextual, checks, contracts.order_of(contextual, *S.LOCUS_HITS), "locus hits")
 
 
 def candidate_loci(hits: DataFrame, rules: DataFrame, queries: DataFrame, assembly: DataFrame, check: bool = True) -> DataFrame:

@@ -75,7 +75,7 @@ def check_hits(hits: DataFrame, members: DataFrame, k: int) -> DataFrame:
         (~F.col("staxids").rlike(r"^([1-9][0-9]*|N/A)(;([1-9][0-9]*|N/A))*$"), F.concat(F.lit("malformed taxa for "), F.col("qseqid"))),
         (~exact_geometry(k), F.concat(F.lit("not an exact full-length match: "), F.col("qseqid"))),
     ]
-    contracts.require(hits, checks, ["design_id", "qseqid", "saccver"], "exact matches")
+    contracts.require(hits, checks, contracts.order_of(hits, "design_id", "qseqid", "saccver"), "exact matches")
     contracts.require_present(hits, known, ["design_id", "qseqid"], "exact matches")
     return hits
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandsieve import contracts
+from strandsieve import schema as S
 from strandsieve.sources.order import in_file_order
 
 # Columns of a design and the forms of their values.
@@ -38,6 +39,24 @@ def read_bare_table(spark: SparkSession, path: str, schema: str | T.StructType,
     return spark.read.csv(path, sep="\t", schema=schema, comment=comment, quote="\u0000", mode="FAILFAST")
 
 
+def read_kmer_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Two columns without a header, kmer and count as text, with `file` and `row`; `candidates.imported_counts` checks them."""
+    return in_file_order(spark.read.csv(path, sep="\t", schema="kmer string, count string", quote="\u0000", mode="FAILFAST"))
+
+
+def read_exact_hits(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Hits of the panel in the reference, thirteen columns without a header as text, with `file` and `row`."""
+    return in_file_order(spark.read.csv(path, sep="\t", schema=", ".join(f"{c} string" for c in S.EXACT_HITS), quote="\u0000", mode="FAILFAST"))
+
+
+def read_read_hits(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Hits of reads, with their exact header; numbers are numbers but scores stay text, and blanks are no nulls."""
+    text = ("qseqid", "saccver", "staxids", "bitscore", "stitle")
+    real = ("pident", "evalue", "qcovhsp")
+    ddl = ", ".join(f"{c} {'string' if c in text else 'double' if c in real else 'long'}" for c in S.READ_HITS)
+    return read_table(spark, path, ddl, ordered=True)
+
+
 def read_status(spark: SparkSession, path: str, metrics: Sequence[str]) -> dict[str, str]:
     """An ordered (metric, value) table as a dictionary; at most a dozen rows."""
     rows = read_table(spark, path, "metric string, value string").collect()

@@ -5,6 +5,7 @@ import io
 import pytest
 
 from strandsieve import contracts
+from strandsieve import schema as S
 from strandsieve.operators import provenance
 from strandsieve.sources import sequences, sinks, tables
 
@@ -161,3 +162,37 @@ def test_provenance(spark, tmp_path, rows):
     assert [t.count() for t in provenance.provenance(facts, one, versions)] == [3, 1, 1]
     with pytest.raises(contracts.ContractError):
         provenance.provenance(facts, one.union(one), versions)
+
+
+def test_imported_tables_report_their_first_bad_row(spark, tmp_path, rows):
+    from pyspark.sql import functions as F
+
+    from strandsieve.operators import calibrate, candidates, screening
+
+    of = lambda df: df.withColumn("design_id", F.lit("d"))
+    (tmp_path / "k.tsv").write_text("TTTTG\t3\nAAACC\t1\n")
+    assert rows(candidates.imported_counts(of(tables.read_kmer_counts(spark, str(tmp_path / "k.tsv"))), 5)) == [("d", "AAACC", 1), ("d", "CAAAA", 3)]
+    for text, message in (("TTTTG\t0\nAAACC\tx\nA\t1\n", "count is not positive"), ("TTTT\t1\nAANCC\t1\n", "length"), ("CAAAA\t1\nTTTTG\t1\n", "duplicate"), ("ACGTA\n", "(?s).*")):
+        (tmp_path / "b.tsv").write_text(text)
+        with pytest.raises(Exception, match=message):
+            candidates.imported_counts(of(tables.read_kmer_counts(spark, str(tmp_path / "b.tsv"))), 5).collect()
+    hit = lambda name, taxa="9", end=5, bits="80.5": [name, "s", taxa, "n", "100", "5", "0", "0", "1", str(end), "7", "11", "t"]
+    members = spark.createDataFrame([("d", "bait_000001", "ACGTA"), ("d", "bait_000002", "CCGTA")], "design_id string, bait_id string, sequence string")
+    (tmp_path / "h.txt").write_text("\n".join("\t".join(h) for h in (hit("bait_000002"), hit("bait_000001", "9;N/A"))) + "\n")
+    checked = screening.check_hits(screening.typed_hits(of(tables.read_exact_hits(spark, str(tmp_path / "h.txt")))), members, 5)
+    assert rows(checked, "qseqid", "length", "row") == [("bait_000001", 5, 1), ("bait_000002", 5, 0)]
+    (tmp_path / "h.txt").write_text("\n".join("\t".join(h) for h in (hit("bait_000002", end=4), hit("bait_000001", "x"))) + "\n")
+    with pytest.raises(contracts.ContractError, match="not an exact full-length match: bait_000002"):  # the first row, though a later check finds it
+        screening.check_hits(screening.typed_hits(of(tables.read_exact_hits(spark, str(tmp_path / "h.txt")))), members, 5)
+    head = "\t".join(S.READ_HITS) + "\n"
+    line = lambda q, taxa, bits: "\t".join([q, "9", "s", taxa, "99.5", "9", "0", "0", "1", "9", "3", "11", "1e-20", bits, "100", "t"]) + "\n"
+    queries = spark.createDataFrame([("d", "q")], "design_id string, representative_id string")
+    (tmp_path / "r.tsv").write_text(head + line("q", "7", "80.10"))
+    got = calibrate.check_read_hits(of(tables.read_read_hits(spark, str(tmp_path / "r.tsv"))), queries)
+    assert rows(got, "qseqid", "evalue", "bitscore", "row") == [("q", 1e-20, "80.10", 0)]
+    for text, message in ((line("q", "7", "NaN") + line("q", "7", "x"), "malformed bit score for q"), (line("p", "7", "1"), "unknown"), (line("q", "07", "1"), "malformed taxa")):
+        (tmp_path / "r.tsv").write_text(head + text)
+        with pytest.raises(contracts.ContractError, match=message):
+            calibrate.check_read_hits(of(tables.read_read_hits(spark, str(tmp_path / "r.tsv"))), queries)
+    (tmp_path / "r.tsv").write_text(head)
+    assert tables.read_read_hits(spark, str(tmp_path / "r.tsv")).count() == 0
