@@ -2,6 +2,11 @@
 
 Each stage is a function of (session, documents, folder of the tables) and returns a DataFrame; all but the last return
 the columns of `documents`. `run` writes each stage's result as Parquet to the shared folder and reads it for the next.
+
+Edge cases: null texts are empty ones; an empty text is scored like any other, stays alone among near duplicates, leaks nothing, and
+has size 0, so the mix may leave it out; of rows that repeat a text one stays, of rows that share a doc_id with different texts each
+is judged by its own; very long texts are taken whole; further columns, whatever their names, are carried on; without documents the
+result is empty, without labels or test items nothing is rejected or leaked.
 """
 
 from __future__ import annotations
