@@ -13,7 +13,7 @@ design is made from its sources to its screened manifest. Tables in `output`:
 
 Results lie under the mark of the inputs they were made from, so what a run that failed left is replaced by the next run, and
 until the mark is written readers see the results before. A design that no longer has sources gets an empty mark, and so no
-results. A run without changes writes nothing.
+results. A run without changes writes nothing. Results under earlier marks stay on disk, where no reader of `current` sees them.
 """
 
 from __future__ import annotations
