@@ -39,6 +39,7 @@ TARGET, NON_TARGET, TIED, NO_HIT = "TARGET", "NON_TARGET", "TIED", "NO_HIT"
 CLASSES = (TARGET, NON_TARGET, TIED, NO_HIT)
 CURATED, DISCOVERED = "curated_input", "discovered_loci"
 
+# What the stages at which a design can end are called in the tables.
 STAGE_ENUMERATION, STAGE_CANCELLED = "candidate_kmer_enumeration", "explicit_background_cancellation"
 STAGE_COMPLEXITY, STAGE_EMPTY_PANEL = "low_complexity_filtering", "NO_BAITS"
 NO_CANDIDATE_LOCUS, NO_CANDIDATE_READS = "NO_CANDIDATE_LOCUS", "NO_CANDIDATE_READS"
