@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandsieve.llm.bytescan import MARKS, U64, WordHasher, hashed_words, mix
+from strandsieve.llm.bytescan import MARKS, U64, WordHasher, hashed_words, mix, released
 from strandsieve.llm.common import tidy_documents
 
 #: Words of the shortest item that is evidence.
@@ -110,7 +110,7 @@ def corpus_counts(docs: DataFrame, items: Items) -> np.ndarray:
         yield pa.record_batch({"pair": pa.array(some, pa.int64()), "n": pa.array(counts[some])})
 
     total = np.zeros(len(items.distinct), np.int64)
-    found = docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    found = docs.select("text").mapInArrow(released(run), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     total[found.column("pair").to_numpy()] = found.column("n").to_numpy()
     return total
 
@@ -246,7 +246,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "score", "first_word", "end_word", "n_seeds"])
 
-        out = out.unionByName(tidy_documents(docs).mapInArrow(run, ddl))
+        out = out.unionByName(tidy_documents(docs).mapInArrow(released(run), ddl))
     return out
 
 
@@ -262,5 +262,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 clean = [len(w) < LEAST_WORDS or next(_found(w, items, seeds), None) is None for _, w in _words_of(b.column(at).cast(pa.string()))]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(released(run), docs.schema)
     return out

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandsieve.llm.bytescan import U64, NgramHasher, WordHasher, hashed_words, mix, seeded
+from strandsieve.llm.bytescan import U64, NgramHasher, WordHasher, hashed_words, mix, released, seeded
 from strandsieve.llm.common import BROADCAST_BYTES, bounded, bytes_of, discard, packed, partitions, tidy_documents, written
 from strandsieve.llm.components import components
 
@@ -95,7 +95,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_shingles", "d1", "d2", "signature"],
             )
 
-    return tidy_documents(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, signature array<int>")
+    return tidy_documents(docs).mapInArrow(released(run), "doc_id long, n_shingles long, d1 long, d2 long, signature array<int>")
 
 
 def classes(signed: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def neighbours(members: DataFrame, light: DataFrame) -> DataFrame:
                 "weight": pa.array(common.astype(np.int32)),
             })
 
-    return ordered.mapInArrow(run, "node long, hub long, n long, hub_n long, weight int")
+    return ordered.mapInArrow(released(run), "node long, hub long, n long, hub_n long, weight int")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -253,9 +253,9 @@ def verify(docs: DataFrame, kinds: DataFrame, pairs: DataFrame) -> DataFrame:
 
     texts = tidy_documents(docs).withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63))))
     chosen = texts.join(bounded(needs.withColumnRenamed("at", "_at")), "_at").select("text", "node", "d1", "d2", "to")
-    sets = chosen.mapInArrow(build, "hub long, part long, own boolean, node long, set binary")
+    sets = chosen.mapInArrow(released(build), "hub long, part long, own boolean, node long, set binary")
     met = sets.repartition(n, "hub", "part").sortWithinPartitions("hub", "part", F.desc("own"))
-    links, _ = written(met.mapInArrow(compare, "u long, v long").distinct(), "links")
+    links, _ = written(met.mapInArrow(released(compare), "u long, v long").distinct(), "links")
     discard(docs.sparkSession, dealt_path)
     discard(docs.sparkSession, needs_path)
     return links
@@ -295,7 +295,7 @@ def _full_sets(docs: DataFrame, kinds: DataFrame, members: DataFrame) -> DataFra
     needs, needs_path = written(members.select("node").join(kinds.select("node", F.col("at").alias("_at"), "d1", "d2"), "node"), "needs")
     texts = tidy_documents(docs).withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63))))
     chosen = texts.join(bounded(needs), "_at").select("text", "node", "d1", "d2")
-    sets, _ = written(chosen.mapInArrow(build, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+    sets, _ = written(chosen.mapInArrow(released(build), "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
     discard(docs.sparkSession, needs_path)
     return sets
 
@@ -351,7 +351,7 @@ def _times(now: DataFrame) -> DataFrame:
             values, times = np.unique(b.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
             yield pa.record_batch({"shingle": pa.array(values, pa.int64()), "c": pa.array(times, pa.int64())})
 
-    return now.select("shingles").mapInArrow(run, "shingle long, c long").groupBy("shingle").agg(F.sum("c").alias("c"))
+    return now.select("shingles").mapInArrow(released(run), "shingle long, c long").groupBy("shingle").agg(F.sum("c").alias("c"))
 
 
 def _shared(now: DataFrame, held: DataFrame) -> DataFrame:
@@ -379,7 +379,7 @@ def _shared(now: DataFrame, held: DataFrame) -> DataFrame:
             pairs = pa.StructArray.from_arrays([pa.array(c[order]), pa.array(shingles[order])], names=["c", "shingle"])
             yield pa.record_batch([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(ends), pairs)], names=["set", "least", "shared"])
 
-    return now.select("set", "least", "shingles").mapInArrow(run, "set long, least long, shared array<struct<c:long,shingle:long>>")
+    return now.select("set", "least", "shingles").mapInArrow(released(run), "set long, least long, shared array<struct<c:long,shingle:long>>")
 
 
 def _met(now: DataFrame, shared: DataFrame, homes: DataFrame, common: int) -> DataFrame | None:

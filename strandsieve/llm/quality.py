@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandsieve.llm.bytescan import U64, WordHasher, groups, mix, utf8, words
+from strandsieve.llm.bytescan import U64, WordHasher, groups, mix, released, utf8, words
 from strandsieve.llm.common import tidy_documents
 
 PASSAGE = 100
@@ -237,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.record_batch({"doc_id": b.column(0), "quality": b.column(2), "features": pa.array(out, pa.binary())})
 
     texts = tidy_documents(docs).join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality")
-    rows = texts.mapInArrow(run, "doc_id long, quality double, features binary").where("features is not null")
+    rows = texts.mapInArrow(released(run), "doc_id long, quality double, features binary").where("features is not null")
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(sample).collect()
     bags = [np.frombuffer(r.features, "<f4").reshape(-1, FEATURES).astype(float) for r in rows]
     return train(bags, np.array([r.quality for r in rows]))
@@ -265,7 +265,7 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
             })
 
     rows = tidy_documents(docs).select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, n_passages long")
+    return rows.mapInArrow(released(run), "doc_id long, held_out boolean, score double, predicted int, n_passages long")
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -276,4 +276,4 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
         for b in batches:
             yield b.filter(pa.array(_scores(b.column(at), model)[0] >= threshold, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
