@@ -5,7 +5,7 @@ A is 0, C 1, G 2 and T 3, so codes are ordered as their texts are, and shuffles
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,13 @@ MOST = 31
 TILE = 1 << 16
 #: Codes of a set that is sent to all executors: 32 MB.
 MOST_WANTED = 4_000_000
+#: Buckets that the k-mers of each key are dealt to when they are counted.
+BUCKETS = 1024
+#: Bases that a task sums up before it deals them out, bases worked on at once, and codes that are summed up together at least.
+_HELD, _RUN, _MERGED = 8_000_000, 1 << 18, 2_000_000
+#: An odd number, and what undoes a multiplication with it modulo any power of two up to 2**64.
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STRICT = np.full(256, 4, np.uint8)
 _STRICT[[ord(b) for b in BASES]] = range(4)
 _LENIENT = _STRICT.copy()
@@ -185,116 +192,144 @@ def distinct_windows(sequences: DataFrame, k: int, columns: tuple[str, ...] = ()
     return given.mapInArrow(run, schema).distinct()
 
 
-def _minimizers(sequence: np.ndarray, k: int, m: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """start of each window of k bases, and the least hash among its canonical m-mers, which both strands share."""
-    start, _, _ = codes(sequence, k, table)
-    if not len(start):
-        return start, np.zeros(0, np.uint64)
-    digits = table[sequence] & 3
-    one, two = _rolled(digits, m, True), _rolled(3 - digits, m, False)
-    least = (np.minimum(one, two).view(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    least ^= least >> np.uint64(29)
-    span, need = 1, k - m + 1
-    while span * 2 <= need:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < need:
-        least = np.minimum(least[: len(least) - (need - span)], least[need - span :])
-    return start, least[start]
-
-
-def stretches(sequences: DataFrame, k: int, keys: tuple[str, ...], buckets: int, lenient: bool = False) -> DataFrame:
-    """`keys`, bucket and `bases`: neighbouring windows with the same minimizer as one stretch of bases, dealt by minimizer.
-
-    Equal k-mers, also of opposite strands, meet in one bucket. A batch's stretches of a bucket are one row, with an N between
-    them, so a shuffle moves about two bases for a window and hardly any row.
+def _canonical(sequence: np.ndarray, k: int, table: np.ndarray) -> np.ndarray:
+    """The codes alone, as `codes` gives them."""
+    if len(sequence) < k:
+        return np.zeros(0, np.int64)
+    digits = table[sequence]
+    bad = np.concatenate([[0], np.cumsum(digits > 3, dtype=np.int32)])
+    digits &= 3
+    least = np.minimum(_rolled(digits, k, True), _rolled(3 - digits, k, False))
+    return least if not bad[-1] else least[bad[k:] == bad[:-k]]
+
+
+def _summed(mixed: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order and their sums; value and place are sorted as one number where both fit in 64 bits."""
+    if not len(mixed):
+        return mixed, n
+    bits = int(len(mixed)).bit_length()
+    if 2 * k + bits <= 64:
+        both = np.sort((mixed << np.uint64(bits)) | np.arange(len(mixed), dtype=np.uint64))
+        mixed, n = both >> np.uint64(bits), n[(both & np.uint64((1 << bits) - 1)).astype(np.int64)]
+    else:
+        order = np.argsort(mixed)
+        mixed, n = mixed[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], mixed[1:] != mixed[:-1]]))
+    return mixed[first], np.add.reduceat(n, first)
+
+
+def dealt(sequences: DataFrame, k: int, keys: tuple[str, ...], buckets: int, lenient: bool = False) -> DataFrame:
+    """`keys`, bucket, `codes` and `copies`: canonical k-mers, already summed over some millions of bases, dealt evenly.
+
+    A k-mer's code times an odd number, modulo their number, is another code of the same width; buckets are ranges of it. So no
+    bucket gets more for words that are alike, and each takes a like share of what is added. `codes` has the bytes of all
+    values by place (all first bytes, then all second ones, ...), which makes sorted values compress well.
     """
-    m = min(k, 9)
-    table = _LENIENT if lenient else _STRICT
+    table, whole = _LENIENT if lenient else _STRICT, 1 << 2 * k
+    width = 4 if k <= 16 else 8
+    edges = np.array([-(-i * whole // buckets) for i in range(buckets)], np.uint64)
     given = sequences.select(*keys, F.coalesce("sequence", F.lit("")).alias("sequence"))
-    schema = T.StructType([*given.schema.fields[:-1], T.StructField("bucket", T.IntegerType()), T.StructField("bases", T.BinaryType())])
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField("bucket", T.IntegerType()), T.StructField("codes", T.BinaryType()), T.StructField("copies", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            held: dict[tuple, list[bytes]] = {}
-            size = 0
+        types: list[pa.DataType] = []
+        held: dict[tuple, list[bytes]] = {}
+        size = 0
 
-            def out() -> pa.RecordBatch:
-                rows = list(zip(*held, strict=True)) or [[]] * (len(schema) - 1)
-                columns = [pa.array(c, b.column(i).type if i < len(keys) else pa.int32()) for i, c in enumerate(rows)]
-                return pa.record_batch([*columns, pa.array([b"N".join(v) for v in held.values()], pa.binary())], names=schema.names)
+        def out() -> Iterator[pa.RecordBatch]:
+            for key, parts in held.items():
+                bases = np.frombuffer(b"N".join(parts), np.uint8)
+                code = np.concatenate([_canonical(bases[at : at + _RUN + k - 1], k, table) for at in range(0, len(bases), _RUN)]).view(np.uint64)
+                mixed = np.sort((code * _ODD) & np.uint64(whole - 1))
+                if not len(mixed):
+                    continue
+                first = np.flatnonzero(np.concatenate([[True], mixed[1:] != mixed[:-1]]))
+                n, mixed = np.diff(np.append(first, len(mixed))).astype(np.int32), mixed[first]
+                at = np.append(np.searchsorted(mixed, edges), len(mixed)).tolist()
+                some = [i for i in range(buckets) if at[i] < at[i + 1]]
+                raw = mixed.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+                yield pa.record_batch([
+                    *[pa.array([v] * len(some), t) for v, t in zip(key, types, strict=True)], pa.array(some, pa.int32()),
+                    pa.array([raw[at[i] : at[i + 1]].T.tobytes() for i in some], pa.binary()), pa.array([n[at[i] : at[i + 1]].tobytes() for i in some], pa.binary()),
+                ], names=schema.names)
 
+        for b in batches:
+            types = [b.column(i).type for i in range(len(keys))]
             named = list(zip(*[b.column(i).to_pylist() for i in range(len(keys))], strict=True)) if keys else [()] * b.num_rows
-            for i, text in enumerate(b.column(b.num_columns - 1)):
-                data = np.frombuffer(text.as_buffer() or b"", np.uint8)
+            for key, text in zip(named, b.column(b.num_columns - 1), strict=True):
+                data = memoryview(text.as_buffer() or b"")
                 for at in range(0, max(len(data) - k + 1, 0), TILE):
-                    part = data[at : at + TILE + k - 1]
-                    start, least = _minimizers(part, k, m, table)
-                    if not len(start):
-                        continue
-                    first = np.flatnonzero(np.concatenate([[True], (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1])]))
-                    last = np.append(first[1:], len(start)) - 1
-                    dealt = (least[first] % np.uint64(buckets)).astype(np.int64)
-                    raw = part.tobytes()
-                    for n, a, z in zip(dealt.tolist(), start[first].tolist(), (start[last] + k).tolist(), strict=True):
-                        held.setdefault((*named[i], n), []).append(raw[a:z])
-                    size += len(start)
-                    if size > 2_000_000:
-                        yield out()
+                    part = bytes(data[at : at + TILE + k - 1])
+                    held.setdefault(key, []).append(part)
+                    size += len(part)
+                    if size > _HELD:
+                        yield from out()
                         held, size = {}, 0
-            if held:
-                yield out()
+        yield from out()
 
     return given.mapInArrow(run, schema)
 
 
-def counted(sequences: DataFrame, k: int, keys: tuple[str, ...], lenient: bool = False, buckets: int | None = None) -> DataFrame:
-    """`keys`, code and `n` (copies) of each canonical k-mer of `sequence`.
+def _tallied(sequences: DataFrame, k: int, keys: tuple[str, ...], lenient: bool, buckets: int | None, made: list[T.StructField], tell: Callable[[np.ndarray, np.ndarray], Iterator[tuple[np.ndarray, ...]]]) -> DataFrame:
+    """`keys` and what `tell` makes of the codes (in no order) and copies of each bucket.
 
-    Bases are shuffled once, as `stretches`; each bucket is counted where it lies, and its counts are final. A task holds the
-    distinct k-mers of one bucket at a time; by default there are sixteen buckets for each shuffle partition.
+    A bucket is summed where it lies, and its sums are final: what has come in is summed up whenever it has doubled, so the
+    work is in proportion to it, and a task holds the distinct k-mers of one bucket at a time.
     """
-    table = _LENIENT if lenient else _STRICT
     parts = int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = stretches(sequences, k, keys, buckets or 16 * parts, lenient)
-    ordered = dealt.repartition(parts, *keys, "bucket").sortWithinPartitions(*keys, "bucket")
-    schema = T.StructType([*dealt.schema.fields[: len(keys)], T.StructField("code", T.LongType()), T.StructField("n", T.LongType())])
-
-    def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(code, kind="stable")
-        code, n = code[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-        return code[first], np.add.reduceat(n, first)
+    rows = dealt(sequences, k, keys, buckets or BUCKETS, lenient)
+    ordered = rows.repartition(parts, *keys, "bucket").sortWithinPartitions(*keys, "bucket")
+    schema = T.StructType([*rows.schema.fields[: len(keys)], *made])
+    width = 4 if k <= 16 else 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types: list[pa.DataType] = []
-        key, kept, fresh, size = None, (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        key, kept, fresh, size = None, none, [], 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            code = np.concatenate([kept[0], *fresh])
-            return summed(code, np.concatenate([kept[1], np.ones(len(code) - len(kept[0]), np.int64)])) if len(code) else kept
+            return _summed(np.concatenate([kept[0], *[f[0] for f in fresh]]), np.concatenate([kept[1], *[f[1] for f in fresh]]), k)
 
         def out() -> Iterator[pa.RecordBatch]:
-            code, n = merged()
-            for a in range(0, len(code), 1_000_000):
-                some = slice(a, a + 1_000_000)
-                rows = len(code[some])
-                yield pa.record_batch([*[pa.array([v] * rows, t) for v, t in zip(key[:-1], types, strict=True)], pa.array(code[some]), pa.array(n[some])], names=schema.names)
+            mixed, n = merged()
+            for columns in tell(((mixed * _BACK) & np.uint64((1 << 2 * k) - 1)).view(np.int64), n):
+                yield pa.record_batch([*[pa.array([v] * len(columns[0]), t) for v, t in zip(key[:-1], types, strict=True)], *map(pa.array, columns)], names=schema.names)
 
         for b in batches:
             types = [b.column(i).type for i in range(len(keys))]
             named = zip(*[b.column(i).to_pylist() for i in range(len(keys) + 1)], strict=True)
-            for own, bases in zip(named, b.column(len(keys) + 1), strict=True):
+            for own, code, n in zip(named, b.column(len(keys) + 1), b.column(len(keys) + 2), strict=True):
                 if own != key:
                     if key is not None:
                         yield from out()
-                    key, kept, fresh, size = own, (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
-                code = codes(np.frombuffer(bases.as_buffer(), np.uint8), k, table)[1]
-                fresh.append(code)
-                size += len(code)
-                if size > 4_000_000:
+                    key, kept, fresh, size = own, none, [], 0
+                values = np.ascontiguousarray(np.frombuffer(code.as_buffer(), np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
+                fresh.append((values.astype(np.uint64), np.frombuffer(n.as_buffer(), np.int32).astype(np.int64)))
+                size += len(values)
+                if size > max(_MERGED, len(kept[0])):
                     kept, fresh, size = merged(), [], 0
         if key is not None:
             yield from out()
 
     return ordered.mapInArrow(run, schema)
+
+
+def counted(sequences: DataFrame, k: int, keys: tuple[str, ...], lenient: bool = False, buckets: int | None = None) -> DataFrame:
+    """`keys`, code and `n` (copies) of each canonical k-mer of `sequence`."""
+
+    def tell(code: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        for a in range(0, len(code), 1_000_000):
+            yield code[a : a + 1_000_000], n[a : a + 1_000_000]
+
+    return _tallied(sequences, k, keys, lenient, buckets, [T.StructField("code", T.LongType()), T.StructField("n", T.LongType())], tell)
+
+
+def profiled(sequences: DataFrame, k: int, keys: tuple[str, ...], lenient: bool = False, buckets: int | None = None) -> DataFrame:
+    """`keys`, windows, kmers (distinct canonical ones), first and last (code) of `sequence`; no k-mer leaves its bucket."""
+    names = ("windows", "kmers", "first", "last")
+
+    def tell(code: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        yield tuple(np.array([x], np.int64) for x in (n.sum(), len(code), code.min(), code.max()))
+
+    rows = _tallied(sequences, k, keys, lenient, buckets, [T.StructField(c, T.LongType()) for c in names], tell)
+    return rows.groupBy(*keys).agg(F.sum("windows").alias("windows"), F.sum("kmers").alias("kmers"), F.min("first").alias("first"), F.max("last").alias("last"))

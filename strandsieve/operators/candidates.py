@@ -33,10 +33,17 @@ def kmer_counts(occurrences: DataFrame, keys: tuple[str, ...] = ("design_id",))
 
 
 def sequence_code_counts(sequences: DataFrame, k: int, keys: tuple[str, ...] = ("design_id",)) -> DataFrame:
-    """keys, code and source_copy_count of `sequences` (keys, sequence), by stretches of bases that share a minimizer."""
+    """keys, code and source_copy_count of `sequences` (keys, sequence), by sums of sorted arrays of codes."""
     return packed.counted(sequences, k, keys).withColumnRenamed("n", "source_copy_count")
 
 
+def sequence_profile(sequences: DataFrame, k: int, keys: tuple[str, ...] = ("design_id",)) -> DataFrame:
+    """keys, windows, kmers (distinct), first_kmer and last_kmer of `sequences`; keys without a window have no row."""
+    n = packed.profiled(sequences, k, keys)
+    # Codes are ordered as their texts are.
+    return n.select(*keys, "windows", "kmers", packed.unpack(F.col("first"), k).alias("first_kmer"), packed.unpack(F.col("last"), k).alias("last_kmer"))
+
+
 def sequence_kmer_counts(sequences: DataFrame, k: int, keys: tuple[str, ...] = ("design_id",)) -> DataFrame:
     """`kmer_counts` of `sequences` by a counter of its own; texts are made of the sums alone."""
     if k > packed.MOST:
@@ -45,7 +52,7 @@ def sequence_kmer_counts(sequences: DataFrame, k: int, keys: tuple[str, ...] = (
 
 
 def check_counters(counts: DataFrame, sequences: DataFrame, k: int) -> None:
-    """The two counters must agree on k-mers and copies: `counts` from windows, the others from stretches."""
+    """The two counters must agree on k-mers and copies: `counts` from rows of windows, the others from sorted arrays."""
     theirs = sequence_kmer_counts(sequences, k).withColumnRenamed("source_copy_count", "count")
     bad = count_differences(counts, theirs).orderBy("design_id", "kmer").first()
     if bad is not None:

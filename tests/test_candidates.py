@@ -97,6 +97,28 @@ def test_the_two_counters_agree(spark, rows, k, buckets):
     assert whole.agg({"n": "sum"}).first()[0] == want.agg({"source_copy_count": "sum"}).first()[0]
 
 
+def test_profile_is_that_of_the_counts_and_buckets_fill_evenly(spark, rows, monkeypatch):
+    import random
+
+    from strandsieve.functions import packed
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("ACGT") for _ in range(rng.randint(2, 5))) for _ in range(60)]
+    # Prose: a common word stands in most windows, which a bucket for each least word would not part.
+    texts = ["".join("AAAAAACCA" if i % 2 else rng.choice(words) + rng.choice(words) for i in range(900)) for _ in range(24)] + ["", None, "ACGT", "A" * 99]
+    given = spark.createDataFrame([("e" if i % 3 else None, t) for i, t in enumerate(texts)], "design_id string, sequence string").repartition(3)
+    monkeypatch.setattr(packed, "_HELD", 20_000)
+    monkeypatch.setattr(packed, "_MERGED", 300)
+    want = candidates.kmer_counts(candidates.enumerate_kmers(given, 15, ("design_id",)))
+    assert rows(candidates.sequence_code_counts(given, 15).select("design_id", "source_copy_count")) == rows(want.select("design_id", "source_copy_count"))
+    want = want.groupBy("design_id").agg({"source_copy_count": "sum", "kmer": "count"}).collect()
+    got = candidates.sequence_profile(given, 15).collect()
+    assert sorted((r.windows, r.kmers) for r in got) == sorted((r["sum(source_copy_count)"], r["count(kmer)"]) for r in want)
+    assert {r.first_kmer for r in got if r.design_id is None} == {"A" * 15}
+    shares = [r[1] for r in packed.dealt(given.where("design_id = 'e'"), 15, ("design_id",), 16).selectExpr("bucket", "octet_length(codes) / 4 n").groupBy("bucket").agg({"n": "sum"}).collect()]
+    assert len(shares) == 16 and max(shares) < 1.5 * sum(shares) / 16
+
+
 def test_only_wanted_codes_are_cut(spark, rows):
     from strandsieve.functions import packed
 
