@@ -13,6 +13,9 @@ from strandsieve.session import settled, small
 
 _FINITE = lambda c: ~F.isnan(c) & (F.abs(c) < float("inf"))
 
+# What a locus is known by, in the order in which loci are numbered.
+_LOCUS = ("query_group", "sequence", "query_id", "assembly_sequence_id", "assembly_start", "assembly_end", "strand", "percent_identity", "query_coverage")
+
 
 def curated_sources(records: DataFrame) -> DataFrame:
     """(design_id, source_sequence_id, sequence) upper-cased with U as T, in one blank query group."""
@@ -60,11 +63,17 @@ def crop_queries(rules: DataFrame, records: DataFrame, check: bool = True) -> Da
 
 
 def contextual_hits(hits: DataFrame, rules: DataFrame, queries: DataFrame, assembly: DataFrame) -> DataFrame:
-    """Hits with their rule, prepared query length and assembly record; the small sides are rules and queries."""
+    """Hits with their rule, prepared query length, and the length of their assembly record with its part that they name.
+
+    Whole records move once, to where their distinct intervals are; what goes on to the hits is the parts.
+    """
     r = small(settled(rules.select("design_id", "query_id", "query_group", "min_identity", "min_query_coverage")))
     q = small(settled(queries.select("design_id", "query_id", F.length("sequence").cast("long").alias("_prepared"))))
-    a = assembly.select("design_id", "assembly_sequence_id", F.col("sequence").alias("_assembly"))
-    return hits.join(r, ["design_id", "query_id"], "left").join(q, ["design_id", "query_id"], "left").join(a, ["design_id", "assembly_sequence_id"], "left")
+    interval = ["design_id", "assembly_sequence_id", "assembly_start_raw", "assembly_end_raw"]
+    part = normalize(subsequence(F.col("sequence"), F.least("assembly_start_raw", "assembly_end_raw"), F.greatest("assembly_start_raw", "assembly_end_raw")))
+    named = assembly.select("design_id", "assembly_sequence_id", "sequence").join(hits.select(*interval).distinct(), ["design_id", "assembly_sequence_id"])
+    parts = settled(named.select(*interval, F.length("sequence").alias("_length"), part.alias("_part")))
+    return hits.join(r, ["design_id", "query_id"], "left").join(q, ["design_id", "query_id"], "left").join(small(parts), interval, "left")
 
 
 def check_locus_hits(contextual: DataFrame) -> DataFrame:
@@ -75,11 +84,11 @@ def check_locus_hits(contextual: DataFrame) -> DataFrame:
     checks = [
         (contracts.any_of([c(x).isNull() for x in S.LOCUS_HITS]), "missing alignment field"),
         (c("query_group").isNull() | c("_prepared").isNull(), say("unknown query", "query_id")),
-        (c("_assembly").isNull(), say("unknown assembly record", "assembly_sequence_id")),
+        (c("_length").isNull(), say("unknown assembly record", "assembly_sequence_id")),
         (c("query_length") <= 0, say("invalid query length for", "query_id")),
         (c("query_length") != c("_prepared"), say("inconsistent query length for", "query_id")),
         ((c("query_start") < 1) | (c("query_start") > c("query_end")) | (c("query_end") > c("query_length")), say("invalid query interval for", "query_id")),
-        ((F.least("assembly_start_raw", "assembly_end_raw") < 1) | (F.greatest("assembly_start_raw", "assembly_end_raw") > F.length("_assembly")), say("invalid assembly interval for", "assembly_sequence_id")),
+        ((F.least("assembly_start_raw", "assembly_end_raw") < 1) | (F.greatest("assembly_start_raw", "assembly_end_raw") > c("_length")), say("invalid assembly interval for", "assembly_sequence_id")),
         (c("alignment_length") <= 0, say("invalid alignment length for", "query_id")),
         (~(_FINITE(c("percent_identity")) & c("percent_identity").between(0, 100)), say("invalid identity for", "query_id")),
         ((c("alignment_length") < c("query_end") - c("query_start") + 1) | (c("alignment_length") < span), say("inconsistent alignment length for", "query_id")),
@@ -87,9 +96,9 @@ def check_locus_hits(contextual: DataFrame) -> DataFrame:
     return contracts.require(contextual, checks, contracts.order_of(contextual, *S.LOCUS_HITS), "locus hits")
 
 
-def candidate_loci(hits: DataFrame, rules: DataFrame, queries: DataFrame, assembly: DataFrame, check: bool = True) -> DataFrame:
-    """Accepted loci (both thresholds inclusive) with their sequence in query direction and their ids."""
-    contextual = contextual_hits(hits, rules, queries, assembly)
+def accepted_loci(hits: DataFrame, rules: DataFrame, queries: DataFrame, assembly: DataFrame, check: bool = True) -> DataFrame:
+    """Loci that meet both thresholds (inclusive), with their sequence in query direction. `hits` is read twice."""
+    contextual = settled(contextual_hits(hits, rules, queries, assembly))
     if check:
         contracts.require_present(rules, queries, ["design_id", "query_id"], "query rules")
         check_locus_hits(contextual)
@@ -100,10 +109,13 @@ def candidate_loci(hits: DataFrame, rules: DataFrame, queries: DataFrame, assemb
         "strand": F.when(F.col("assembly_start_raw") <= F.col("assembly_end_raw"), "+").otherwise("-"),
         "query_coverage": coverage,
     }).where((F.col("percent_identity") >= F.col("min_identity")) & (F.col("query_coverage") >= F.col("min_query_coverage")))
-    forward = normalize(subsequence(F.col("_assembly"), F.col("assembly_start"), F.col("assembly_end")))
-    placed = placed.withColumn("sequence", F.when(F.col("strand") == "+", forward).otherwise(reverse_complement(forward)))
-    keys = ["query_group", "sequence", "query_id", "assembly_sequence_id", "assembly_start", "assembly_end", "strand", "percent_identity", "query_coverage"]
-    loci = numbered_by(placed.select("design_id", *keys), ["design_id"], keys, "_number").withColumn("candidate_locus_id", padded_id("candidate_locus", F.col("_number")))
+    placed = placed.withColumn("sequence", F.when(F.col("strand") == "+", F.col("_part")).otherwise(reverse_complement(F.col("_part"))))
+    return placed.select("design_id", *_LOCUS)
+
+
+def candidate_loci(hits: DataFrame, rules: DataFrame, queries: DataFrame, assembly: DataFrame, check: bool = True) -> DataFrame:
+    """Accepted loci with their ids."""
+    loci = numbered_by(accepted_loci(hits, rules, queries, assembly, check), ["design_id"], list(_LOCUS), "_number").withColumn("candidate_locus_id", padded_id("candidate_locus", F.col("_number")))
     named = loci.join(provisional_sources(loci), ["design_id", "query_group", "sequence"], "left")
     return named.select("design_id", *S.LOCI, "sequence")
 

@@ -86,3 +86,17 @@ def test_native_locus_search(spark, rows):
     assert (by["plus"].assembly_start_raw, by["plus"].assembly_end_raw, by["plus"].percent_identity) == (5, 4 + n, 100)
     assert (by["minus"].assembly_start_raw, by["minus"].assembly_end_raw) == (2 + n, 3)
     assert (by["near"].query_start, by["near"].query_end, round(by["near"].percent_identity, 3)) == (1, n, round((n - 1) / n * 100, 3))
+
+
+def test_no_hit_carries_its_whole_record(spark, rows):
+    """Parts of the records go on to the hits; a record moves once for all hits of it, and repeated hits stay."""
+    rules = spark.createDataFrame([("d", "q", "g", 1, 0, 98.0, 80.0)], RULES)
+    hits = spark.createDataFrame([("d", *h) for h in (FORWARD, FORWARD, REVERSE, ("q", 4, 1, 4, "fwd", 4, 1, 4, 99.0))], HITS)
+    given = (hits, rules, records(spark, "query_id", ("q", "ACCG")), records(spark, "assembly_sequence_id", ("fwd", "accguu" + "A" * 5000), ("rev", "NRYT"), ("none", "ACGT")))
+    found = discovery.contextual_hits(*given)
+    assert "_assembly" not in found.columns
+    assert rows(found, "assembly_sequence_id", "_length", "_part") == [("fwd", 5006, "ACCG")] * 3 + [("rev", 4, "NRYT")]
+    accepted = discovery.accepted_loci(*given)
+    assert rows(accepted, "strand", "sequence") == [("+", "ACCG"), ("+", "ACCG"), ("-", "ARYN"), ("-", "CGGT")]
+    named = discovery.candidate_loci(*given)
+    assert rows(discovery.provisional_sources(accepted)) == rows(named.select("design_id", "query_group", "sequence", "source_sequence_id").distinct())
