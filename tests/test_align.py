@@ -90,6 +90,34 @@ def test_a_band_does_not_depend_on_its_batch():
     assert align.banded(pairs, align.WIDE) == [align.banded([p], align.WIDE)[0] for p in pairs]
 
 
+@pytest.mark.parametrize("scoring", [align.CLOSE, align.WIDE])
+def test_scores_alone_are_those_of_the_alignments(scoring):
+    rng = random.Random(11)
+    pairs = [(as_bytes("ACGT" * 4100), as_bytes("ACGT" * 4000), -3, 5)]  # past 16 bits
+    for _ in range(300):
+        q = bases(rng, rng.randint(1, 90), "ACGTACGTACGTN")
+        cut, low = rng.randint(0, len(q)), rng.randint(-40, 3)
+        pairs.append((as_bytes(q), as_bytes(bases(rng, rng.randint(0, 9)) + q[:cut] + bases(rng, rng.randint(0, 9), "ACGTN") + q[cut:]), low, low + rng.randint(0, 70)))
+    assert align._tops(pairs, scoring) == [align.banded([p], scoring)[0][0] for p in pairs]
+    assert align.best_scores(pairs[1:], scoring) == [a[0] for a in align.banded(pairs[1:], scoring)]
+
+
+def test_only_the_best_subjects_are_traced(spark, rows, monkeypatch):
+    rng = random.Random(12)
+    genome = bases(rng, 900)
+    changed = lambda share: "".join(b if rng.random() > share else bases(rng, 1) for b in genome)
+    subjects = {f"s{i}": changed(i % 5 / 60) + "N" * 50 + turned(genome[200:500]) for i in range(10)} | {"same": genome, "equal": genome, "rest": bases(rng, 900)}
+    q, s = tables(spark, {"a": genome[100:400], "b": turned(genome[300:800]), "c": bases(rng, 200)}, subjects, own=False)
+    whole = align.read_hits(q, s, max_subjects=99)
+    want = align.keep_best_subjects(whole, 4)
+    traced = []
+    regions_of = align._best_of_ends
+    monkeypatch.setattr(align, "_best_of_ends", lambda hits: traced.append(hits.select("saccver").distinct().count()) or regions_of(hits))
+    got = align.read_hits(q, s, max_subjects=4)
+    assert rows(got) == rows(want.select(got.columns)) and got.select("qseqid", "saccver").distinct().count() == 8
+    assert traced[0] < whole.select("saccver").distinct().count()
+
+
 def tables(spark, queries, subjects, own=True):
     q = spark.createDataFrame([("d", n, s) for n, s in queries.items()], "design_id string, query_id string, sequence string")
     rows, ddl = [(n, "7", f"title {n}", s) for n, s in subjects.items()], "saccver string, staxids string, stitle string, sequence string"
