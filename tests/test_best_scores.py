@@ -73,6 +73,15 @@ def test_scores_are_those_of_the_best_hits(spark, rows, monkeypatch):
     assert rows(best_scores.read_scores(q.where("length(sequence) > 0"), s.where("sequence is not null"), 4)) == rows(got)
 
 
+def test_repeated_subjects_count_once(spark, rows):
+    rng = random.Random(24)
+    genome = bases(rng, 600)
+    q, s = tables(spark, {"q": genome[100:400]}, {"a": genome, "b": genome[:250] + bases(rng, 300), "c": genome[:200] + bases(rng, 300)}, own=False)
+    again = s.unionByName(s).unionByName(spark.createDataFrame([("c", "7", "title c", genome[:300])], s.schema))
+    got = [r[2:] for r in rows(best_scores.read_scores(q, again, 2).select("design_id", "qseqid", "saccver", F.col("bitscore").cast("double") > 300))]
+    assert got == [("a", True), ("c", True)]  # of two texts with one name the better
+
+
 def test_nothing_to_score(spark):
     q, s = tables(spark, {"q": "ACGTTGCA" * 20}, {"s": "ACGT"}, own=False)
     assert best_scores.read_scores(q, s).count() == 0
